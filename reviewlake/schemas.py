@@ -4,100 +4,109 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+STRING, INT, BIGINT, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+BOOLEAN, TIMESTAMP, DATE = T.BooleanType(), T.TimestampType(), T.DateType()
+STRINGS = T.ArrayType(STRING)
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def _columns(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, t) for name, t in types.items()])
 
-REVIEW_DDL = (
-    "author_name string, rating int, text string, time bigint, relative_time_description string"
+
+REVIEW = _columns(
+    author_name=STRING, rating=INT, text=STRING, time=BIGINT, relative_time_description=STRING,
 )
 REVIEW_4_TYPE = "array<struct<author_name:string,rating:int,text:string,time:bigint>>"
 
-BRANCH_DDL = (
-    "place_id string, name string, formatted_address string, vicinity string, rating double, "
-    "user_ratings_total int, business_status string, types array<string>, "
-    "geometry struct<location: struct<lat: double, lng: double>>, "
-    f"reviews array<struct<{REVIEW_DDL}>>"
+BRANCH = _columns(
+    place_id=STRING, name=STRING, formatted_address=STRING, vicinity=STRING, rating=DOUBLE,
+    user_ratings_total=INT, business_status=STRING, types=STRINGS,
+    geometry=_columns(location=_columns(lat=DOUBLE, lng=DOUBLE)),
+    reviews=T.ArrayType(REVIEW),
 )
 
-ENVELOPE_DDL = (
-    "execution_metadata struct<run_id: string, execution_date: string, bairro: string, "
-    "partition_info: struct<year: int, month: int, day: int>, "
-    "data_quality: struct<total_agencias: int, total_reviews: int, completeness_score: double>, "
-    "processing_info: struct<timestamp_inicio: string, tempo_execucao_segundos: double, "
-    "quota_utilizada: int>>, "
-    f"raw_data struct<agencias: array<struct<{BRANCH_DDL}>>>, "
-    "schema_version string, created_at string"
+ENVELOPE = _columns(
+    execution_metadata=_columns(
+        run_id=STRING, execution_date=STRING, bairro=STRING,
+        partition_info=_columns(year=INT, month=INT, day=INT),
+        data_quality=_columns(total_agencias=INT, total_reviews=INT, completeness_score=DOUBLE),
+        processing_info=_columns(
+            timestamp_inicio=STRING, tempo_execucao_segundos=DOUBLE, quota_utilizada=INT),
+    ),
+    raw_data=_columns(agencias=T.ArrayType(BRANCH)),
+    schema_version=STRING, created_at=STRING,
 )
-
-BRANCH = _struct(BRANCH_DDL)
-ENVELOPE = _struct(ENVELOPE_DDL)
-SIMPLE = _struct(f"{BRANCH_DDL}, bairro string, bairro_pesquisado string, data_coleta string")
+PARTITIONED_ENVELOPE = T.StructType(
+    ENVELOPE.fields + _columns(year=INT, month=INT, day=INT, bairro=STRING).fields)
+SIMPLE = T.StructType(
+    BRANCH.fields + _columns(bairro=STRING, bairro_pesquisado=STRING, data_coleta=STRING).fields)
 # One schema that reads both layouts, so that a folder may mix them.
 LANDING = T.StructType(ENVELOPE.fields + SIMPLE.fields)
 
-BRONZE = _struct(
-    "place_id string, agencia_name string, endereco_completo string, latitude double, "
-    "longitude double, agencia_rating double, total_avaliacoes int, bairro_pesquisado string, "
-    "data_coleta string, data_coleta_timestamp timestamp, bronze_ingestion_timestamp timestamp, "
-    "bronze_ingestion_date date, data_quality_score double, source_system string, "
-    "author_name string, review_rating int, review_text string, review_time bigint, "
-    "bronze_review_id string, partition_year int, partition_month int, partition_day int"
+BRONZE = _columns(
+    place_id=STRING, agencia_name=STRING, endereco_completo=STRING, latitude=DOUBLE,
+    longitude=DOUBLE, agencia_rating=DOUBLE, total_avaliacoes=INT, bairro_pesquisado=STRING,
+    data_coleta=STRING, data_coleta_timestamp=TIMESTAMP, bronze_ingestion_timestamp=TIMESTAMP,
+    bronze_ingestion_date=DATE, data_quality_score=DOUBLE, source_system=STRING,
+    author_name=STRING, review_rating=INT, review_text=STRING, review_time=BIGINT,
+    bronze_review_id=STRING, partition_year=INT, partition_month=INT, partition_day=INT,
 )
 
-SILVER = _struct(
-    "place_id string, nome_agencia string, endereco_completo string, latitude double, "
-    "longitude double, rating_agencia double, total_avaliacoes int, bairro string, "
-    "data_coleta string, review_autor string, rating_review int, texto_review string, "
-    "data_review bigint, sentimento string, tem_pii boolean, "
-    "tipos_pii_detectados array<string>, texto_anonimizado string, "
-    "silver_processing_timestamp timestamp, partition_year int, partition_month int, "
-    "partition_day int, data_quality_score double"
+SILVER = _columns(
+    place_id=STRING, nome_agencia=STRING, endereco_completo=STRING, latitude=DOUBLE,
+    longitude=DOUBLE, rating_agencia=DOUBLE, total_avaliacoes=INT, bairro=STRING,
+    data_coleta=STRING, review_autor=STRING, rating_review=INT, texto_review=STRING,
+    data_review=BIGINT, sentimento=STRING, tem_pii=BOOLEAN, tipos_pii_detectados=STRINGS,
+    texto_anonimizado=STRING, silver_processing_timestamp=TIMESTAMP, partition_year=INT,
+    partition_month=INT, partition_day=INT, data_quality_score=DOUBLE,
 )
 
 GOLD = {
-    "agency_performance_kpis": _struct(
-        "place_id string, nome_agencia string, bairro string, total_reviews bigint, "
-        "rating_medio double, reviews_positivos bigint, reviews_negativos bigint, "
-        "reviews_neutros bigint, reviews_com_pii bigint, gold_timestamp timestamp"
+    "agency_performance_kpis": _columns(
+        place_id=STRING, nome_agencia=STRING, bairro=STRING, total_reviews=BIGINT,
+        rating_medio=DOUBLE, reviews_positivos=BIGINT, reviews_negativos=BIGINT,
+        reviews_neutros=BIGINT, reviews_com_pii=BIGINT, gold_timestamp=TIMESTAMP,
     ),
-    "temporal_sentiment_analysis": _struct(
-        "bairro string, mes int, total_reviews bigint, positivos bigint, negativos bigint, "
-        "gold_timestamp timestamp"
+    "temporal_sentiment_analysis": _columns(
+        bairro=STRING, mes=INT, total_reviews=BIGINT, positivos=BIGINT, negativos=BIGINT,
+        gold_timestamp=TIMESTAMP,
     ),
-    "risk_alerts": _struct(
-        "place_id string, nome_agencia string, total_reviews_negativas bigint, "
-        "gold_timestamp timestamp"
+    "risk_alerts": _columns(
+        place_id=STRING, nome_agencia=STRING, total_reviews_negativas=BIGINT,
+        gold_timestamp=TIMESTAMP,
     ),
-    "executive_dashboard": _struct(
-        "total_reviews bigint, reviews_positivos bigint, reviews_negativos bigint, "
-        "total_agencias bigint, gold_timestamp timestamp"
+    "executive_dashboard": _columns(
+        total_reviews=BIGINT, reviews_positivos=BIGINT, reviews_negativos=BIGINT,
+        total_agencias=BIGINT, gold_timestamp=TIMESTAMP,
     ),
-    "nps_ranking": _struct(
-        "place_id string, nome_agencia string, total_avaliacoes bigint, promotores bigint, "
-        "detratores bigint, rating_medio double, gold_timestamp timestamp"
+    "nps_ranking": _columns(
+        place_id=STRING, nome_agencia=STRING, total_avaliacoes=BIGINT, promotores=BIGINT,
+        detratores=BIGINT, rating_medio=DOUBLE, gold_timestamp=TIMESTAMP,
     ),
-    "business_metrics_summary": _struct(
-        "bairro string, total_reviews bigint, rating_medio double, reviews_positivos bigint, "
-        "gold_timestamp timestamp"
+    "business_metrics_summary": _columns(
+        bairro=STRING, total_reviews=BIGINT, rating_medio=DOUBLE, reviews_positivos=BIGINT,
+        gold_timestamp=TIMESTAMP,
     ),
 }
 
-PROGRESS = _struct("bairro string, place_id string, list_pos int")
-CONSULTED = _struct("bairro string, place_id string, data_ultima_consulta timestamp")
-TOTALS = _struct("total_agencias_processadas bigint, total_comentarios_coletados bigint")
-QUEUE_MESSAGE = _struct(
-    "bairro string, timestamp string, origem string, "
-    "progresso struct<bairro_atual_index: int, total_bairros: int, "
-    "percentual_concluido: double, bairros_restantes: int>, tentativas int"
+PROGRESS = _columns(bairro=STRING, place_id=STRING, list_pos=INT)
+CONSULTED = _columns(bairro=STRING, place_id=STRING, data_ultima_consulta=TIMESTAMP)
+TOTALS = _columns(total_agencias_processadas=BIGINT, total_comentarios_coletados=BIGINT)
+QUEUE_MESSAGE = _columns(
+    bairro=STRING, timestamp=STRING, origem=STRING,
+    progresso=_columns(
+        bairro_atual_index=INT, total_bairros=INT, percentual_concluido=DOUBLE,
+        bairros_restantes=INT),
+    tentativas=INT,
+)
+REJECTED_MESSAGE = _columns(
+    bairro=STRING, timestamp_rejeicao=STRING, motivo=STRING, tentativas=INT,
 )
-REJECTED_MESSAGE = _struct("bairro string, timestamp_rejeicao string, motivo string, tentativas int")
-RUN_LOG = _struct(
-    "run_id string, task string, status string, started timestamp, seconds double, "
-    "valid_rows bigint, total_rows bigint"
+RUN_LOG = _columns(
+    run_id=STRING, task=STRING, status=STRING, started=TIMESTAMP, seconds=DOUBLE,
+    valid_rows=BIGINT, total_rows=BIGINT,
 )
-AUDIT = _struct(
-    "timestamp timestamp, operation string, table_name string, records_affected bigint, "
-    "pii_detected bigint, anonymization_applied boolean, user string, compliance_status string"
+AUDIT = _columns(
+    timestamp=TIMESTAMP, operation=STRING, table_name=STRING, records_affected=BIGINT,
+    pii_detected=BIGINT, anonymization_applied=BOOLEAN, user=STRING, compliance_status=STRING,
 )

@@ -33,9 +33,8 @@ def read_landing(spark: SparkSession, path: str, layout: str | None = None,
         )
     if layout == "simple":
         raise ValueError("partition folders hold envelope documents only")
-    folders = "year int, month int, day int, bairro string"
     landed = (
-        spark.read.schema(f"{schemas.ENVELOPE_DDL}, {folders}").option("multiLine", multi)
+        spark.read.schema(schemas.PARTITIONED_ENVELOPE).option("multiLine", multi)
         .option("basePath", path).json(path)
     )
     return landed.withColumnsRenamed({p: f"part_{p}" for p in PARTITIONS})
