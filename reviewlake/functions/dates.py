@@ -25,7 +25,8 @@ def to_timestamp_or_null(text: Column) -> Column:
 
 
 def parse_collection_timestamp(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit(COLLECTION_PATTERN))
+    # Nothing shorter than the pattern can match; a failed parse costs an exception.
+    return F.when(F.length(text) >= 26, F.try_to_timestamp(text, F.lit(COLLECTION_PATTERN)))
 
 
 def month_start(text: Column) -> Column:

@@ -30,6 +30,10 @@ def _unicode(pattern: str) -> str:
     return "(?U)" + pattern
 
 
+def replace_all(text: Column, pattern: str, token: str) -> Column:
+    return F.regexp_replace(text, _unicode(pattern), token)
+
+
 def strip(text: Column) -> Column:
     """Trim every kind of white space, not blanks only."""
     return F.btrim(text, F.lit(SPACE_CHARS))
@@ -41,10 +45,25 @@ def is_blank(text: Column) -> Column:
 
 # --- sentiment ---------------------------------------------------------------
 
+def count_in_lowered(lowered: Column, terms) -> Column:
+    """How many of ``terms`` occur in an already lower-cased text; NULL counts 0.
+
+    A filter over a literal array, not a sum of one test per term: as fast once
+    warm, and without thousands of bytes of generated code per list, which slow
+    the start of every query and can exceed what the JVM compiles.
+    """
+    listed = F.array(*[F.lit(t) for t in terms])
+    return F.size(F.filter(listed, lambda term: F.contains(lowered, term)))
+
+
+def _with_lowered(text: Column, build) -> Column:
+    """``build`` applied to the lower-cased text as a bound variable: lower-casing
+    happens once however often the result uses it, also inside a pushed-down filter."""
+    return F.get(F.transform(F.array(F.lower(text)), build), F.lit(0))
+
+
 def count_terms(text: Column, terms) -> Column:
-    """How many of ``terms`` occur in the lower-cased text; NULL text counts 0."""
-    lowered = F.lower(text)
-    return F.coalesce(reduce(add, [lowered.contains(t).cast("int") for t in terms]), F.lit(0))
+    return _with_lowered(text, lambda low: count_in_lowered(low, terms))
 
 
 def _token_hits(text: Column, terms, others) -> Column:
@@ -57,7 +76,8 @@ def _token_hits(text: Column, terms, others) -> Column:
 
 def sentiment_balance(text: Column, positive, negative, mode: str = "substring") -> Column:
     if mode == "substring":
-        return count_terms(text, positive) - count_terms(text, negative)
+        return _with_lowered(text, lambda low: (
+            count_in_lowered(low, positive) - count_in_lowered(low, negative)))
     if mode == "token":
         return _token_hits(text, positive, negative) - _token_hits(text, negative, positive)
     raise ValueError(f"unknown sentiment mode {mode!r}")
@@ -104,7 +124,11 @@ def pii_flags(text: Column, table=rules.PII_RULES) -> dict[str, Column]:
 
 
 def types_from_flags(flags: dict[str, Column]) -> Column:
-    return F.array_compact(F.array(*[F.when(f, F.lit(kind)) for kind, f in flags.items()]))
+    marks = F.array(*[F.when(f, F.lit(kind)) for kind, f in flags.items()])
+    none = F.array().cast("array<string>")
+    # array_except drops the NULLs inside generated code, where array_compact could not.
+    found = F.array_except(marks, F.array(F.lit(None).cast("string")))
+    return F.when(any_flag(flags), found).otherwise(none)
 
 
 def any_flag(flags: dict[str, Column]) -> Column:
@@ -115,8 +139,7 @@ def anonymize_with_flags(text: Column, flags: dict[str, Column], table=rules.PII
     """Replace each detected type in turn; detection looked at the original text."""
     result = text
     for kind, pattern, token in table:
-        replaced = F.regexp_replace(result, _unicode(pattern), token)
-        result = F.when(flags[kind], replaced).otherwise(result)
+        result = F.when(flags[kind], replace_all(result, pattern, token)).otherwise(result)
     return result
 
 
@@ -142,7 +165,7 @@ def mask_pii(text: Column) -> Column:
     """Mask CPF, phone, e-mail and postal code, each on the result of the one before."""
     result = text
     for kind, pattern, token in rules.MASK_RULES:
-        replaced = F.regexp_replace(result, _unicode(pattern), token)
+        replaced = replace_all(result, pattern, token)
         result = F.when(result.contains("@"), replaced).otherwise(result) if kind == "email" else replaced
     return result
 
@@ -166,26 +189,32 @@ def risk_matches(text: Column) -> dict[str, Column]:
     return {name: count_terms(text, words) for name, _, words in rules.RISK_CATEGORIES}
 
 
+def risk_names(counts: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(n > 0, F.lit(name)) for name, n in counts.items()]))
+
+
 def risk_categories(text: Column) -> Column:
-    return F.array_compact(
-        F.array(*[F.when(n > 0, F.lit(name)) for name, n in risk_matches(text).items()])
-    )
+    return risk_names(risk_matches(text))
 
 
 def risk_keyword_pairs(text: Column) -> Column:
     """array<struct<tipo_risco, palavra>> of every keyword found, with its category."""
-    lowered = F.lower(text)
-    return F.array_compact(F.array(*[
-        F.when(lowered.contains(word),
-               F.struct(F.lit(name).alias("tipo_risco"), F.lit(word).alias("palavra")))
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("tipo_risco"), F.lit(word).alias("palavra"))
         for name, _, words in rules.RISK_CATEGORIES for word in words
-    ]))
+    ])
+    return _with_lowered(
+        text, lambda low: F.filter(pairs, lambda pair: F.contains(low, pair["palavra"])))
 
 
-def risk_tenths(text: Column) -> Column:
+def weighted_tenths(counts: dict[str, Column]) -> Column:
     """Weighted matches in tenths: integer, so level borders are exact."""
     weights = {name: weight for name, weight, _ in rules.RISK_CATEGORIES}
-    return reduce(add, [n * F.lit(weights[name]) for name, n in risk_matches(text).items()])
+    return reduce(add, [n * F.lit(weights[name]) for name, n in counts.items()])
+
+
+def risk_tenths(text: Column) -> Column:
+    return weighted_tenths(risk_matches(text))
 
 
 def risk_level(tenths: Column) -> Column:

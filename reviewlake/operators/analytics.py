@@ -18,6 +18,7 @@ from reviewlake.functions.dates import (
 )
 from reviewlake.functions.numeric import exact, mean_exact, percent, ratio, round_exact
 from reviewlake.operators.gold import nps_category
+from reviewlake.operators.silver import risk_counts, with_risk_counts
 from reviewlake.sources.layers import read_layer
 
 
@@ -80,19 +81,21 @@ def dedup_first(df: DataFrame, key, order) -> DataFrame:
 
 
 def unique_branch_metrics(df: DataFrame, order) -> DataFrame:
-    """Branches counted once per place_id; rows without one count as duplicates."""
+    """Branches counted once per place_id, by their first row in ``order``.
+
+    Rows without a place_id count as duplicates. One shuffle: each branch comes
+    down to its row count and the figure of its first row.
+    """
     reviews = F.coalesce(F.col("user_ratings_total"), F.lit(0))
-    valid = df.filter(F.coalesce(F.col("place_id"), F.lit("")) != "")
-    unique = dedup_first(valid, "place_id", order).agg(
-        _total().alias("total_agencias"),
-        F.coalesce(F.sum(reviews), F.lit(0).cast("bigint")).alias("total_reviews"),
-    )
-    rows = df.agg(_total().alias("total_registros"))
-    one = F.lit(1).alias("_one")
-    joined = unique.select("*", one).join(rows.select("*", one), "_one").drop("_one")
-    return joined.withColumn(
-        "duplicatas_detectadas", F.col("total_registros") - F.col("total_agencias")
-    )
+    per_place = df.groupBy("place_id").agg(
+        _total().alias("n"), F.min_by(reviews, F.struct(*order)).alias("reviews"))
+    valid = F.coalesce(F.col("place_id"), F.lit("")) != ""
+    return per_place.agg(
+        F.count_if(valid).alias("total_agencias"),
+        F.coalesce(F.sum(F.when(valid, F.col("reviews"))), F.lit(0).cast("bigint"))
+        .alias("total_reviews"),
+        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("total_registros"),
+    ).withColumn("duplicatas_detectadas", F.col("total_registros") - F.col("total_agencias"))
 
 
 # --- sentiment and personal data ---------------------------------------------
@@ -340,8 +343,8 @@ def benchmark_vs_region(kpis: DataFrame) -> DataFrame:
 
 def agency_kpis_full(silver: DataFrame, as_of: str | None = None) -> DataFrame:
     promoter = nps_category(F.col("rating_review"))
-    tenths = txt.risk_tenths(F.col("texto_review"))
-    return silver.groupBy("place_id", "nome_agencia", "bairro").agg(
+    tenths = txt.weighted_tenths(risk_counts())
+    return with_risk_counts(silver, "texto_review").groupBy("place_id", "nome_agencia", "bairro").agg(
         F.avg("rating_review").alias("rating_medio_agencia"),
         _total().alias("total_avaliacoes"),
         F.count_if(_is("positivo")).alias("avaliacoes_positivas"),
@@ -425,14 +428,9 @@ def risk_alerts_full(silver: DataFrame) -> DataFrame:
 def agency_kpis_daily(silver: DataFrame, top: int = 3) -> DataFrame:
     """Daily branch figures with the most frequent risk categories of the day."""
     keys = ["place_id", "nome_agencia", "bairro", "data_referencia"]
-    daily = silver.select(
-        "place_id", "nome_agencia", "bairro",
-        to_date_or_null(F.col("data_coleta")).alias("data_referencia"),
-        "total_avaliacoes", "rating_review", "sentimento",
-        txt.risk_tenths(F.col("texto_review")).alias("_tenths"),
-        *[(n > 0).alias(f"_{c}") for c, n in txt.risk_matches(F.col("texto_review")).items()],
-    )
-    names = [name for name, _, _ in rules.RISK_CATEGORIES]
+    daily = with_risk_counts(silver, "texto_review").withColumn(
+        "data_referencia", to_date_or_null(F.col("data_coleta")))
+    counts = risk_counts()
     counted = daily.groupBy(*keys).agg(
         F.max("total_avaliacoes").alias("total_avaliacoes"),
         _total().alias("avaliacoes_periodo"),
@@ -440,9 +438,10 @@ def agency_kpis_daily(silver: DataFrame, top: int = 3) -> DataFrame:
         percent(F.count_if(_is("positivo")), _total()).alias("sentimento_positivo_pct"),
         percent(F.count_if(_is("negativo")), _total()).alias("sentimento_negativo_pct"),
         percent(F.count_if(_is("neutro")), _total()).alias("sentimento_neutro_pct"),
-        F.count_if(F.col("_tenths") >= 20).alias("avaliacoes_risco_alto"),
-        *[F.count_if(F.col(f"_{c}")).alias(f"_{c}") for c in names],
+        F.count_if(txt.weighted_tenths(counts) >= 20).alias("avaliacoes_risco_alto"),
+        *[F.count_if(n > 0).alias(f"_{c}") for c, n in counts.items()],
     )
+    names = list(counts)
     # Five counters per group: ranked inside the row, no further shuffle.
     counters = F.array(*[
         F.when(F.col(f"_{c}") > 0, F.struct((-F.col(f"_{c}")).alias("n"), F.lit(c).alias("c")))

@@ -78,14 +78,15 @@ def temporal_sentiment_analysis(silver: DataFrame, as_of: str | None = None) ->
 def risk_alerts(silver: DataFrame, as_of: str | None = None) -> DataFrame:
     """Negative reviews per branch; one sentinel row when there are none.
 
-    The emptiness probe stops at the first negative review each task meets.
+    Negatives are counted rather than filtered: a filter on a computed label
+    would be pushed down and evaluate the label twice. The sentinel reads the
+    same shuffled counts as the alerts, so nothing is computed a second time.
     """
-    negative = silver.filter(_sentiment("negativo"))
-    alerts = negative.groupBy("place_id", "nome_agencia").agg(
-        _rows(silver).alias("total_reviews_negativas")
-    )
-    probe = negative.select("sentimento").limit(1).agg(F.count(F.lit(1)).alias("_found"))
-    sentinel = probe.filter(F.col("_found") == 0).select(
+    negatives = F.col("total_reviews_negativas")
+    alerts = silver.groupBy("place_id", "nome_agencia").agg(
+        _rows(silver, _sentiment("negativo")).alias("total_reviews_negativas")
+    ).filter(negatives > 0)
+    sentinel = alerts.agg(F.count(F.lit(1)).alias("_found")).filter(F.col("_found") == 0).select(
         F.lit("sem_alertas").alias("place_id"), F.lit("Nenhum alerta").alias("nome_agencia"),
         F.lit(0).cast("bigint").alias("total_reviews_negativas"),
     )

@@ -88,13 +88,16 @@ def next_bairro(status: DataFrame, current_index: int = 0) -> DataFrame:
     )
 
 
+def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two one-row frames as one row, without a join."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def progress_stats(status: DataFrame, totals: DataFrame, current_index: int = 0) -> DataFrame:
     """Index, totals, percentage done (2 decimals) and neighbourhoods left; one row."""
     index, n = F.col("bairro_atual_index"), F.col("total_bairros")
-    one = F.lit(1).alias("_one")
-    joined = next_bairro(status, current_index).select("*", one).join(
-        totals.select("*", one), "_one")
-    return joined.select(
+    return beside(next_bairro(status, current_index), totals).select(
         index.cast("int").alias("bairro_atual_index"), n.cast("int").alias("total_bairros"),
         F.coalesce(round_exact(percent(index, n)), F.lit(0.0)).alias("percentual_concluido"),
         (n - index).cast("int").alias("bairros_restantes"),

@@ -365,13 +365,17 @@ def temporal_violations(df: DataFrame) -> DataFrame:
 
 def evaluate_thresholds(metrics: DataFrame, thresholds=rules.THRESHOLDS) -> DataFrame:
     """metrics(metrica, percentual) against the limits; an action where one is violated."""
-    schema = "metrica string, minimo double, minimo_passa boolean, acao string"
-    limits = metrics.sparkSession.createDataFrame([tuple(t) for t in thresholds], schema)
-    value, low = F.col("percentual"), F.col("minimo")
-    passed = F.when(F.col("minimo_passa"), value >= low).otherwise(value > low)
-    return metrics.join(limits, "metrica").select(
-        "metrica", "percentual", "minimo", passed.alias("aprovado"),
-        F.when(passed, F.lit("nenhuma")).otherwise(F.col("acao")).alias("acao"),
+    limits = F.create_map(*[
+        c for metric, low, inclusive, action in thresholds for c in (F.lit(metric), F.struct(
+            F.lit(low).alias("minimo"), F.lit(inclusive).alias("inclui"), F.lit(action).alias("acao")))
+    ])
+    known = metrics.withColumn("_l", F.try_element_at(limits, F.col("metrica"))).filter(
+        F.col("_l").isNotNull())
+    value, low = F.col("percentual"), F.col("_l.minimo")
+    passed = F.when(F.col("_l.inclui"), value >= low).otherwise(value > low)
+    return known.select(
+        "metrica", "percentual", low.alias("minimo"), passed.alias("aprovado"),
+        F.when(passed, F.lit("nenhuma")).otherwise(F.col("_l.acao")).alias("acao"),
     )
 
 

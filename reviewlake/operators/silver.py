@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake import schemas
+from reviewlake.functions import rules
 from reviewlake.functions import text as txt
 from reviewlake.functions.dates import as_of_date, as_of_timestamp
 from reviewlake.operators.bronze import nonblank
@@ -19,20 +20,29 @@ def silver_score(text: str = "texto_review") -> Column:
 def enrich(df: DataFrame, text: str, mode: str = "substring") -> DataFrame:
     """Add sentimento, tem_pii, tipos_pii_detectados and texto_anonimizado.
 
-    The pattern tests are projected once, as flags; what follows reuses them.
+    Done in successive projections whose columns the next uses more than once,
+    so that Catalyst keeps them apart: every pattern test runs once per row, and
+    the generated methods stay small enough for the JVM to compile.
     """
     source = F.col(text)
     flags = txt.pii_flags(source)
-    flagged = df.withColumns({
+    rows = df.withColumns({
         "sentimento": txt.sentiment_label(source, mode=mode),
         **{f"_{kind}": flag for kind, flag in flags.items()},
     })
     seen = {kind: F.col(f"_{kind}") for kind in flags}
-    return flagged.withColumns({
-        "tem_pii": txt.any_flag(seen),
-        "tipos_pii_detectados": txt.types_from_flags(seen),
-        "texto_anonimizado": txt.anonymize_with_flags(source, seen),
-    }).drop(*[f"_{kind}" for kind in flags])
+    masked = source
+    for kind, pattern, token in rules.PII_RULES:
+        step = F.when(seen[kind], txt.replace_all(masked, pattern, token)).otherwise(masked)
+        rows = rows.withColumn(f"_masked_{kind}", step)
+        masked = F.col(f"_masked_{kind}")
+    return rows.select(
+        *[c for c in df.columns if c != text], source,
+        "sentimento",
+        txt.any_flag(seen).alias("tem_pii"),
+        txt.types_from_flags(seen).alias("tipos_pii_detectados"),
+        masked.alias("texto_anonimizado"),
+    )
 
 
 def to_silver(bronze: DataFrame, as_of: str | None = None, keep_review_id: bool = False,
@@ -65,13 +75,7 @@ def to_silver(bronze: DataFrame, as_of: str | None = None, keep_review_id: bool
         *(["bronze_review_id"] if keep_review_id else []),
     ).withColumn("data_quality_score", silver_score())
     if with_risk:
-        risk = txt.reputational_risk(F.col("texto_review"))
-        silver = silver.withColumn("_risk", risk).withColumns({
-            "risco_reputacional": F.col("_risk.nivel"),
-            "categorias_risco": F.col("_risk.categorias"),
-            "risco_score": F.col("_risk.score"),
-            "padroes_criticos": txt.critical_patterns(F.col("texto_review")),
-        }).drop("_risk")
+        silver = add_risk(silver, "texto_review")
     if privacy == "strict":
         if not salt:
             raise ValueError("privacy='strict' needs a salt")
@@ -85,6 +89,34 @@ def to_silver(bronze: DataFrame, as_of: str | None = None, keep_review_id: bool
     return silver.select(*order, *[c for c in silver.columns if c not in order])
 
 
+def add_risk(df: DataFrame, text: str) -> DataFrame:
+    """Add the reputational-risk columns; keywords are counted once per category."""
+    counted = with_risk_counts(df, text)
+    counts = risk_counts()
+    joined = F.array_join(txt.risk_names(counts), ",")
+    tenths = txt.weighted_tenths(counts)
+    return counted.select(
+        *df.columns,
+        txt.risk_level(tenths).alias("risco_reputacional"),
+        F.when(joined == "", F.lit("NENHUMA")).otherwise(joined).alias("categorias_risco"),
+        (tenths.cast("double") / F.lit(10.0)).alias("risco_score"),
+        txt.critical_patterns(F.col(text)).alias("padroes_criticos"),
+    )
+
+
+def with_risk_counts(df: DataFrame, text: str) -> DataFrame:
+    """Keyword matches per risk category as columns ``_risk_<category>``."""
+    lowered = df.withColumn("_lower", F.lower(F.col(text)))
+    return lowered.withColumns({
+        f"_risk_{name}": txt.count_in_lowered(F.col("_lower"), words)
+        for name, _, words in rules.RISK_CATEGORIES
+    }).drop("_lower")
+
+
+def risk_counts() -> dict[str, Column]:
+    return {name: F.col(f"_risk_{name}") for name, _, _ in rules.RISK_CATEGORIES}
+
+
 def drill_down(silver: DataFrame, place_id: str) -> DataFrame:
     """The individual reviews of one branch."""
     return silver.filter(F.col("place_id") == place_id)

@@ -128,8 +128,8 @@ def _(spark, sf_dir):
 
 
 @query("add_partitions", """
-  SELECT year(CAST(l_shipdate AS DATE)) AS partition_year, month(CAST(l_shipdate AS DATE)) AS partition_month,
-    day(CAST(l_shipdate AS DATE)) AS partition_day, count(*) AS total FROM lineitem GROUP BY ALL
+  SELECT CAST(year(l_shipdate) AS INT) AS partition_year, CAST(month(l_shipdate) AS INT) AS partition_month,
+    CAST(day(l_shipdate) AS INT) AS partition_day, count(*) AS total FROM lineitem GROUP BY ALL
 """)
 def _(spark, sf_dir):
     days = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("dia"))

@@ -138,9 +138,7 @@ def _(spark, sf_dir):
     nobody = spark.createDataFrame([], schemas.CONSULTED)
     done, totals = inc.mark_consulted(
         nobody, _totals(spark, sf_dir), branches(spark, sf_dir), AS_OF)
-    one = F.lit(1).alias("_one")
-    counted = done.agg(F.count(F.lit(1)).alias("consultadas"))
-    return totals.select("*", one).join(counted.select("*", one), "_one").drop("_one")
+    return inc.beside(totals, done.agg(F.count(F.lit(1)).alias("consultadas")))
 
 
 @query("progress_stats", on_state(f"""

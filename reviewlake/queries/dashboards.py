@@ -266,7 +266,7 @@ def _(spark, sf_dir):
 
 
 @query("rank_agencies", on_nps(f"""
-  SELECT row_number() OVER (ORDER BY {NPS_SCORE} DESC, rating_medio DESC, place_id) AS posicao,
+  SELECT CAST(row_number() OVER (ORDER BY {NPS_SCORE} DESC, rating_medio DESC, place_id) AS INT) AS posicao,
     place_id, nome_agencia, {NPS_SCORE} AS nps_score, rating_medio, total_avaliacoes
   FROM nps ORDER BY posicao LIMIT 5
 """))

@@ -15,6 +15,7 @@ from reviewlake.operators.bronze import (
 )
 from reviewlake.operators.silver import to_silver
 from reviewlake.schemas import BRANCH, BRONZE
+from reviewlake.sources.layers import spread
 
 AS_OF = "2001-12-31 00:00:00"
 DAY = "2001-12-31"
@@ -116,7 +117,9 @@ def reviews(spark: SparkSession, sf_dir: str, author: bool = False) -> DataFrame
     skipping it saves the largest shuffle.
     """
     s = F.col("s_suppkey")
-    rows = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
+    rows = lines.join(
         table(spark, sf_dir, "supplier"), F.col("l_suppkey") == s
     ).join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     if author:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewlake import schemas
 
@@ -44,9 +45,13 @@ def write_layer(df: DataFrame, root: str, layer: str, fmt: str = "parquet",
     ``merge_schema=True`` on an append accepts columns the layer lacks or has more of.
     """
     path = layer_path(root, layer)
+    columns = PARTITION_COLUMNS.get(layer, ())
+    if columns:
+        # Few files per folder; a hot neighbourhood is split over several tasks.
+        df = df.hint("rebalance", *[F.col(c) for c in columns])
     writer = df.write.format(fmt).mode(mode)
-    if layer in PARTITION_COLUMNS:
-        writer = writer.partitionBy(*PARTITION_COLUMNS[layer])
+    if columns:
+        writer = writer.partitionBy(*columns)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if merge_schema and fmt == "delta":
@@ -55,6 +60,15 @@ def write_layer(df: DataFrame, root: str, layer: str, fmt: str = "parquet",
     return path
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a table that arrives as fewer splits than there are cores.
+
+    A table of many splits is returned as it is, so nothing large is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def conform(df: DataFrame, other: DataFrame) -> DataFrame:
     """Append frames whose columns differ; a missing column reads as NULL."""
     return df.unionByName(other, allowMissingColumns=True)

@@ -35,6 +35,18 @@ def spark_rows(df):
     return names, Counter(tuple(plain(v) for v in r) for r in rows)
 
 
+SAME = {
+    "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+    "BOOLEAN": "boolean", "SMALLINT": "smallint", "FLOAT": "float",
+}
+
+
+def type_mismatches(df, con, sql):
+    cursor = con.execute(sql)
+    wanted = {d[0]: SAME.get(str(d[1]), str(d[1])) for d in cursor.description}
+    return {n: (t, wanted[n]) for n, t in df.dtypes if wanted.get(n) != t}
+
+
 def oracle_rows(con, sql):
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
@@ -45,7 +57,8 @@ def oracle_rows(con, sql):
 
 def compare(spark, con, build, sql, sf_dir):
     """'' when both agree, else what differs."""
-    names, got = spark_rows(build(spark, sf_dir))
+    df = build(spark, sf_dir)
+    names, got = spark_rows(df)
     wanted_names, wanted = oracle_rows(con, sql)
     if names != wanted_names:
         return f"columns {names} != {wanted_names}"
@@ -53,11 +66,8 @@ def compare(spark, con, build, sql, sf_dir):
         extra, lacking = got - wanted, wanted - got
         return (f"{sum(got.values())} rows against {sum(wanted.values())}; "
                 f"only Spark {list(extra.items())[:2]}; only SQL {list(lacking.items())[:2]}")
-    types = [{type(v).__name__ for v in column} - {"NoneType"} for column in zip(*got)]
-    wanted_types = [{type(v).__name__ for v in column} - {"NoneType"} for column in zip(*wanted)]
-    if types != wanted_types:
-        return f"types {list(zip(names, types, wanted_types))}"
-    return ""
+    wrong = type_mismatches(df, con, sql)
+    return f"types {wrong}" if wrong else ""
 
 
 if __name__ == "__main__":
