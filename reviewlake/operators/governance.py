@@ -55,7 +55,7 @@ def audit_row(spark: SparkSession, operation: str, table: str, metrics: dict,
     values = (operation, table, int(metrics.get("records_affected") or 0), pii, pii > 0, user,
               "compliant")
     names = schemas.AUDIT.fieldNames()[1:]
-    return spark.createDataFrame([values], schemas.AUDIT[names]).select(
+    return spark.createDataFrame([values], schemas.AUDIT[1:]).select(
         as_of_timestamp(as_of).alias("timestamp"), *names)
 
 

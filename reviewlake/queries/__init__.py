@@ -14,6 +14,10 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+def rows_total():
+    return F.count(F.lit(1)).alias("total")
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Dates, timestamps and string arrays as text, so that engines print them alike."""
     columns = []

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewlake.functions import rules
 from reviewlake.operators import bronze as br
 from reviewlake.operators.silver import silver_score, to_silver
-from reviewlake.queries import query
+from reviewlake.queries import query, rows_total
 from reviewlake.queries.fixtures import (
-    AS_OF, BRONZE_SQL, DAY, LANDED_SQL, anonymized_sql, branches, bronze, bronze_rows,
+    AS_OF, DAY, LANDED_SQL, anonymized_sql, branches, bronze,
     label_sql, landing_documents, on_branches, on_bronze, on_landed, on_reviews, on_silver, reviews,
     silver, table, types_sql, with_ctes,
 )
@@ -17,10 +16,6 @@ from reviewlake.session import scratch_path
 from reviewlake.sources import catalog, layers
 from reviewlake.sources.landing import build_envelopes, read_landing, write_landing
 
-def rows_total():
-    return F.count(F.lit(1)).alias("total")
-
-
 @query("from_envelope", on_landed("""
   SELECT data_coleta, bairro_pesquisado, place_id, name, formatted_address, latitude, longitude, rating,
     total_avaliacoes, CAST(has_review AS INT) AS reviews, count(*) AS total

@@ -7,16 +7,13 @@ from pyspark.sql import functions as F
 from reviewlake import schemas
 from reviewlake.operators import governance as gov
 from reviewlake.operators import incremental as inc
-from reviewlake.queries import query
+from reviewlake.queries import query, rows_total
 from reviewlake.queries.dashboards import pct, round2
 from reviewlake.queries.fixtures import (
     AS_OF, BRANCHES_SQL, branches, bronze, on_bronze, on_silver, place_of, silver, table, with_ctes,
 )
 from reviewlake.session import scratch_path
 
-def rows_total():
-    return F.count(F.lit(1)).alias("total")
-
 # Branches of every neighbourhood; a third is consulted, and all of some neighbourhoods.
 STATE_SQL = """
   dim AS (SELECT n_nationkey AS position, n_name AS bairro FROM nation),

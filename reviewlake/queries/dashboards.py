@@ -11,7 +11,7 @@ from reviewlake.operators import gold
 from reviewlake.operators.silver import dashboard_filter, drill_down
 from reviewlake.queries import query
 from reviewlake.queries.fixtures import (
-    AS_OF, DAY, branches, bronze, hits_sql, on_branches, on_bronze, on_silver, silver, sql_text,
+    AS_OF, DAY, bronze, hits_sql, on_bronze, on_silver, silver, sql_text,
     table, with_ctes, SILVER_SQL,
 )
 from reviewlake.queries.gold import ALERTS_SQL, KPIS_SQL, NPS_SQL

@@ -118,7 +118,8 @@ def reviews(spark: SparkSession, sf_dir: str, author: bool = False) -> DataFrame
     """
     s = F.col("s_suppkey")
     lines = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"),
+        "l_orderkey", "l_linenumber")
     rows = lines.join(
         table(spark, sf_dir, "supplier"), F.col("l_suppkey") == s
     ).join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))

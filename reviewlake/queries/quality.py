@@ -9,13 +9,10 @@ from reviewlake.operators.silver import to_silver
 from reviewlake.queries import query
 from reviewlake.queries.dashboards import pct
 from reviewlake.queries.fixtures import (
-    AS_OF, BRANCHES_SQL, DAY, branches, bronze, bronze_rows, on_branches, on_bronze, on_silver,
-    reviews, silver, table, with_ctes,
+    AS_OF, BRANCHES_SQL, DAY, branches, bronze, bronze_rows, on_branches, on_bronze, on_silver, table,
+    with_ctes,
 )
 
-def rows_total():
-    return F.count(F.lit(1)).alias("total")
-
 CHECKED_SQL = BRANCHES_SQL + """,
 checked AS (
   SELECT *, CAST(coalesce(place_id, '') = '' AS INT) + CAST(coalesce(name, '') = '' AS INT)

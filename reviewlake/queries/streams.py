@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewlake.operators.bronze import to_bronze, normalize_landing
-from reviewlake.queries import query
+from reviewlake.queries import query, rows_total
 from reviewlake.queries.control import LANDED_SQL, landed
 from reviewlake.queries.fixtures import (
     AS_OF, BRANCHES_SQL, anonymized_sql, branches, label_sql, table, types_sql, with_ctes,
@@ -15,10 +15,6 @@ from reviewlake.sources.landing import write_landing
 from reviewlake.streaming import queue as wq
 from reviewlake.streaming import reviews as sr
 
-def rows_total():
-    return F.count(F.lit(1)).alias("total")
-
-
 def _messages(spark, sf_dir):
     """A folder of queue messages, one per event; every seventh names no neighbourhood."""
     e = table(spark, sf_dir, "events").join(

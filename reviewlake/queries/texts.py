@@ -6,17 +6,13 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import rules
 from reviewlake.functions import text as txt
-from reviewlake.queries import query
+from reviewlake.queries import query, rows_total
 from reviewlake.queries.dashboards import SCORE_TENTHS, SCORED_NEG, SCORED_POS, TENTHS, _CATS
-from reviewlake.sources.layers import spread
 from reviewlake.queries.fixtures import (
     anonymized_sql, flag_sql, hits_sql, label_sql, on_reviews, on_silver, reviews, silver, sql_text,
     table, types_sql,
 )
-
-def rows_total():
-    return F.count(F.lit(1)).alias("total")
-
+from reviewlake.sources.layers import spread
 
 @query("sentiment_label", on_reviews(f"""
   SELECT review_text, {label_sql("review_text")} AS sentimento, count(*) AS total FROM reviews GROUP BY ALL
@@ -33,7 +29,7 @@ def _(spark, sf_dir):
 """)
 def _(spark, sf_dir):
     text = F.col("text")
-    return spread(table(spark, sf_dir, "documents")).select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", txt.count_terms(text, rules.POSITIVE_TERMS).alias("positivas"),
         txt.count_terms(text, rules.NEGATIVE_TERMS).alias("negativas"),
         txt.sentiment_label(text).alias("sentimento"))
@@ -66,7 +62,7 @@ def _(spark, sf_dir):
 """)
 def _(spark, sf_dir):
     text = F.col("text")
-    return spread(table(spark, sf_dir, "documents")).select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", "source", txt.pii_types(text).alias("tipos"), txt.pii_types_str(text).alias("tipos_str"))
 
 
@@ -76,7 +72,7 @@ def _(spark, sf_dir):
   FROM documents GROUP BY ALL
 """)
 def _(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents")).withColumn("tipos", txt.pii_types(F.col("text")))
+    d = spread(table(spark, sf_dir, "documents"), "doc_id").withColumn("tipos", txt.pii_types(F.col("text")))
     return d.groupBy("source", "lang").agg(
         rows_total(), F.count_if(F.array_contains("tipos", "email")).alias("com_email"),
         F.count_if(F.array_contains("tipos", "telefone")).alias("com_telefone"))
@@ -84,7 +80,7 @@ def _(spark, sf_dir):
 
 @query("anonymize_documents", f"SELECT doc_id, md5({anonymized_sql('text')}) AS texto_md5 FROM documents")
 def _(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents")).select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", F.md5(txt.anonymize(F.col("text"))).alias("texto_md5"))
 
 
@@ -93,7 +89,7 @@ def _(spark, sf_dir):
 """)
 def _(spark, sf_dir):
     text = F.col("text")
-    return spread(table(spark, sf_dir, "conversations")).select(
+    return spread(table(spark, sf_dir, "conversations"), "conv_id", "turn").select(
         "conv_id", "turn", "role", txt.pii_types(text).alias("tipos"),
         F.md5(txt.anonymize(text)).alias("texto_md5"))
 
@@ -106,7 +102,7 @@ def _masked(column: str) -> str:
 
 @query("mask_pii_documents", f"SELECT doc_id, md5({_masked('text')}) AS texto_md5 FROM documents")
 def _(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents")).select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", F.md5(txt.mask_pii(F.col("text"))).alias("texto_md5"))
 
 
@@ -162,7 +158,7 @@ def _cleaned(column: str) -> str:
 
 @query("clean_text_documents", f"SELECT doc_id, md5({_cleaned('text')}) AS limpo_md5 FROM documents")
 def _(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents")).select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", F.md5(txt.clean_text(F.col("text"))).alias("limpo_md5"))
 
 
@@ -170,7 +166,7 @@ def _(spark, sf_dir):
   SELECT page_id, md5({_cleaned('html')}) AS limpo_md5, {_cleaned('url')} AS url_limpa FROM pages
 """)
 def _(spark, sf_dir):
-    return spread(table(spark, sf_dir, "pages")).select(
+    return spread(table(spark, sf_dir, "pages"), "page_id").select(
         "page_id", F.md5(txt.clean_text(F.col("html"))).alias("limpo_md5"),
         txt.clean_text(F.col("url")).alias("url_limpa"))
 
