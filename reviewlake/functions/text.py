@@ -56,10 +56,14 @@ def count_in_lowered(lowered: Column, terms) -> Column:
     return F.size(F.filter(listed, lambda term: F.contains(lowered, term)))
 
 
+def _bind(value: Column, build) -> Column:
+    """``build`` applied to ``value`` as a bound variable: the value is computed once
+    however often the result uses it, also inside a pushed-down filter."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def _with_lowered(text: Column, build) -> Column:
-    """``build`` applied to the lower-cased text as a bound variable: lower-casing
-    happens once however often the result uses it, also inside a pushed-down filter."""
-    return F.get(F.transform(F.array(F.lower(text)), build), F.lit(0))
+    return _bind(F.lower(text), build)
 
 
 def count_terms(text: Column, terms) -> Column:
@@ -97,16 +101,22 @@ def sentiment_label(text: Column, positive=rules.POSITIVE_TERMS, negative=rules.
 def sentiment_score(text: Column, positive=rules.SCORED_POSITIVE_TERMS,
                     negative=rules.SCORED_NEGATIVE_TERMS) -> Column:
     """struct<label, score>: the winning side's 0.5 + 0.1 per term, at most 0.9."""
-    pos, neg = count_terms(text, positive), count_terms(text, negative)
-    long_enough = F.coalesce(F.length(strip(text)), F.lit(0)) >= 3
-    tenths = F.least(F.lit(9), F.greatest(pos, neg) + F.lit(5))
-    decided = long_enough & (pos != neg)
-    return F.struct(
-        F.when(long_enough & (pos > neg), F.lit("POSITIVO"))
-        .when(long_enough & (neg > pos), F.lit("NEGATIVO"))
-        .otherwise(F.lit("NEUTRO")).alias("label"),
-        F.when(decided, tenths.cast("double") / F.lit(10.0)).otherwise(F.lit(0.5)).alias("score"),
-    )
+    counts = _with_lowered(text, lambda low: F.struct(
+        count_in_lowered(low, positive).alias("pos"), count_in_lowered(low, negative).alias("neg"),
+        (F.coalesce(F.length(strip(low)), F.lit(0)) >= 3).alias("long"),
+    ))
+
+    def scored(c):
+        ahead, behind = c["long"] & (c["pos"] > c["neg"]), c["long"] & (c["neg"] > c["pos"])
+        tenths = F.least(F.lit(9), F.greatest(c["pos"], c["neg"]) + F.lit(5))
+        return F.struct(
+            F.when(ahead, F.lit("POSITIVO")).when(behind, F.lit("NEGATIVO"))
+            .otherwise(F.lit("NEUTRO")).alias("label"),
+            F.when(ahead | behind, tenths.cast("double") / F.lit(10.0)).otherwise(F.lit(0.5))
+            .alias("score"),
+        )
+
+    return _bind(counts, scored)
 
 
 # --- personal data -----------------------------------------------------------
@@ -184,9 +194,14 @@ def pseudonymize(name: Column, salt: str) -> Column:
 
 # --- reputational risk -------------------------------------------------------
 
-def risk_matches(text: Column) -> dict[str, Column]:
-    """Matching keywords per category."""
-    return {name: count_terms(text, words) for name, _, words in rules.RISK_CATEGORIES}
+def risk_matches(text: Column) -> Column:
+    """struct of matching keywords per category."""
+    return _with_lowered(text, lambda low: F.struct(*[
+        count_in_lowered(low, words).alias(name) for name, _, words in rules.RISK_CATEGORIES]))
+
+
+def _by_category(matches: Column) -> dict[str, Column]:
+    return {name: matches[name] for name, _, _ in rules.RISK_CATEGORIES}
 
 
 def risk_names(counts: dict[str, Column]) -> Column:
@@ -194,7 +209,7 @@ def risk_names(counts: dict[str, Column]) -> Column:
 
 
 def risk_categories(text: Column) -> Column:
-    return risk_names(risk_matches(text))
+    return _bind(risk_matches(text), lambda m: risk_names(_by_category(m)))
 
 
 def risk_keyword_pairs(text: Column) -> Column:
@@ -214,7 +229,7 @@ def weighted_tenths(counts: dict[str, Column]) -> Column:
 
 
 def risk_tenths(text: Column) -> Column:
-    return weighted_tenths(risk_matches(text))
+    return _bind(risk_matches(text), lambda m: weighted_tenths(_by_category(m)))
 
 
 def risk_level(tenths: Column) -> Column:
@@ -226,13 +241,13 @@ def risk_level(tenths: Column) -> Column:
 
 def reputational_risk(text: Column) -> Column:
     """struct<nivel, categorias, score>."""
-    tenths = risk_tenths(text)
-    joined = F.array_join(risk_categories(text), ",")
-    return F.struct(
-        risk_level(tenths).alias("nivel"),
-        F.when(joined == "", F.lit("NENHUMA")).otherwise(joined).alias("categorias"),
-        (tenths.cast("double") / F.lit(10.0)).alias("score"),
-    )
+    summed = _bind(risk_matches(text), lambda m: F.struct(
+        weighted_tenths(_by_category(m)).alias("tenths"),
+        F.array_join(risk_names(_by_category(m)), ",").alias("names")))
+    return _bind(summed, lambda r: F.struct(
+        risk_level(r["tenths"]).alias("nivel"),
+        F.when(r["names"] == "", F.lit("NENHUMA")).otherwise(r["names"]).alias("categorias"),
+        (r["tenths"].cast("double") / F.lit(10.0)).alias("score")))
 
 
 def critical_patterns(text: Column) -> Column:
