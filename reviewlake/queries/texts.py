@@ -35,7 +35,25 @@ def _(spark, sf_dir):
         txt.sentiment_label(text).alias("sentimento"))
 
 
-@query("sentiment_label_tokens")
+# Terms of several words hide the shorter terms inside them.
+_LONG = [t for t in rules.NEGATIVE_TERMS if " " in t]
+
+
+def _tokens_sql(terms) -> str:
+    def whole(column, term):
+        return (rf"CASE WHEN regexp_matches({column}, '(^|[^\p{{L}}\p{{N}}_]){term}([^\p{{L}}\p{{N}}_]|$)') "
+                "THEN 1 ELSE 0 END")
+
+    return " + ".join(whole("low" if t in _LONG else "rest", t) for t in terms)
+
+
+@query("sentiment_label_tokens", on_reviews(f"""
+  , r AS (SELECT review_text, lower(review_text) AS low,
+      regexp_replace(lower(review_text), '{"|".join(_LONG)}', '#', 'g') AS rest FROM reviews),
+  n AS (SELECT review_text, {_tokens_sql(rules.POSITIVE_TERMS)} AS p, {_tokens_sql(rules.NEGATIVE_TERMS)} AS n FROM r)
+  SELECT review_text, CASE WHEN p > n THEN 'positivo' WHEN n > p THEN 'negativo' ELSE 'neutro' END AS sentimento,
+    count(*) AS total FROM n GROUP BY ALL
+"""))
 def _(spark, sf_dir):
     label = txt.sentiment_label(F.col("review_text"), mode="token")
     return reviews(spark, sf_dir).groupBy("review_text", label.alias("sentimento")).agg(

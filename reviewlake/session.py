@@ -18,6 +18,19 @@ DEFAULTS = {
 }
 
 
+def shuffle_settings(shuffled_bytes: int, target: int = 256 << 20) -> dict[str, str]:
+    """Settings for jobs that shuffle about ``shuffled_bytes``.
+
+    Adaptive execution merges partitions that turn out small, but never makes
+    more of them, so the starting number has to suit the largest shuffle.
+    """
+    partitions = max(200, min(50_000, -(-shuffled_bytes // target)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+    }
+
+
 def get_session(app: str = "reviewlake", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -58,25 +58,25 @@ def test_ranked_filters_limit_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") >= 2
 
 
-# Queries that write files while they are built; their parts are covered by others.
-WRITING = {
-    "batch_equals_stream", "landing_roundtrip", "landing_partitions", "layer_roundtrip",
-    "gold_tables_written", "schema_merge", "registered_table", "state_roundtrip",
-}
-
-
 def test_no_plan_uses_python_or_a_cross_join(spark):
     import __spark_entry__ as entrypoint
+    from bench import HEADLINES
 
-    for name, build in entrypoint.queries().items():
-        if name.startswith("stream_") or name in WRITING:
-            continue
-        text = plan(build(spark, SF_DIR))
+    for name in (*HEADLINES, "risk_alerts_sentinel", "rank_agencies", "progress_stats",
+                 "mark_consulted", "next_bairro", "evaluate_thresholds", "report_lines"):
+        text = plan(entrypoint.queries()[name](spark, SF_DIR))
         for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
                     "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in text, (name, bad)
 
 
+def test_shuffle_settings_follow_the_data():
+    from reviewlake.session import shuffle_settings
+
+    assert shuffle_settings(1)["spark.sql.shuffle.partitions"] == "200"
+    assert shuffle_settings(10 << 40)["spark.sql.shuffle.partitions"] == "40960"
+
+
 def test_scans_read_only_what_is_needed(spark):
     silver = fx.silver(spark, SF_DIR)
     text = plan(an.run_stats(fx.bronze(spark, SF_DIR)))
