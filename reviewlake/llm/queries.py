@@ -36,7 +36,30 @@ def op2_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-@query("op7_decontamination")
+@query("op7_decontamination", r"""
+    WITH item AS (
+        SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+               list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+        FROM benchmark),
+    sized AS (SELECT item_id, w, least(10, len(w)) AS need FROM item WHERE len(w) > 0),
+    win AS (
+        SELECT DISTINCT item_id, need, unnest([array_to_string(w[s:s + need - 1], ' ') for s in range(1, len(w) - need + 2)]) AS g
+        FROM sized),
+    doc AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+        FROM documents),
+    gram AS (
+        SELECT doc_id, need, s, array_to_string(w[s:s + need - 1], ' ') AS g
+        FROM (SELECT doc_id, w, need, unnest(range(1, len(w) - need + 2)) AS s
+              FROM doc, (SELECT DISTINCT need FROM sized))),
+    met AS (SELECT doc_id, need, s, item_id FROM gram JOIN win USING (need, g)),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(s, s + need)) AS p FROM met) GROUP BY doc_id),
+    found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+              FROM met GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)""")
 def op7_decontamination(spark, sf_dir):
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
