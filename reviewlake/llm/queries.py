@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlake.llm import bpe, decontam, exact_dedup, langid, simhash
+from reviewlake.llm import bpe, decontam, exact_dedup, langid, lines, simhash, warc
 from reviewlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,32 @@ def op2_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op3_warc", """
+    WITH page AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    sized AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM page),
+    first AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM sized)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id <> least THEN least END AS refers_to
+    FROM first""")
+def op3_warc(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages")).drop("url")
+
+
+@query("op4_line_dedup", """
+    WITH line AS (
+        SELECT doc_id, source, i, lines[i] AS line
+        FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines,
+                     unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+    common AS (SELECT trim(line) AS t FROM line WHERE length(trim(line)) >= 20
+               GROUP BY 1 HAVING count(DISTINCT source) >= 10)
+    SELECT doc_id, count(*) AS n_lines, count(common.t) AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE common.t IS NULL), '') AS clean_text
+    FROM line LEFT JOIN common ON trim(line) = common.t GROUP BY doc_id""")
+def op4_line_dedup(spark, sf_dir):
+    return lines.remove_boilerplate(table(spark, sf_dir, "documents"))
+
+
 @query("op7_decontamination", r"""
     WITH item AS (
         SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
