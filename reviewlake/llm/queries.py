@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlake.llm import bpe, decontam, exact_dedup, langid, lines, simhash, warc
+from reviewlake.llm import (
+    bpe, decontam, exact_dedup, langid, lines, pseudo_likelihood, rans, simhash, token_cache, warc,
+)
 from reviewlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +64,16 @@ def op4_line_dedup(spark, sf_dir):
     return lines.remove_boilerplate(table(spark, sf_dir, "documents"))
 
 
+@query("op5_rans")
+def op5_rans(spark, sf_dir):
+    return rans.written_and_read(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark, sf_dir):
+    return token_cache.token_counts(table(spark, sf_dir, "documents"))
+
+
 @query("op7_decontamination", r"""
     WITH item AS (
         SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
@@ -98,3 +110,8 @@ def op8_bpe_chunks(spark, sf_dir):
 @query("op9_simhash")
 def op9_simhash(spark, sf_dir):
     return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pseudo_likelihood")
+def op10_pseudo_likelihood(spark, sf_dir):
+    return pseudo_likelihood.score_corpus(table(spark, sf_dir, "documents"))
