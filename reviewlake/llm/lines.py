@@ -33,7 +33,7 @@ ERRORS = 6
 
 def hashed_lines(docs: DataFrame, site_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(h, site): 128-bit hashes of a document's distinct lines that are long enough."""
-    lines = F.array_distinct(F.transform(F.split(named(text_col), "\n"), F.trim))
+    lines = F.array_distinct(F.transform(F.split(named(text_col), "\n"), lambda line: F.trim(line)))
     return (docs.select(F.coalesce(named(site_col).cast("string"), F.lit("")).alias("site"), F.explode(lines).alias("line"))
             .where(F.char_length("line") >= min_chars).select(F.unhex(F.md5("line")).alias("h"), "site"))
 

@@ -33,7 +33,7 @@ WORDS, BUCKETS = 191, 64
 SIZE = 1 + WORDS + BUCKETS
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 #: Share of places masked per round, rounds, places per step, learning rate.
-MASKED, ROUNDS, STEP, RATE = 0.1, 2, 512, 0.08
+MASKED, ROUNDS, STEP, RATE = 0.1, 2, 256, 0.15
 SEED = 7
 PLACES = 8192
 #: Words held in a worker's memory at once.
@@ -109,12 +109,15 @@ def contexts(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
     return padded[places[:, None] + offsets]
 
 
+def log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits = logits - logits.max(axis=1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+
+
 def forward(parts: dict, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hidden layer and log-probabilities of all ids."""
     hidden = np.tanh(sum(parts["T"][j][around[:, j]] for j in range(2 * SIDE)) + parts["b"])
-    logits = hidden @ parts["V"] + parts["c"]
-    logits -= logits.max(axis=1, keepdims=True)
-    return hidden, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return hidden, log_softmax(hidden @ parts["V"] + parts["c"])
 
 
 def with_tables(parts: dict) -> dict:
@@ -124,21 +127,23 @@ def with_tables(parts: dict) -> dict:
 
 def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, target: np.ndarray) -> None:
     """One Adagrad step in place."""
-    parts = with_tables(named_parts(flat))
-    hidden, logp = forward(parts, around)
-    slope = np.exp(logp)
-    slope[np.arange(len(target)), target] -= 1
-    slope /= len(target)
+    parts, n = named_parts(flat), len(target)
+    inputs = parts["E"][around].reshape(n, -1)
+    mixing = parts["W"].reshape(-1, HIDDEN)
+    hidden = np.tanh(inputs @ mixing + parts["b"])
+    slope = np.exp(log_softmax(hidden @ parts["V"] + parts["c"]))
+    slope[np.arange(n), target] -= 1
+    slope /= n
     down = (slope @ parts["V"].T) * (1 - hidden ** 2)
     change = np.zeros_like(flat)
     grads = named_parts(change)
     grads["V"][:] = hidden.T @ slope
     grads["c"][:] = slope.sum(axis=0)
     grads["b"][:] = down.sum(axis=0)
-    for j in range(2 * SIDE):
-        seen = parts["E"][around[:, j]]
-        grads["W"][j] = seen.T @ down
-        np.add.at(grads["E"], around[:, j], down @ parts["W"][j].T)
+    grads["W"][:] = (inputs.T @ down).reshape(grads["W"].shape)
+    seen = np.zeros((SIZE, around.size), flat.dtype)
+    seen[around.ravel(), np.arange(around.size)] = 1
+    grads["E"][:] = seen @ (down @ mixing.T).reshape(-1, WIDTH)
     squares += change ** 2
     flat -= RATE * change / (np.sqrt(squares) + 1e-6)
 
