@@ -182,8 +182,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 .where("rows > 1").select(F.unhex(F.sha2("body", 256)).alias("sha")))
     keys = (blocks.select(F.explode(F.arrays_zip("uids", "ids", "shas")).alias("r"))
             .select(F.col("r.uids").alias("uid"), F.col("r.ids").alias("id"), F.col("r.shas").alias("sha")))
-    groups = (keys.join(verified, "sha", "left_semi").groupBy("sha")
-              .agg(F.max(F.struct("id", "uid")).alias("best"), F.count(F.lit(1)).alias("group_size")))
+    # Grouped before the join: a hot digest is one row per task by then.
+    groups = (keys.groupBy("sha").agg(F.max(F.struct("id", "uid")).alias("best"),
+                                      F.count(F.lit(1)).alias("group_size"))
+              .where("group_size > 1").join(verified, "sha", "left_semi"))
     joined = keys.join(groups, "sha", "left")
     alone = F.col("group_size").isNull()
     return joined.select(
