@@ -63,7 +63,7 @@ def main() -> None:
     # The stages of the flow over stored layers, each writing its output.
     with tempfile.TemporaryDirectory(prefix="bench-") as root:
         results["layer_bronze_write"] = median(
-            lambda: write_layer(fx.bronze(spark, SF_DIR, author=True), root, "bronze"))
+            lambda: write_layer(fx.bronze(spark, SF_DIR), root, "bronze"))
         results["layer_bronze_to_silver"] = median(
             lambda: medallion.bronze_to_silver(spark, root, fx.AS_OF))
         results["layer_silver_to_gold"] = median(

@@ -25,8 +25,10 @@ def to_timestamp_or_null(text: Column) -> Column:
 
 
 def parse_collection_timestamp(text: Column) -> Column:
-    # Nothing shorter than the pattern can match; a failed parse costs an exception.
-    return F.when(F.length(text) >= 26, F.try_to_timestamp(text, F.lit(COLLECTION_PATTERN)))
+    # One to six digits after the point. Both marks are part of every match, and a failed parse
+    # costs an exception.
+    marked = F.contains(text, F.lit("T")) & F.contains(text, F.lit("."))
+    return F.when(marked, F.try_to_timestamp(text, F.lit(COLLECTION_PATTERN)))
 
 
 def month_start(text: Column) -> Column:

@@ -19,6 +19,7 @@ from reviewlake.functions.dates import (
 from reviewlake.functions.numeric import exact, mean_exact, percent, ratio, round_exact
 from reviewlake.operators.gold import nps_category
 from reviewlake.operators.silver import risk_counts, with_risk_counts
+from reviewlake.session import checkpointed
 from reviewlake.sources.layers import read_layer
 
 
@@ -496,17 +497,20 @@ def sla_metrics(run_log: DataFrame, as_of: str | None, days: int = 1) -> DataFra
 
 # --- windows, paging, sets ---------------------------------------------------
 
-def nav_functions(df: DataFrame, keys, order, value: str, bucket: Column,
-                  ignore_nulls: bool = True, nth: int = 2) -> DataFrame:
+def nav_functions(df: DataFrame, keys, order, value: str, ignore_nulls: bool = True, nth: int = 2,
+                  bucket_rows: int = 1_000_000) -> DataFrame:
     """first / last / nth value over the whole key, and lead / lag, per row.
 
-    ``bucket`` cuts each key into consecutive runs of the order, so that no task
-    has to sort a hot key whole: neighbours are looked up inside a bucket, and
-    from a one-row-per-bucket summary across bucket borders. ``order`` must be
-    total within a key.
+    Rows are dealt by ranges of key and order into buckets of about ``bucket_rows``,
+    so that no task has to sort a hot key whole: neighbours are looked up inside a
+    bucket, and from a one-row-per-bucket summary across bucket borders. ``order``
+    must be total within a key. The dealt rows are checkpointed: a re-run of a lost
+    task must not deal them anew.
     """
     keys, order = list(keys), list(order)
-    rows = df.withColumn("_bucket", bucket)
+    buckets = max(1, -(-df.count() // bucket_rows))
+    rows = checkpointed(
+        df.repartitionByRange(buckets, *keys, *order).withColumn("_bucket", F.spark_partition_id()))
     position = F.struct(*[F.col(c) for c in order])
     counted = F.col(value).isNotNull() if ignore_nulls else F.lit(True)
     boxed = F.when(counted, F.struct(F.col(value).alias("v")))

@@ -23,11 +23,13 @@ def retention_action(layer: str, as_of: str | None, date: Column,
 
 
 def apply_retention(df: DataFrame, layer: str, as_of: str | None, date: Column,
-                    salt: str | None = None, policy: dict = rules.RETENTION
-                    ) -> tuple[DataFrame, DataFrame]:
+                    salt: str | None = None, policy: dict = rules.RETENTION,
+                    by: tuple = (), measures: tuple = ()) -> tuple[DataFrame, DataFrame]:
     """``(kept, expired)``. Nothing is deleted; what to do with ``expired`` is the caller's.
 
-    Expired Silver rows come out with pseudonymous authors and masked text only.
+    Expired Silver rows come out with pseudonymous authors and masked text only; of
+    expired Gold rows only aggregates remain: per year and ``by``, their number and
+    the sums of ``measures``.
     """
     marked = df.withColumn("_acao", retention_action(layer, as_of, date, policy))
     kept = marked.filter("_acao = 'manter'").drop("_acao")
@@ -39,6 +41,9 @@ def apply_retention(df: DataFrame, layer: str, as_of: str | None, date: Column,
             "review_autor": pseudonymize(F.col("review_autor"), salt),
             "texto_review": F.col("texto_anonimizado"),
         })
+    if policy[layer][1] == "agregados":
+        expired = expired.withColumn("ano", F.year(date)).groupBy("ano", *by).agg(
+            F.count(F.lit(1)).alias("registros"), *[F.sum(m).alias(m) for m in measures])
     return kept, expired
 
 

@@ -159,6 +159,19 @@ def recommendations(criteria: dict = rules.CRITERIA, extended: bool = False) ->
     return F.when((F.size(advice) == 0) & (F.col("score_qualidade") < 0.8), fallback).otherwise(advice)
 
 
+def failed_documents(broken: DataFrame, validated: DataFrame, by: str = "bairro",
+                     folder: str = "part_bairro") -> DataFrame:
+    """Validation rows of documents that could not be read: score 0, not approved, nothing counted.
+
+    ``broken`` comes from ``unreadable``; append the result to ``validated`` before the day's report.
+    """
+    fixed = {by: F.col(folder) if folder in broken.columns else F.lit(None),
+             "score_qualidade": F.lit(0.0), "aprovado": F.lit(False),
+             "recomendacoes": F.array(F.lit("Documento ilegível - coletar novamente"))}
+    return broken.select(*[
+        fixed.get(f.name, F.lit(0)).cast(f.dataType).alias(f.name) for f in validated.schema.fields])
+
+
 def problem_rows(branches: DataFrame, validated: DataFrame, criteria: dict = rules.CRITERIA,
                  by: str = "bairro") -> DataFrame:
     """Every problem as a row: those of branches and those of whole neighbourhoods."""
@@ -245,6 +258,11 @@ def report_lines(report: DataFrame, validated: DataFrame, problems: DataFrame,
     return top.unionByName(names).unionByName(details)
 
 
+def gate_refusals(validated: DataFrame, min_score: float = 0.7, score: str = "score_qualidade") -> DataFrame:
+    """The rows at which ``quality_gate`` would fail the job."""
+    return validated.filter(~F.coalesce(F.col(score) >= min_score, F.lit(False)))
+
+
 def quality_gate(validated: DataFrame, min_score: float = 0.7,
                  score: str = "score_qualidade") -> DataFrame:
     """Pass the rows through, failing the job at the first score below the limit.
@@ -404,7 +422,7 @@ def schema_diff(df: DataFrame, schema: T.StructType) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, keys) -> DataFrame:
     """Child keys without a parent, with their number of rows.
 
-    The child is counted per key first, so a hot key is one row in the join.
+    Both sides are reduced to one row per key first, so a hot key is one row in the join.
     """
     counted = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas"))
-    return counted.join(parent.select(*keys), list(keys), "left_anti")
+    return counted.join(parent.select(*keys).distinct(), list(keys), "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reviewlake import schemas
 from reviewlake.functions import rules
 from reviewlake.functions import text as txt
-from reviewlake.functions.dates import as_of_date, as_of_timestamp
+from reviewlake.functions.dates import as_of_date, as_of_timestamp, to_date_or_null
 from reviewlake.operators.bronze import nonblank
 
 
@@ -125,10 +125,12 @@ def drill_down(silver: DataFrame, place_id: str) -> DataFrame:
 def dashboard_filter(silver: DataFrame, start: str | None = None, end: str | None = None,
                      bairros=None, sentimentos=None) -> DataFrame:
     """Period, neighbourhood and sentiment filters; one left out does not filter."""
+    # By date: a collection time may follow the day, and the last day counts whole.
+    day = to_date_or_null(F.col("data_coleta"))
     if start:
-        silver = silver.filter(F.col("data_coleta") >= start)
+        silver = silver.filter(day >= F.lit(start).cast("date"))
     if end:
-        silver = silver.filter(F.col("data_coleta") <= end)
+        silver = silver.filter(day <= F.lit(end).cast("date"))
     if bairros:
         silver = silver.filter(F.col("bairro").isin(list(bairros)))
     if sentimentos:

@@ -22,11 +22,26 @@ def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observatio
     return df.observe(watch, F.count(F.lit(1)).alias("records_affected"), *exprs), watch
 
 
+def landed_documents(spark: SparkSession, landing: str, day: str | None = None,
+                     multiline: bool = True) -> DataFrame:
+    """All landed documents, or only the folders of one day."""
+    if day is None:
+        return read_landing(spark, landing, multiline=multiline)
+    year, month, of_month = (int(part) for part in day[:10].split("-"))
+    landed = read_landing(spark, landing, partitions=True, multiline=multiline)
+    return landed.filter(
+        (F.col("part_year") == year) & (F.col("part_month") == month) & (F.col("part_day") == of_month))
+
+
 def land_to_bronze(spark: SparkSession, landing: str, root: str, as_of: str | None = None,
-                   fmt: str = "parquet", key: str = "hash", dynamic: bool = False) -> dict:
-    bronze = to_bronze(normalize_landing(read_landing(spark, landing), as_of), as_of, key)
+                   fmt: str = "parquet", key: str = "hash", dynamic: bool = False,
+                   day: str | None = None, multiline: bool = True) -> dict:
+    """Bronze from landing. With ``day`` only that day's folders are read, and only the
+    Bronze partitions they fill are replaced, so that a day can be run again."""
+    landed = landed_documents(spark, landing, day, multiline)
+    bronze = to_bronze(normalize_landing(landed, as_of), as_of, key)
     watched, watch = observed(bronze, "bronze")
-    write_layer(watched, root, "bronze", fmt, dynamic=dynamic)
+    write_layer(watched, root, "bronze", fmt, dynamic=dynamic or day is not None)
     return watch.get
 
 
@@ -52,10 +67,11 @@ def silver_to_gold(spark: SparkSession, root: str, as_of: str | None = None,
 
 
 def run_medallion(spark: SparkSession, landing: str, root: str, as_of: str | None = None,
-                  fmt: str = "parquet", db: str | None = None, key: str = "hash") -> dict:
+                  fmt: str = "parquet", db: str | None = None, key: str = "hash",
+                  day: str | None = None, multiline: bool = True) -> dict:
     """Run every stage, append audit and lineage records, and register the tables."""
     metrics = {
-        "bronze": land_to_bronze(spark, landing, root, as_of, fmt, key),
+        "bronze": land_to_bronze(spark, landing, root, as_of, fmt, key, day=day, multiline=multiline),
         "silver": bronze_to_silver(spark, root, as_of, fmt),
     }
     silver_to_gold(spark, root, as_of, fmt)

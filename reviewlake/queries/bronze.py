@@ -8,11 +8,12 @@ from reviewlake.operators import bronze as br
 from reviewlake.operators.silver import silver_score, to_silver
 from reviewlake.queries import query, rows_total
 from reviewlake.queries.fixtures import (
-    AS_OF, DAY, LANDED_SQL, anonymized_sql, branches, bronze,
+    AS_OF, BRANCHES_SQL, DAY, LANDED_SQL, PHRASES, anonymized_sql, branches, bronze,
     label_sql, landing_documents, on_branches, on_bronze, on_landed, on_reviews, on_silver, reviews,
-    silver, table, types_sql, with_ctes,
+    silver, sql_text, table, types_sql, with_ctes,
 )
-from reviewlake.session import scratch_path
+from reviewlake.session import checkpointed, scratch_path
+from reviewlake.plans import medallion
 from reviewlake.sources import catalog, layers
 from reviewlake.sources.landing import build_envelopes, read_landing, write_landing
 
@@ -37,7 +38,7 @@ def _(spark, sf_dir):
     raw = r.select(
         F.when(F.col("s_suppkey") % 29 != 0, F.col("place_id")).alias("place_id"),
         F.col("endereco_completo").alias("formatted_address"),
-        F.when(F.col("l_linenumber") % 5 != 0, F.col("agencia_name")).alias("author_name"),
+        F.when(F.col("l_linenumber") % 5 != 0, F.col("author_name")).alias("author_name"),
         F.when(F.col("l_linenumber") % 6 != 0, F.col("review_rating")).alias("review_rating"),
         "review_text")
     filled = br.fill_defaults(raw)
@@ -93,13 +94,13 @@ def _(spark, sf_dir):
   FROM bronze GROUP BY ALL
 """))
 def _(spark, sf_dir):
-    keyed = br.review_id(bronze(spark, sf_dir, author=True), "sha256")
+    keyed = br.review_id(bronze(spark, sf_dir), "sha256")
     return keyed.groupBy("bronze_review_id").agg(rows_total())
 
 
 @query("review_id_hash")
 def _(spark, sf_dir):
-    return bronze(spark, sf_dir, author=True).select("place_id", "bronze_review_id")
+    return bronze(spark, sf_dir).select("place_id", "bronze_review_id")
 
 
 @query("add_audit", on_reviews(f"""
@@ -140,7 +141,7 @@ def _(spark, sf_dir):
   FROM silver
 """))
 def _(spark, sf_dir):
-    return silver(spark, sf_dir, author=True)
+    return silver(spark, sf_dir)
 
 
 @query("minimize", on_silver("""
@@ -240,12 +241,112 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = scratch_path(spark, "landing")
     write_landing(branches(spark, sf_dir), path, "exec", AS_OF)
-    landed = read_landing(spark, path, multiline=False)
+    landed = read_landing(spark, path)
     return br.normalize_landing(landed, AS_OF).select(
         F.col("bairro_pesquisado").alias("bairro"), "place_id", "name", "formatted_address",
         "latitude", "longitude", "rating", "total_avaliacoes", F.size("reviews").alias("n_reviews"))
 
 
+LANDED_BRONZE_SQL = BRANCHES_SQL + f""",
+r AS (SELECT b.*, CAST(i AS INT) AS i, p.texto
+  FROM branches b, range(1, 14) t(i) JOIN (VALUES {", ".join(f"({i}, {sql_text(p)})" for i, p in enumerate(PHRASES))})
+    p(phrase_id, texto) ON (b.s_suppkey + i) % 24 = p.phrase_id
+  WHERE i <= b.n_reviews AND b.place_id IS NOT NULL),
+landed_bronze AS (SELECT place_id, name AS agencia_name,
+    coalesce(formatted_address, 'Endereço não informado') AS endereco_completo, coalesce(lat, 0.0)::DOUBLE AS latitude,
+    coalesce(lng, 0.0)::DOUBLE AS longitude, rating AS agencia_rating, user_ratings_total AS total_avaliacoes,
+    bairro AS bairro_pesquisado, list_pos, 'Autor ' || i AS author_name, i % 6 AS review_rating,
+    coalesce(texto, '') AS review_text, s_suppkey * 1000 + i AS review_time FROM r)
+"""
+LANDED_COLUMNS = ("place_id", "agencia_name", "endereco_completo", "latitude", "longitude", "agencia_rating",
+                  "total_avaliacoes", "bairro_pesquisado", "author_name", "review_rating", "review_text", "review_time")
+
+
+@query("medallion_bronze", with_ctes(LANDED_BRONZE_SQL, """
+  SELECT * EXCLUDE (list_pos), '2001-12-31T00:00:00.000000' AS data_coleta FROM landed_bronze
+"""))
+def _(spark, sf_dir):
+    landing, lake = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    write_landing(branches(spark, sf_dir), landing, "exec", AS_OF)
+    medallion.run_medallion(spark, landing, lake, AS_OF)
+    return layers.read_layer(spark, lake, "bronze").select(*LANDED_COLUMNS, "data_coleta")
+
+
+@query("medallion_one_day", with_ctes(LANDED_BRONZE_SQL, """
+  SELECT * EXCLUDE (list_pos) FROM landed_bronze WHERE list_pos % 2 = 1
+"""))
+def _(spark, sf_dir):
+    """Two landed days, of which one is processed, twice."""
+    landing, lake = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    write_landing(branches(spark, sf_dir).where("list_pos % 2 = 0"), landing, "exec", "2001-12-30 00:00:00")
+    write_landing(branches(spark, sf_dir).where("list_pos % 2 = 1"), landing, "exec", AS_OF)
+    for _ in range(2):
+        medallion.land_to_bronze(spark, landing, lake, AS_OF, day=DAY)
+    return layers.read_layer(spark, lake, "bronze").select(*LANDED_COLUMNS)
+
+
+def simple_documents(spark, sf_dir):
+    return branches(spark, sf_dir).drop("position", "list_pos", "s_suppkey")
+
+
+SIMPLE_SQL = """
+  SELECT bairro, place_id, name, coalesce(formatted_address, 'Endereço não informado') AS formatted_address,
+    rating, user_ratings_total AS total_avaliacoes, CAST(n_reviews AS INT) AS n_reviews FROM branches
+"""
+
+
+def landed_branches(landed):
+    return br.normalize_landing(landed, AS_OF).select(
+        F.col("bairro_pesquisado").alias("bairro"), "place_id", "name",
+        F.coalesce("formatted_address", F.lit("Endereço não informado")).alias("formatted_address"), "rating",
+        "total_avaliacoes", F.greatest(F.size(F.coalesce("reviews", F.array())), F.lit(0)).alias("n_reviews"))
+
+
+@query("landing_simple", on_branches(SIMPLE_SQL))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "landing")
+    simple_documents(spark, sf_dir).write.json(path)
+    return landed_branches(read_landing(spark, path, "simple"))
+
+
+@query("landing_mixed", on_branches(f"{SIMPLE_SQL} UNION ALL {SIMPLE_SQL}"))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "landing")
+    simple_documents(spark, sf_dir).write.json(f"{path}/simples")
+    write_landing(branches(spark, sf_dir), f"{path}/envelopes", "exec", AS_OF)
+    return landed_branches(read_landing(spark, path))
+
+
+@query("audit_and_lineage", with_ctes(LANDED_BRONZE_SQL, """
+  SELECT 'landing_to_bronze' AS operation, 'bronze' AS table_name, count(*) AS records_affected,
+    1::BIGINT AS lineage_rows FROM landed_bronze
+  UNION ALL SELECT 'bronze_to_silver', 'silver', count(*), 1 FROM landed_bronze WHERE trim(review_text) <> ''
+"""))
+def _(spark, sf_dir):
+    landing, lake = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    write_landing(branches(spark, sf_dir), landing, "exec", AS_OF)
+    medallion.run_medallion(spark, landing, lake, AS_OF)
+    audit, lineage = (spark.read.parquet(layers.layer_path(lake, f"governance/{n}")) for n in ("audit", "lineage"))
+    target = lineage.groupBy(F.col("target_table").alias("table_name")).agg(F.count(F.lit(1)).alias("lineage_rows"))
+    return audit.join(target, "table_name").select("operation", "table_name", "records_affected", "lineage_rows")
+
+
+@query("catalog_tables", """
+  SELECT unnest(['agency_performance_kpis', 'bronze_google_maps_reviews', 'business_metrics_summary',
+    'executive_dashboard', 'nps_ranking', 'risk_alerts', 'silver_google_maps_reviews_enriched',
+    'temporal_sentiment_analysis']) AS tabela
+""")
+def _(spark, sf_dir):
+    import uuid
+
+    landing, lake, db = scratch_path(spark, "landing"), scratch_path(spark, "lake"), f"rl_{uuid.uuid4().hex[:10]}"
+    write_landing(branches(spark, sf_dir), landing, "exec", AS_OF)
+    medallion.run_medallion(spark, landing, lake, AS_OF, db=db)
+    names = [r["tableName"] for r in catalog.list_tables(spark, db).collect()]
+    catalog.drop_database(spark, db)
+    return spark.createDataFrame([(n,) for n in names], "tabela string")
+
+
 @query("landing_partitions", on_branches("""
   SELECT 2001 AS part_year, 12 AS part_month, 31 AS part_day, lower(bairro) AS part_bairro,
     count(*) AS agencias, CAST(sum(n_reviews) AS BIGINT) AS total_reviews
@@ -254,7 +355,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = scratch_path(spark, "landing")
     write_landing(branches(spark, sf_dir), path, "exec", AS_OF)
-    docs = read_landing(spark, path, partitions=True, multiline=False)
+    docs = read_landing(spark, path, partitions=True)
     quality = "execution_metadata.data_quality"
     return docs.filter("part_year = 2001").groupBy(
         "part_year", "part_month", "part_day", "part_bairro"
@@ -267,12 +368,12 @@ def _(spark, sf_dir):
   , p AS (SELECT *, CAST((name <> '') AS INT) + CAST(coalesce(place_id <> '', false) AS INT)
       + CAST(coalesce(formatted_address <> '', false) AS INT) + CAST(rating <> 0 AS INT) + least(n_reviews, 2) AS pts
     FROM branches)
-  SELECT bairro, list_pos % 4 AS parte, CAST(count(*) AS INT) AS total_agencias,
+  SELECT bairro, list_pos // 50 AS parte, CAST(count(*) AS INT) AS total_agencias,
     CAST(sum(n_reviews) AS INT) AS total_reviews, sum(pts)::DOUBLE / (count(*) * 6)::DOUBLE AS completeness_score
-  FROM p GROUP BY bairro, list_pos % 4
+  FROM p GROUP BY bairro, list_pos // 50
 """))
 def _(spark, sf_dir):
-    docs = build_envelopes(branches(spark, sf_dir), "exec", AS_OF, F.col("list_pos") % 4)
+    docs = build_envelopes(branches(spark, sf_dir), "exec", AS_OF, F.expr("list_pos div 50"))
     meta = "execution_metadata"
     return docs.select(
         F.col(f"{meta}.bairro").alias("bairro"),
@@ -338,5 +439,7 @@ def _(spark, sf_dir):
     root, db = scratch_path(spark, "lake"), f"rl_{uuid.uuid4().hex[:10]}"
     path = layers.write_layer(silver(spark, sf_dir), root, "silver")
     catalog.register_table(spark, db, catalog.TABLES["silver"], path)
-    return catalog.run_sql(
-        spark, f"SELECT bairro, count(*) AS total FROM {db}.{catalog.TABLES['silver']} GROUP BY bairro")
+    found = checkpointed(catalog.run_sql(
+        spark, f"SELECT bairro, count(*) AS total FROM {db}.{catalog.TABLES['silver']} GROUP BY bairro"))
+    catalog.drop_database(spark, db)
+    return found

@@ -239,7 +239,7 @@ def _(spark, sf_dir):
 """))
 def _(spark, sf_dir):
     _, expired = gov.apply_retention(
-        silver(spark, sf_dir, author=True), "silver", AS_OF, F.col("data_coleta").try_cast("date"),
+        silver(spark, sf_dir), "silver", AS_OF, F.col("data_coleta").try_cast("date"),
         salt="sal-de-teste")
     return expired.select("place_id", "review_autor", "texto_review", "data_coleta")
 
@@ -254,6 +254,31 @@ def _(spark, sf_dir):
     return kept.groupBy(F.date_format("o_orderdate", "yyyy").alias("ano")).agg(rows_total())
 
 
+@query("retention_gold_aggregates", """
+  SELECT CAST(year(o_orderdate) AS INT) AS ano, o_orderstatus, count(*) AS registros,
+    sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS o_totalprice
+  FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '2001-12-31' - INTERVAL 1825 DAY GROUP BY ALL
+""")
+def _(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    _, expired = gov.apply_retention(
+        orders, "gold", AS_OF, F.col("o_orderdate").cast("date"), by=("o_orderstatus",), measures=("o_totalprice",))
+    return expired.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+@query("reset_progress", """
+  SELECT n_name AS bairro, 0::BIGINT AS disponiveis, 0::BIGINT AS consultadas FROM nation
+""")
+def _(spark, sf_dir):
+    root = scratch_path(spark, "state")
+    first = inc.init_progress(spark, dim(spark, sf_dir))
+    inc.write_state({**first, "available": available(spark, sf_dir), "consulted": consulted(spark, sf_dir)}, root, 1)
+    inc.reset_progress(spark, root, dim(spark, sf_dir))
+    _, state = inc.read_state(spark, root)
+    return inc.has_pending(state["dim"], state["available"], state["consulted"]).select(
+        "bairro", F.col("disponiveis").cast("long").alias("disponiveis"), F.col("consultadas").cast("long").alias("consultadas"))
+
+
 @query("audit_summary", on_silver(f"""
   SELECT '{AS_OF}' AS timestamp, 'bronze_to_silver' AS operation, 'silver' AS table_name,
     count(*) AS records_affected, count(*) FILTER (tem_pii) AS pii_detected,

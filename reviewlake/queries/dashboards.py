@@ -8,10 +8,11 @@ from reviewlake.functions import rules
 from reviewlake.functions.jsonio import json_extract
 from reviewlake.operators import analytics as an
 from reviewlake.operators import gold
-from reviewlake.operators.silver import dashboard_filter, drill_down
+from reviewlake.operators.bronze import normalize_landing, to_bronze
+from reviewlake.operators.silver import dashboard_filter, drill_down, to_silver
 from reviewlake.queries import query
 from reviewlake.queries.fixtures import (
-    AS_OF, DAY, bronze, hits_sql, on_bronze, on_silver, silver, sql_text,
+    AS_OF, DAY, LANDED_SQL, bronze, hits_sql, landing_documents, on_bronze, on_silver, silver, sql_text,
     table, with_ctes, SILVER_SQL,
 )
 from reviewlake.queries.gold import ALERTS_SQL, KPIS_SQL, NPS_SQL
@@ -159,7 +160,7 @@ def _(spark, sf_dir):
   FROM silver
 """))
 def _(spark, sf_dir):
-    return an.masking_status(silver(spark, sf_dir, author=True))
+    return an.masking_status(silver(spark, sf_dir))
 
 
 @query("rating_sentiment_matrix", on_silver(
@@ -308,6 +309,18 @@ def _(spark, sf_dir):
     return chosen.groupBy("bairro", "sentimento").agg(F.count(F.lit(1)).alias("total"))
 
 
+@query("dashboard_filter_landed", with_ctes(LANDED_SQL, """
+  SELECT bairro_pesquisado AS bairro, data_coleta, count(*) AS total FROM landed
+  WHERE place_id IS NOT NULL AND has_review AND trim(coalesce(review_text, '')) <> '' AND data_coleta <> 'ontem'
+    AND left(data_coleta, 10) BETWEEN '1998-06-10' AND '1998-07-10' GROUP BY ALL
+"""))
+def _(spark, sf_dir):
+    """Collection dates with a time: the last day counts whole."""
+    rows = to_bronze(normalize_landing(landing_documents(spark, sf_dir), AS_OF), AS_OF)
+    chosen = dashboard_filter(to_silver(rows, AS_OF), "1998-06-10", "1998-07-10")
+    return chosen.groupBy("bairro", "data_coleta").agg(F.count(F.lit(1)).alias("total"))
+
+
 # --- documented, richer tables -----------------------------------------------
 
 TENTHS = "(" + " + ".join(
@@ -462,7 +475,7 @@ def _(spark, sf_dir):
         "event_id", "event_type", "ts",
         F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("v"))
     return an.nav_functions(
-        e, ["event_type"], ["ts", "event_id"], "v", F.date_trunc("hour", "ts")).drop("ts", "v")
+        e, ["event_type"], ["ts", "event_id"], "v").drop("ts", "v")
 
 
 @query("dedup_first", """
@@ -487,6 +500,14 @@ def _(spark, sf_dir):
         silver(spark, sf_dir).select("nome_agencia", "bairro", "rating_review", "sentimento", "tem_pii"), 5)
 
 
+@query("sample_rows_known", "SELECT CAST(5 AS BIGINT) AS linhas, CAST(5 AS BIGINT) AS conhecidas")
+def _(spark, sf_dir):
+    columns = ["nome_agencia", "bairro", "rating_review", "sentimento", "tem_pii"]
+    rows = silver(spark, sf_dir).select(*columns)
+    known = an.sample_rows(rows, 5).join(rows.distinct().withColumn("_known", F.lit(1)), columns, "left")
+    return known.agg(F.count(F.lit(1)).alias("linhas"), F.count("_known").alias("conhecidas"))
+
+
 @query("page", """
   SELECT conv_id, turn, role, text FROM conversations ORDER BY conv_id, turn, role, text LIMIT 50 OFFSET 100
 """)

@@ -15,7 +15,6 @@ from reviewlake.operators.bronze import (
 )
 from reviewlake.operators.silver import to_silver
 from reviewlake.schemas import BRANCH, BRONZE
-from reviewlake.sources.layers import spread
 
 AS_OF = "2001-12-31 00:00:00"
 DAY = "2001-12-31"
@@ -109,24 +108,16 @@ branches AS (
 """
 
 
-def reviews(spark: SparkSession, sf_dir: str, author: bool = False) -> DataFrame:
-    """The flat review view.
-
-    Only ``author=True`` joins orders and customer, for the author's name: keys
-    of those tables are complete, so the join changes no other column, and
-    skipping it saves the largest shuffle.
-    """
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat review view; a review's author is the customer of its order."""
     s = F.col("s_suppkey")
-    lines = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"),
-        "l_orderkey", "l_linenumber")
-    rows = lines.join(
+    rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "supplier"), F.col("l_suppkey") == s
-    ).join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    if author:
-        rows = rows.join(
-            table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-        ).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    ).join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    ).join(
+        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     day = F.col("l_shipdate").cast("date")
     phrase = ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24).cast("int")
     return rows.select(
@@ -137,7 +128,7 @@ def reviews(spark: SparkSession, sf_dir: str, author: bool = False) -> DataFrame
         F.col("n_name").alias("bairro_pesquisado"),
         ((F.lit(10) + s % 41).cast("double") / 10.0).alias("agencia_rating"),
         ((s * 7) % 500).cast("int").alias("total_avaliacoes"),
-        F.col("c_name" if author else "s_name").alias("author_name"),
+        F.col("c_name").alias("author_name"),
         (F.col("l_quantity").cast("int") % 6).alias("review_rating"),
         F.get(F.array(*[F.lit(p) for p in PHRASES]), phrase).alias("review_text"),
         phrase.alias("phrase_id"),
@@ -257,9 +248,9 @@ def on_silver(body: str) -> str:
     return with_ctes(SILVER_SQL, body)
 
 
-def bronze_rows(spark: SparkSession, sf_dir: str, author: bool = False) -> DataFrame:
+def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze built from the review view by the Bronze operators, keys kept alongside."""
-    named = reviews(spark, sf_dir, author).withColumnRenamed("agencia_name", "name")
+    named = reviews(spark, sf_dir).withColumnRenamed("agencia_name", "name")
     audited = add_audit(named, AS_OF).filter(valid_place()).withColumnRenamed("name", "agencia_name")
     filled = audited.withColumn(
         "endereco_completo",
@@ -267,12 +258,12 @@ def bronze_rows(spark: SparkSession, sf_dir: str, author: bool = False) -> DataF
     return add_partitions(review_id(fill_defaults(filled)), "bronze_ingestion_date")
 
 
-def bronze(spark: SparkSession, sf_dir: str, author: bool = False) -> DataFrame:
-    return bronze_rows(spark, sf_dir, author).select(*BRONZE.fieldNames())
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_rows(spark, sf_dir).select(*BRONZE.fieldNames())
 
 
-def silver(spark: SparkSession, sf_dir: str, author: bool = False, **options) -> DataFrame:
-    return to_silver(bronze(spark, sf_dir, author), AS_OF, **options)
+def silver(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return to_silver(bronze(spark, sf_dir), AS_OF, **options)
 
 
 def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,7 +313,7 @@ landed AS (
     CASE WHEN s_suppkey % 19 <> 0 THEN longitude ELSE 0.0 END AS longitude,
     CASE WHEN s_suppkey % 7 <> 0 THEN agencia_rating ELSE 0.0 END AS rating,
     total_avaliacoes, l_linenumber <> 4 AS has_review,
-    CASE WHEN l_linenumber % 5 <> 0 THEN agencia_name END AS author_name,
+    CASE WHEN l_linenumber % 5 <> 0 THEN author_name END AS author_name,
     CASE WHEN l_linenumber % 6 <> 0 THEN review_rating END AS review_rating,
     review_text, review_time
   FROM reviews)

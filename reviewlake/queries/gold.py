@@ -32,6 +32,25 @@ def _(spark, sf_dir):
     return gold.agency_performance_kpis(silver(spark, sf_dir), AS_OF)
 
 
+def written(name):
+    """A Gold table as the flow stores it, read back."""
+    def build(spark, sf_dir):
+        from reviewlake.plans.medallion import silver_to_gold
+        from reviewlake.session import scratch_path
+        from reviewlake.sources import layers
+
+        root = scratch_path(spark, "lake")
+        layers.write_layer(silver(spark, sf_dir), root, "silver")
+        silver_to_gold(spark, root, AS_OF)
+        return layers.read_layer(spark, root, name)
+
+    return build
+
+
+query("written_agency_performance_kpis", on_silver(KPIS_SQL))(written("agency_performance_kpis"))
+query("written_risk_alerts", on_silver(ALERTS_SQL))(written("risk_alerts"))
+
+
 @query("temporal_sentiment_analysis", on_silver(f"""
   SELECT bairro, CAST(month(CAST(data_coleta AS DATE)) AS INT) AS mes, count(*) AS total_reviews,
     count(*) FILTER (sentimento = 'positivo') AS positivos,

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import quality as q
 from reviewlake.operators.silver import to_silver
+from reviewlake.operators.bronze import normalize_landing
 from reviewlake.queries import query
+from reviewlake.session import scratch_path
+from reviewlake.sources.landing import read_landing, unreadable, write_landing
 from reviewlake.queries.dashboards import pct
 from reviewlake.queries.fixtures import (
     AS_OF, BRANCHES_SQL, DAY, branches, bronze, bronze_rows, on_branches, on_bronze, on_silver, table,
@@ -130,6 +133,25 @@ def _(spark, sf_dir):
     return q.integrity_report(validated(spark, sf_dir), AS_OF)
 
 
+@query("integrity_report_failed", on_validated(INTEGRITY_SQL.replace("FROM v)", """FROM (
+    SELECT aprovado, total_agencias, total_reviews, score_qualidade FROM v
+    UNION ALL SELECT false, 0, 0, 0.0 FROM nation WHERE n_nationkey % 5 = 0))""", 1)))
+def _(spark, sf_dir):
+    """A landed day in which some documents cannot be read."""
+    path = scratch_path(spark, "landing")
+    write_landing(branches(spark, sf_dir), path, "exec", AS_OF)
+    broken = table(spark, sf_dir, "nation").where("n_nationkey % 5 = 0").select(
+        F.concat(F.lit('{"schema_version": "v1.0", "raw_data": {"agencias": ['), F.col("n_name")).alias("value"),
+        F.lit(2001).alias("year"), F.lit("12").alias("month"), F.lit("31").alias("day"),
+        F.lower("n_name").alias("bairro"))
+    broken.write.mode("append").partitionBy("year", "month", "day", "bairro").text(path)
+    landed = normalize_landing(read_landing(spark, path), AS_OF)
+    assert landed.where("place_id is not null").count() > 0
+    v = validated(spark, sf_dir)
+    failed = q.failed_documents(unreadable(spark, path, partitions=True), v)
+    return q.integrity_report(v.unionByName(failed), AS_OF)
+
+
 @query("report_lines")
 def _(spark, sf_dir):
     b = branches(spark, sf_dir)
@@ -143,6 +165,17 @@ def _(spark, sf_dir):
     return q.quality_gate(validated(spark, sf_dir), 0.0).select("bairro", "score_qualidade")
 
 
+@query("quality_gate_passed", on_validated("SELECT bairro, score_qualidade FROM v WHERE problemas_menores >= 0 AND aprovado"))
+def _(spark, sf_dir):
+    approved = validated(spark, sf_dir).filter("aprovado")
+    return q.quality_gate(approved, 0.7).select("bairro", "score_qualidade")
+
+
+@query("quality_gate_refused", on_validated("SELECT bairro, score_qualidade FROM v WHERE score_qualidade < 0.7"))
+def _(spark, sf_dir):
+    return q.gate_refusals(validated(spark, sf_dir), 0.7).select("bairro", "score_qualidade")
+
+
 @query("validate_nlp", on_silver("""
   , s AS (SELECT CASE WHEN l_linenumber = 7 AND s_suppkey % 3 = 0 THEN NULL
       WHEN l_linenumber = 6 AND s_suppkey % 3 = 0 THEN 'misto' ELSE sentimento END AS sentimento,
@@ -196,7 +229,7 @@ _ODD_ROWS = """
 
 def _odd(spark, sf_dir):
     line = F.col("l_linenumber")
-    return bronze_rows(spark, sf_dir, author=True).withColumns({
+    return bronze_rows(spark, sf_dir).withColumns({
         "place_id": F.when(F.col("s_suppkey") % 10 == 3, F.concat(F.lit("XX"), "place_id"))
         .otherwise(F.col("place_id")),
         "data_coleta": F.when(line == 2, F.lit("hoje")).when(line == 3, F.lit("2001-02-30"))
@@ -227,7 +260,7 @@ def _(spark, sf_dir):
     ("author_name", "tamanho", "length(author_name) < 2 OR length(author_name) > 100"),
 ])))
 def _(spark, sf_dir):
-    return q.length_violations(bronze(spark, sf_dir, author=True))
+    return q.length_violations(bronze(spark, sf_dir))
 
 
 @query("length_violations_documents", _violation_sql("documents", [
@@ -252,7 +285,7 @@ def _(spark, sf_dir):
 @query("uniqueness_review", on_bronze(UNIQUE_SQL.format(
     counts="SELECT count(*) AS n FROM bronze GROUP BY place_id, review_time, author_name")))
 def _(spark, sf_dir):
-    return q.uniqueness(bronze(spark, sf_dir, author=True), ["place_id", "review_time", "author_name"])
+    return q.uniqueness(bronze(spark, sf_dir), ["place_id", "review_time", "author_name"])
 
 
 @query("duplicates_order_line", """
@@ -296,7 +329,7 @@ def _(spark, sf_dir):
   SELECT metrica, percentual, minimo, aprovado, CASE WHEN aprovado THEN 'nenhuma' ELSE acao END AS acao FROM j
 """))
 def _(spark, sf_dir):
-    rows = bronze(spark, sf_dir, author=True)
+    rows = bronze(spark, sf_dir)
     unique = q.uniqueness(rows, ["place_id", "review_time", "author_name"]).select(
         F.lit("unicidade").alias("metrica"), F.col("percentual_unico").alias("percentual"))
     shares = rows.agg(

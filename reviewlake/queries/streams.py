@@ -82,6 +82,23 @@ def _(spark, sf_dir):
     return back.groupBy(*back.columns).agg(rows_total())
 
 
+@query("stream_dead_letters", with_ctes(MESSAGES_SQL, """
+  SELECT bairro, '2001-12-31T00:00:00.000000' AS timestamp_rejeicao, 'quota' AS motivo,
+    coalesce(tentativas, 0) + 1 AS tentativas, count(*) AS total
+  FROM q WHERE coalesce(tentativas, 0) + 1 >= 3 GROUP BY ALL
+"""))
+def _(spark, sf_dir):
+    rejected = wq.requeue(wq.stream_queue(_messages(spark, sf_dir)), "quota", AS_OF)
+    path = scratch_path(spark, "rejected")
+    retry, dead = wq.publish_rejected(rejected, path, scratch_path(spark, "rejected-checkpoint"), 3)
+    retry.awaitTermination()
+    dead.awaitTermination()
+    back = spark.read.schema("value string").text(f"{path}/{wq.DEAD_LETTERS}").select(
+        F.from_json("value", "bairro string, timestamp_rejeicao string, motivo string, tentativas int")
+        .alias("m")).select("m.*")
+    return back.groupBy(*back.columns).agg(rows_total())
+
+
 @query("stream_publish_progress", with_ctes(MESSAGES_SQL, """
   SELECT bairro, n_nationkey AS bairro_atual_index, count(*) AS total FROM q GROUP BY ALL
 """))
@@ -107,7 +124,7 @@ def _landing_folder(spark, sf_dir):
 
 
 def _stream_bronze(spark, sf_dir):
-    landing = sr.landing_stream(spark, _landing_folder(spark, sf_dir), multiline=False)
+    landing = sr.landing_stream(spark, _landing_folder(spark, sf_dir))
     return sr.stream_reviews(landing, AS_OF, key="sha256")
 
 
@@ -157,7 +174,7 @@ def _(spark, sf_dir):
 """))
 def _(spark, sf_dir):
     silver = sr.stream_sentiment(_stream_bronze(spark, sf_dir), AS_OF)
-    out = _drained(spark, sr.stream_quality_alerts(silver), "alerts")
+    out = _drained(spark, sr.quality_alerts(silver), "alerts")
     return out.groupBy("place_id", "bairro", "sentimento", "motivos").agg(rows_total())
 
 
@@ -167,18 +184,31 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = _landing_folder(spark, sf_dir)
     write_landing(branches(spark, sf_dir), path, "replay", AS_OF)
-    bronze = sr.stream_reviews(sr.landing_stream(spark, path, multiline=False), AS_OF)
+    bronze = sr.stream_reviews(sr.landing_stream(spark, path, max_files=10), AS_OF)
     return _drained(spark, sr.drop_replays(bronze), "once").agg(rows_total())
 
 
+@query("stream_rows_in_batches", with_ctes(STREAMED_SQL, """
+  SELECT place_id, 'Autor ' || i AS author_name, review_text, s_suppkey * 1000 + i AS review_time,
+    count(*) AS total FROM r GROUP BY ALL
+"""))
+def _(spark, sf_dir):
+    """Every review of several micro-batches once, replays dropped, some without a time."""
+    path = _landing_folder(spark, sf_dir)
+    write_landing(branches(spark, sf_dir), path, "replay", AS_OF)
+    bronze = sr.stream_reviews(sr.landing_stream(spark, path, max_files=10), AS_OF)
+    keys = ["place_id", "author_name", "review_text", "review_time"]
+    return _drained(spark, sr.drop_replays(bronze), "once").groupBy(*keys).agg(rows_total())
+
+
 @query("batch_equals_stream", with_ctes(STREAMED_SQL, "SELECT CAST(0 AS BIGINT) AS diferencas"))
 def _(spark, sf_dir):
     from reviewlake.sources.landing import read_landing
 
     path = _landing_folder(spark, sf_dir)
     stream = _drained(spark, sr.stream_reviews(
-        sr.landing_stream(spark, path, multiline=False), AS_OF), "bronze")
-    batch = to_bronze(normalize_landing(read_landing(spark, path, multiline=False), AS_OF), AS_OF)
+        sr.landing_stream(spark, path), AS_OF), "bronze")
+    batch = to_bronze(normalize_landing(read_landing(spark, path), AS_OF), AS_OF)
     columns = batch.columns
 
     def tagged(df, sign):

@@ -9,10 +9,9 @@ from reviewlake.functions import text as txt
 from reviewlake.queries import query, rows_total
 from reviewlake.queries.dashboards import SCORE_TENTHS, SCORED_NEG, SCORED_POS, TENTHS, _CATS
 from reviewlake.queries.fixtures import (
-    anonymized_sql, flag_sql, hits_sql, label_sql, on_reviews, on_silver, reviews, silver, sql_text,
-    table, types_sql,
+    PHRASES, anonymized_sql, flag_sql, hits_sql, label_sql, on_reviews, on_silver, reviews, silver, sql_text,
+    table, types_sql, with_ctes,
 )
-from reviewlake.sources.layers import spread
 
 @query("sentiment_label", on_reviews(f"""
   SELECT review_text, {label_sql("review_text")} AS sentimento, count(*) AS total FROM reviews GROUP BY ALL
@@ -29,7 +28,7 @@ def _(spark, sf_dir):
 """)
 def _(spark, sf_dir):
     text = F.col("text")
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", txt.count_terms(text, rules.POSITIVE_TERMS).alias("positivas"),
         txt.count_terms(text, rules.NEGATIVE_TERMS).alias("negativas"),
         txt.sentiment_label(text).alias("sentimento"))
@@ -80,7 +79,7 @@ def _(spark, sf_dir):
 """)
 def _(spark, sf_dir):
     text = F.col("text")
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", "source", txt.pii_types(text).alias("tipos"), txt.pii_types_str(text).alias("tipos_str"))
 
 
@@ -90,7 +89,7 @@ def _(spark, sf_dir):
   FROM documents GROUP BY ALL
 """)
 def _(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents"), "doc_id").withColumn("tipos", txt.pii_types(F.col("text")))
+    d = table(spark, sf_dir, "documents").withColumn("tipos", txt.pii_types(F.col("text")))
     return d.groupBy("source", "lang").agg(
         rows_total(), F.count_if(F.array_contains("tipos", "email")).alias("com_email"),
         F.count_if(F.array_contains("tipos", "telefone")).alias("com_telefone"))
@@ -98,7 +97,7 @@ def _(spark, sf_dir):
 
 @query("anonymize_documents", f"SELECT doc_id, md5({anonymized_sql('text')}) AS texto_md5 FROM documents")
 def _(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(txt.anonymize(F.col("text"))).alias("texto_md5"))
 
 
@@ -107,7 +106,7 @@ def _(spark, sf_dir):
 """)
 def _(spark, sf_dir):
     text = F.col("text")
-    return spread(table(spark, sf_dir, "conversations"), "conv_id", "turn").select(
+    return table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", "role", txt.pii_types(text).alias("tipos"),
         F.md5(txt.anonymize(text)).alias("texto_md5"))
 
@@ -120,7 +119,7 @@ def _masked(column: str) -> str:
 
 @query("mask_pii_documents", f"SELECT doc_id, md5({_masked('text')}) AS texto_md5 FROM documents")
 def _(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(txt.mask_pii(F.col("text"))).alias("texto_md5"))
 
 
@@ -158,6 +157,63 @@ def _(spark, sf_dir):
     return found.groupBy("texto_review", "padroes").agg(rows_total())
 
 
+# Whole documents and turns, each with one of the review texts after it.
+LONG_SQL = f"""
+  phrases(phrase_id, phrase) AS (VALUES {", ".join(f"({i}, {sql_text(p)})" for i, p in enumerate(PHRASES))}),
+  long AS (
+    SELECT doc_id AS id, 0 AS turn, concat_ws(' ', text, phrase) AS texto_review
+    FROM documents JOIN phrases ON doc_id % 24 = phrase_id
+    UNION ALL SELECT conv_id, CAST(turn AS INT) + 1, concat_ws(' ', text, phrase)
+    FROM conversations JOIN phrases ON (conv_id + turn) % 24 = phrase_id)
+"""
+
+
+def long_texts(spark, sf_dir):
+    def with_phrase(name, number, id_col, turn):
+        phrase = F.get(F.array(*[F.lit(p) for p in PHRASES]), (number % 24).cast("int"))
+        return table(spark, sf_dir, name).select(
+            F.col(id_col).alias("id"), turn.cast("int").alias("turn"), F.concat_ws(" ", "text", phrase).alias("texto_review"))
+
+    return with_phrase("documents", F.col("doc_id"), "doc_id", F.lit(0)).unionByName(
+        with_phrase("conversations", F.col("conv_id") + F.col("turn"), "conv_id", F.col("turn") + 1))
+
+
+@query("sentiment_score_long", with_ctes(LONG_SQL, f"""
+  SELECT id, turn, CASE WHEN length(trim(texto_review)) < 3 THEN 'NEUTRO'
+      WHEN {SCORED_POS} > {SCORED_NEG} THEN 'POSITIVO' WHEN {SCORED_NEG} > {SCORED_POS} THEN 'NEGATIVO'
+      ELSE 'NEUTRO' END AS label, ({SCORE_TENTHS})::DOUBLE / 10.0::DOUBLE AS score
+  FROM long
+"""))
+def _(spark, sf_dir):
+    scored = long_texts(spark, sf_dir).withColumn("s", txt.sentiment_score(F.col("texto_review")))
+    return scored.select("id", "turn", F.col("s.label").alias("label"), F.col("s.score").alias("score"))
+
+
+@query("reputational_risk_long", with_ctes(LONG_SQL, f"""
+  , r AS (SELECT id, turn, {TENTHS} AS d, concat_ws(',', {", ".join(
+      f"CASE WHEN {h} > 0 THEN '{n}' END" for n, h in _CATS.items())}) AS cats FROM long)
+  SELECT id, turn, CASE WHEN d >= 20 THEN 'ALTO' WHEN d >= 10 THEN 'MEDIO' WHEN d > 0 THEN 'BAIXO'
+    ELSE 'NENHUM' END AS nivel, CASE WHEN cats = '' THEN 'NENHUMA' ELSE cats END AS categorias,
+    d::DOUBLE / 10.0::DOUBLE AS score
+  FROM r
+"""))
+def _(spark, sf_dir):
+    return long_texts(spark, sf_dir).select(
+        "id", "turn", F.inline(F.array(txt.reputational_risk(F.col("texto_review"))))).select(
+        "id", "turn", "nivel", "categorias", "score")
+
+
+@query("critical_patterns_long", with_ctes(LONG_SQL, f"""
+  SELECT id, turn, concat_ws(',', {", ".join(
+      f"CASE WHEN regexp_matches(texto_review, {sql_text(p)}, 'i') THEN '{n}' END"
+      for n, p in rules.CRITICAL_PATTERNS)}) AS padroes
+  FROM long
+"""))
+def _(spark, sf_dir):
+    return long_texts(spark, sf_dir).select(
+        "id", "turn", F.array_join(txt.critical_patterns(F.col("texto_review")), ",").alias("padroes"))
+
+
 _SP = r"\t\n\x0b\f\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
@@ -176,7 +232,7 @@ def _cleaned(column: str) -> str:
 
 @query("clean_text_documents", f"SELECT doc_id, md5({_cleaned('text')}) AS limpo_md5 FROM documents")
 def _(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(txt.clean_text(F.col("text"))).alias("limpo_md5"))
 
 
@@ -184,7 +240,7 @@ def _(spark, sf_dir):
   SELECT page_id, md5({_cleaned('html')}) AS limpo_md5, {_cleaned('url')} AS url_limpa FROM pages
 """)
 def _(spark, sf_dir):
-    return spread(table(spark, sf_dir, "pages"), "page_id").select(
+    return table(spark, sf_dir, "pages").select(
         "page_id", F.md5(txt.clean_text(F.col("html"))).alias("limpo_md5"),
         txt.clean_text(F.col("url")).alias("url_limpa"))
 
@@ -212,7 +268,7 @@ def _(spark, sf_dir):
   FROM silver GROUP BY ALL
 """))
 def _(spark, sf_dir):
-    strict = silver(spark, sf_dir, author=True, privacy="strict", salt="sal-de-teste")
+    strict = silver(spark, sf_dir, privacy="strict", salt="sal-de-teste")
     return strict.groupBy("place_id", "review_autor", "texto_review").agg(rows_total())
 
 

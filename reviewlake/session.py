@@ -24,7 +24,7 @@ def shuffle_settings(shuffled_bytes: int, target: int = 256 << 20) -> dict[str,
     Adaptive execution merges partitions that turn out small, but never makes
     more of them, so the starting number has to suit the largest shuffle.
     """
-    partitions = max(200, min(50_000, -(-shuffled_bytes // target)))
+    partitions = max(200, -(-shuffled_bytes // target))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),

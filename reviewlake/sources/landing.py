@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlake import schemas
 from reviewlake.functions.dates import as_of_timestamp
@@ -15,6 +16,47 @@ LAYOUTS = {"envelope": schemas.ENVELOPE, "simple": schemas.SIMPLE, None: schemas
 PARTITIONS = ("year", "month", "day", "bairro")
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _documents(spark: SparkSession, path: str, partitions: bool, multiline: bool) -> DataFrame:
+    """Landed texts as ``value``, one per line or one per file, with the folder columns if asked for."""
+    if not partitions:
+        return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=multiline)
+    folders = [f for f in schemas.PARTITIONED_ENVELOPE.fields if f.name in PARTITIONS]
+    return (
+        spark.read.schema(T.StructType([T.StructField("value", T.StringType()), *folders]))
+        .option("basePath", path).text(path, wholetext=multiline)
+    )
+
+
+def _listed(text: Column) -> Column:
+    """A document, or an array of them, as an array."""
+    bare = F.trim(F.regexp_replace(text, r"^\s+|\s+$", ""))
+    return F.when(bare.startswith("[") & bare.endswith("]"), bare).otherwise(F.concat(F.lit("["), bare, F.lit("]")))
+
+
+def _pieces(texts: DataFrame) -> DataFrame:
+    """The texts of documents in ``value``: a file that is not one piece of JSON is taken line by line."""
+    others = [c for c in texts.columns if c != "value"]
+    one = F.from_json(_listed(F.col("value")), "array<struct<schema_version string>>").isNotNull()
+    lines = F.when(one, F.array("value")).otherwise(F.split("value", "\n"))
+    return texts.select(*others, F.explode(lines).alias("value")).where(F.trim("value") != "")
+
+
+def whole_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """Documents of whole files: one over many lines, an array of them, or one per line.
+
+    Nothing after the first document is passed over. What cannot be read comes
+    as a row without values (see ``unreadable``).
+    """
+    pieces = _pieces(texts)
+    others = [c for c in pieces.columns if c != "value"]
+    parsed = pieces.select(*others, F.explode_outer(
+        F.from_json(_listed(F.col("value")), T.ArrayType(schema))).alias("d"))
+    return parsed.select("d.*", *others)
+
+
 def read_landing(spark: SparkSession, path: str, layout: str | None = None,
                  partitions: bool = False, multiline: bool = True) -> DataFrame:
     """Read landed JSON with a fixed schema.
@@ -22,22 +64,36 @@ def read_landing(spark: SparkSession, path: str, layout: str | None = None,
     ``path`` may be a folder, searched recursively, or a glob. With
     ``partitions=True`` the ``year=/month=/day=/bairro=`` folders become columns
     (as ``part_year`` ... ``part_bairro``) and filters on them skip whole folders.
-    Documents written by ``write_landing`` hold one document per line, which
-    ``multiline=False`` can split across tasks.
+
+    Files may hold one document over many lines, or one per line as ``write_landing``
+    makes them; ``multiline=False`` is for folders of the latter alone, whose files
+    tasks can split. An unreadable document comes as a row without values;
+    ``unreadable`` lists them.
     """
-    multi = str(multiline).lower()
-    if not partitions:
-        return (
-            spark.read.schema(LAYOUTS[layout]).option("multiLine", multi)
-            .option("recursiveFileLookup", "true").json(path)
-        )
-    if layout == "simple":
+    if partitions and layout == "simple":
         raise ValueError("partition folders hold envelope documents only")
-    landed = (
-        spark.read.schema(schemas.PARTITIONED_ENVELOPE).option("multiLine", multi)
-        .option("basePath", path).json(path)
-    )
-    return landed.withColumnsRenamed({p: f"part_{p}" for p in PARTITIONS})
+    if multiline:
+        landed = whole_documents(
+            _documents(spark, path, partitions, True), schemas.ENVELOPE if partitions else LAYOUTS[layout])
+    elif partitions:
+        landed = spark.read.schema(schemas.PARTITIONED_ENVELOPE).option("basePath", path).json(path)
+    else:
+        landed = spark.read.schema(LAYOUTS[layout]).option("recursiveFileLookup", "true").json(path)
+    return landed.withColumnsRenamed({p: f"part_{p}" for p in PARTITIONS}) if partitions else landed
+
+
+def unreadable(spark: SparkSession, path: str, partitions: bool = False, multiline: bool = True) -> DataFrame:
+    """The texts of documents that cannot be read, with their folder columns if asked for."""
+    texts = _documents(spark, path, partitions, multiline).where(F.trim("value") != "")
+    value = F.col("value")
+    if multiline:
+        texts = _pieces(texts)
+        broken = F.from_json(_listed(value), "array<struct<schema_version string>>").isNull()
+    else:
+        schema = f"schema_version string, {CORRUPT} string"
+        broken = F.from_json(value, schema, {"columnNameOfCorruptRecord": CORRUPT})[CORRUPT].isNotNull()
+    found = texts.where(broken)
+    return found.withColumnsRenamed({p: f"part_{p}" for p in PARTITIONS}) if partitions else found
 
 
 def branch_points() -> Column:
@@ -53,11 +109,11 @@ def branch_points() -> Column:
 
 
 def build_envelopes(branches: DataFrame, run_id: str, as_of: str | None,
-                    chunk: Column | None = None, bairro: str = "bairro") -> DataFrame:
+                    chunk: Column, bairro: str = "bairro") -> DataFrame:
     """Wrap branches into envelope documents, one per neighbourhood and ``chunk``.
 
-    ``chunk`` splits a neighbourhood over several documents, so that no document,
-    and no task building one, has to hold a hot neighbourhood whole.
+    ``chunk`` must number runs of rows of a bounded length (``numbered_runs`` does),
+    so that no document, and no task building one, has to hold a hot neighbourhood whole.
     """
     now = as_of_timestamp(as_of)
     stamp = F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -66,8 +122,7 @@ def build_envelopes(branches: DataFrame, run_id: str, as_of: str | None,
         (F.col(f.name) if f.name in branches.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schemas.BRANCH.fields
     ]
-    part = F.lit("0") if chunk is None else chunk.cast("string")
-    typed = branches.select(F.col(bairro).alias("bairro"), part.alias("_chunk"), *present)
+    typed = branches.select(F.col(bairro).alias("bairro"), chunk.cast("string").alias("_chunk"), *present)
     grouped = typed.groupBy("bairro", "_chunk").agg(
         F.collect_list(F.struct(*fields)).alias("agencias"),
         F.count(F.lit(1)).cast("int").alias("_n"),
@@ -98,19 +153,24 @@ def build_envelopes(branches: DataFrame, run_id: str, as_of: str | None,
     )
 
 
-def write_landing(branches: DataFrame, path: str, run_id: str, as_of: str | None,
-                  max_branches: int = 50, bairro: str = "bairro", mode: str = "append") -> None:
-    """Write branches as envelope documents below year/month/day/bairro folders.
+def numbered_runs(branches: DataFrame, max_branches: int = 50) -> tuple[DataFrame, Column]:
+    """``(rows, chunk)``: rows numbered per input partition and cut into runs of ``max_branches``.
 
-    Rows are numbered per input partition and cut into runs of ``max_branches``,
-    which bounds every document whatever the skew. The numbered rows are
-    checkpointed first: a re-run of a lost task must not number them anew.
+    The numbered rows are checkpointed: a re-run of a lost task must not number them anew.
     """
-    row = F.monotonically_increasing_id()
-    numbered = checkpointed(branches.withColumn("_row", row))
+    numbered = checkpointed(branches.withColumn("_row", F.monotonically_increasing_id()))
     partition = F.shiftright("_row", 33)
     run = F.floor((F.col("_row") - F.shiftleft(partition, 33)) / F.lit(max_branches))
-    chunk = F.concat_ws("_", partition.cast("string"), run.cast("string"))
+    return numbered, F.concat_ws("_", partition.cast("string"), run.cast("string"))
+
+
+def write_landing(branches: DataFrame, path: str, run_id: str, as_of: str | None,
+                  max_branches: int = 50, bairro: str = "bairro", mode: str = "append") -> None:
+    """Write branches as JSON lines of envelope documents below year/month/day/bairro folders.
+
+    No document holds more than ``max_branches``, whatever the skew.
+    """
+    numbered, chunk = numbered_runs(branches, max_branches)
     docs = build_envelopes(numbered, run_id, as_of, chunk, bairro)
     info = "execution_metadata.partition_info"
     (
@@ -120,5 +180,7 @@ def write_landing(branches: DataFrame, path: str, run_id: str, as_of: str | None
             "day": F.lpad(F.col(f"{info}.day").cast("string"), 2, "0"),
             "bairro": slug(F.col("execution_metadata.bairro")),
         })
+        # Few files per folder; a hot neighbourhood is split over several tasks.
+        .hint("rebalance", *[F.col(p) for p in PARTITIONS])
         .write.mode(mode).partitionBy(*PARTITIONS).json(path)
     )

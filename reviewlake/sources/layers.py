@@ -60,16 +60,6 @@ def write_layer(df: DataFrame, root: str, layer: str, fmt: str = "parquet",
     return path
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on a table that arrives as fewer splits than there are cores.
-
-    ``keys`` should tell rows apart. A table of many splits is returned as it
-    is, so nothing large is ever shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def conform(df: DataFrame, other: DataFrame) -> DataFrame:
     """Append frames whose columns differ; a missing column reads as NULL."""
     return df.unionByName(other, allowMissingColumns=True)

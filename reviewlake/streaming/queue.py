@@ -74,6 +74,16 @@ def split_dead_letters(rejected: DataFrame, max_attempts: int = 3) -> tuple[Data
     return rejected.filter(~spent), rejected.filter(spent)
 
 
+DEAD_LETTERS = "mortas"
+
+
+def publish_rejected(rejected: DataFrame, path: str, checkpoint: str, max_attempts: int = 3):
+    """Start writing rejected messages: ``(retry, dead)`` queries into the folders ``fila`` and ``mortas``."""
+    retry, dead = split_dead_letters(rejected, max_attempts)
+    return tuple(publish(df, f"{path}/{name}", f"{checkpoint}/{name}")
+                 for df, name in ((retry, "fila"), (dead, DEAD_LETTERS)))
+
+
 def publish(df: DataFrame, path: str, checkpoint: str, kafka: dict | None = None):
     """Start writing messages to a folder of text files, or to Kafka, and stop when drained."""
     writer = to_queue(df).writeStream.option("checkpointLocation", checkpoint)

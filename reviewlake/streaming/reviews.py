@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewlake import schemas
 from reviewlake.operators.bronze import normalize_landing, review_id, to_bronze
 from reviewlake.operators.silver import to_silver
+from reviewlake.sources.landing import whole_documents
 
 TOPICS = {
     "reviews": "google-maps-data",
@@ -18,13 +19,13 @@ TOPICS = {
 
 def landing_stream(spark: SparkSession, path: str, multiline: bool = True,
                    max_files: int | None = None) -> DataFrame:
-    reader = (
-        spark.readStream.schema(schemas.LANDING).option("multiLine", str(multiline).lower())
-        .option("recursiveFileLookup", "true")
-    )
+    """Landed documents as they arrive; ``multiline`` as for ``read_landing``."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    if multiline:
+        return whole_documents(reader.text(path, wholetext=True), schemas.LANDING)
+    return reader.schema(schemas.LANDING).json(path)
 
 
 def stream_reviews(landing: DataFrame, as_of: str | None = None, key: str = "hash") -> DataFrame:
@@ -32,16 +33,17 @@ def stream_reviews(landing: DataFrame, as_of: str | None = None, key: str = "has
 
 
 def drop_replays(bronze: DataFrame, delay: str = "30 days") -> DataFrame:
-    """Drop reviews delivered again within ``delay`` of review time.
+    """Drop reviews that are delivered again within ``delay`` of their first arrival.
 
     An addition for at-least-once inputs; identity is the sha-256 review key, as
-    the 32-bit one would drop distinct reviews. The watermark bounds the state.
+    the 32-bit one would drop distinct reviews. The watermark is on arrival, which
+    only moves forward: no review is late, however old it says it is, and the
+    state holds the keys of one ``delay``.
     """
-    keyed = review_id(bronze, "sha256").withColumn(
-        "_event", F.timestamp_seconds("review_time"))
+    keyed = review_id(bronze, "sha256").withColumn("_arrival", F.current_timestamp())
     return (
-        keyed.withWatermark("_event", delay)
-        .dropDuplicatesWithinWatermark(["bronze_review_id"]).drop("_event")
+        keyed.withWatermark("_arrival", delay)
+        .dropDuplicatesWithinWatermark(["bronze_review_id"]).drop("_arrival")
     )
 
 
@@ -63,10 +65,6 @@ def quality_alerts(silver: DataFrame) -> DataFrame:
     ).filter(F.size("motivos") > 0)
 
 
-def stream_quality_alerts(silver: DataFrame) -> DataFrame:
-    return quality_alerts(silver)
-
-
 def drain(df: DataFrame, path: str, checkpoint: str, partition_by=(), fmt: str = "parquet"):
     """Process everything available into a file sink, exactly once, then stop."""
     writer = (

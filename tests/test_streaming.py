@@ -62,7 +62,7 @@ def test_stream_alerts(spark, tmp_path):
         review(), review(text="ok"), review(text="Péssimo atendimento", rating=1),
         review(text="Excelente, ligue 11 98888-7777")])]))
     silver = sr.stream_sentiment(sr.stream_reviews(sr.landing_stream(spark, str(tmp_path / "l")), AS_OF), AS_OF)
-    out = drain(spark, sr.stream_quality_alerts(silver), tmp_path, "alerts")
+    out = drain(spark, sr.quality_alerts(silver), tmp_path, "alerts")
     assert sorted(tuple(r["motivos"]) for r in out.collect()) == [
         ("avaliacao_critica",), ("pii_detectado",), ("qualidade_baixa",)]
 
