@@ -1,7 +1,8 @@
 """Portuguese review analytics as ``Column -> Column`` functions.
 
-Everything is a built-in expression, so scans still prune columns and the
-projection stays inside whole-stage code generation.
+Everything is a built-in expression, so scans still prune columns. Term counts and
+labels are generated code; functions that bind a value in a lambda (the scored
+sentiment, risk as one struct) are interpreted inside it.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def _with_lowered(text: Column, build) -> Column:
 
 
 def count_terms(text: Column, terms) -> Column:
-    return _with_lowered(text, lambda low: count_in_lowered(low, terms))
+    return count_in_lowered(F.lower(text), terms)
 
 
 def _token_hits(text: Column, terms, others) -> Column:
