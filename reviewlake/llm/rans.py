@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import body, named, stored
+from reviewlake.llm.common import body, named, slices, small_batches, stored
 from reviewlake.llm.tokens import library_encoder
 from reviewlake.session import scratch_path
 
@@ -179,7 +179,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_i
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = library_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             ids = [encode(t) + end for t in batch["body"].to_pylist()]
             yield pa.record_batch({"id": batch["id"], "row": batch["row"],
                                    "n": pa.array([len(i) // 4 for i in ids], pa.int64()),
@@ -213,6 +213,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
               tokenizer: str = TOKENIZER, end_id: int = END_ID, file_ids: int = FILE_IDS,
               block_ids: int = BLOCK_IDS) -> None:
     """Writes ``path/table`` and ``path/blocks``."""
+    small_batches(docs)
     spark = docs.sparkSession
     tokens = tokenised(docs, id_col, text_col, tokenizer, end_id)
     table = frequencies(tokens)
