@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.session import scratch_path
 
 
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,6 +35,24 @@ def body(text: str) -> Column:
     return F.coalesce(named(text).cast("string"), F.lit(""))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that few results are held at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def small_batches(df: DataFrame) -> None:
+    """Lowers the session's bound on the bytes of an Arrow batch to ``BATCH_BYTES``.
+
+    A batch of texts is held several times over, by the executor and by its Python workers.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = df.sparkSession.conf.get(key)
+    if not (held.endswith("b") and 0 < int(held[:-1]) <= BATCH_BYTES):
+        df.sparkSession.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

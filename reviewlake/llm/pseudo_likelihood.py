@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import body, named, sql_type
+from reviewlake.llm.common import body, named, slices, small_batches, sql_type, stored
 
 WORDS, BUCKETS = 191, 64
 #: Ids: 0 beyond the text's ends, then frequent words, then buckets.
@@ -35,9 +35,9 @@ SIDE, WIDTH, HIDDEN = 2, 16, 32
 #: Share of places masked per round, rounds, places per step, learning rate.
 MASKED, ROUNDS, STEP, RATE = 0.1, 2, 256, 0.15
 SEED = 7
-PLACES = 8192
+PLACES = 1024
 #: Words held in a worker's memory at once.
-HELD = 200_000
+HELD = 100_000
 FIXED_POINT = 1 << 20
 
 
@@ -57,7 +57,7 @@ class WordIds(dict):
 
     def of(self, text: str) -> np.ndarray:
         words = text.encode().lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.int16, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.uint8, len(words))
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> list[bytes]:
@@ -79,6 +79,7 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> list[bytes]:
                     yield flush()
         yield flush()
 
+    small_batches(docs)
     rows = (docs.select(body(text_col).alias("body")).mapInArrow(work, "word binary, n bigint")
             .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS).collect())
     return [bytes(r["word"]) for r in rows]
@@ -109,20 +110,13 @@ def contexts(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
     return padded[places[:, None] + offsets]
 
 
-def log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
-
-
-def forward(parts: dict, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden layer and log-probabilities of all ids."""
-    hidden = np.tanh(sum(parts["T"][j][around[:, j]] for j in range(2 * SIDE)) + parts["b"])
-    return hidden, log_softmax(hidden @ parts["V"] + parts["c"])
-
-
 def with_tables(parts: dict) -> dict:
-    """Adds, per place of the window, each id's share of the hidden layer."""
-    return parts | {"T": np.einsum("vw,jwh->jvh", parts["E"], parts["W"]).astype(np.float32)}
+    """Adds each id's share of the hidden layer per place of the window, and whether logits are surely small.
+
+    The hidden layer lies between -1 and 1, so the sums of weights bound the logits.
+    """
+    largest = (np.abs(parts["V"]).sum(axis=0) + np.abs(parts["c"])).max()
+    return parts | {"T": np.einsum("vw,jwh->jvh", parts["E"], parts["W"]).astype(np.float32), "safe": largest < 60}
 
 
 def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, target: np.ndarray) -> None:
@@ -131,7 +125,10 @@ def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, target
     inputs = parts["E"][around].reshape(n, -1)
     mixing = parts["W"].reshape(-1, HIDDEN)
     hidden = np.tanh(inputs @ mixing + parts["b"])
-    slope = np.exp(log_softmax(hidden @ parts["V"] + parts["c"]))
+    slope = hidden @ parts["V"] + parts["c"]
+    slope -= slope.max(axis=1, keepdims=True)
+    np.exp(slope, out=slope)
+    slope /= slope.sum(axis=1, keepdims=True)
     slope[np.arange(n), target] -= 1
     slope /= n
     down = (slope @ parts["V"].T) * (1 - hidden ** 2)
@@ -148,17 +145,31 @@ def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, target
     flat -= RATE * change / (np.sqrt(squares) + 1e-6)
 
 
-def train_round(docs: DataFrame, words: list[bytes], start: np.ndarray, number: int, text_col: str = "text") -> np.ndarray:
+def encode_words(docs: DataFrame, words: list[bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored (id, ids): the words of every document as one byte each, read by all rounds and the scoring."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = WordIds(words)
+        for batch in slices(batches):
+            ids = [ids_of.of(t).tobytes() for t in batch["body"].to_pylist()]
+            yield pa.record_batch({"id": batch["id"], "ids": pa.array(ids, pa.binary())})
+
+    small_batches(docs)
+    texts = docs.select(named(id_col).alias("id"), body(text_col).alias("body"))
+    return stored(texts.mapInArrow(work, f"id {sql_type(docs, id_col)}, ids binary"), "word-ids")
+
+
+def train_round(coded: DataFrame, start: np.ndarray, number: int) -> np.ndarray:
     """The mean of what the partitions learn from ``start`` on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, flat = WordIds(words), start.astype(np.float32)
+        flat = start.astype(np.float32)
         squares, around, target, held, seen = np.full_like(flat, 0.01), [], [], 0, 0
         for batch in batches:
-            for text in batch["body"]:
-                text = text.as_py()
-                ids = ids_of.of(text)
-                rng = np.random.default_rng([SEED, number, zlib.crc32(text.encode())])
+            for data in batch["ids"]:
+                data = data.as_py()
+                ids = np.frombuffer(data, np.uint8)
+                rng = np.random.default_rng([SEED, number, zlib.crc32(data)])
                 places = np.flatnonzero(rng.random(len(ids)) < MASKED)
                 for at in range(0, len(places), STEP):
                     some = places[at:at + STEP]
@@ -177,7 +188,7 @@ def train_round(docs: DataFrame, words: list[bytes], start: np.ndarray, number:
                                    "value": pa.array(whole), "seen": pa.array(np.full(len(flat), seen, np.int64))})
 
     weight = F.col("seen").cast("decimal(19,0)")
-    rows = (docs.select(body(text_col).alias("body")).mapInArrow(work, "place int, value bigint, seen bigint")
+    rows = (coded.select("ids").mapInArrow(work, "place int, value bigint, seen bigint")
             .groupBy("place").agg(F.sum(F.col("value").cast("decimal(19,0)") * weight).cast("double").alias("total"),
                                   F.sum(weight).cast("double").alias("seen"))
             .orderBy("place").collect())
@@ -186,45 +197,54 @@ def train_round(docs: DataFrame, words: list[bytes], start: np.ndarray, number:
     return np.array([r["total"] / r["seen"] / FIXED_POINT for r in rows])
 
 
-def train(docs: DataFrame, text_col: str = "text") -> tuple[list[bytes], np.ndarray]:
-    words, flat = vocabulary(docs, text_col), begin()
+def train(coded: DataFrame) -> np.ndarray:
+    flat = begin()
     for number in range(ROUNDS):
-        flat = train_round(docs, words, flat, number, text_col)
-    return words, flat
+        flat = train_round(coded, flat, number)
+    return flat
 
 
 def log_likelihood(ids: np.ndarray, parts: dict) -> float:
+    """The sum over all words of their log-probability given the words on both sides."""
+    padded = np.concatenate([np.zeros(SIDE, ids.dtype), ids, np.zeros(SIDE, ids.dtype)])
     total = 0.0
     for at in range(0, len(ids), PLACES):
-        places = np.arange(at, min(at + PLACES, len(ids)))
-        _, logp = forward(parts, contexts(ids, places))
-        total += float(logp[np.arange(len(places)), ids[places]].sum(dtype=np.float64))
+        target = ids[at:at + PLACES]
+        n = len(target)
+        hidden = parts["T"][0][padded[at:at + n]]
+        for j in range(1, 2 * SIDE):
+            first = at + j + (j >= SIDE)
+            hidden += parts["T"][j][padded[first:first + n]]
+        hidden += parts["b"]
+        np.tanh(hidden, out=hidden)
+        logits = hidden @ parts["V"]
+        logits += parts["c"]
+        if not parts["safe"]:
+            logits -= logits.max(axis=1, keepdims=True)
+        total += float(logits[np.arange(n), target].sum(dtype=np.float64))
+        total -= float(np.log(np.exp(logits, out=logits).sum(axis=1)).sum(dtype=np.float64))
     return total
 
 
-def score(docs: DataFrame, model: tuple[list[bytes], np.ndarray], id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
+def score(coded: DataFrame, flat: np.ndarray, id_col: str = "doc_id") -> DataFrame:
     """Per document: id, n_words, log_likelihood, mean_log_likelihood."""
-    words, flat = model
     small = flat.astype(np.float32)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, parts = WordIds(words), with_tables(named_parts(small))
+        parts = with_tables(named_parts(small))
         for batch in batches:
-            counts, sums = [], []
-            for text in batch["body"]:
-                ids = ids_of.of(text.as_py())
-                counts.append(len(ids))
-                sums.append(round(log_likelihood(ids, parts), 3))
-            yield pa.record_batch({"id": batch["id"], "n_words": pa.array(counts, pa.int64()),
-                                   "log_likelihood": pa.array(sums, pa.float64())})
-
-    scored = docs.select(named(id_col).alias("id"), body(text_col).alias("body")).mapInArrow(
-        work, f"id {sql_type(docs, id_col)}, n_words bigint, log_likelihood double")
+            texts = [np.frombuffer(data, np.uint8) for data in batch["ids"].to_pylist()]
+            yield pa.record_batch({"id": batch["id"], "n_words": pa.array(list(map(len, texts)), pa.int64()),
+                                   "log_likelihood": pa.array([round(log_likelihood(t, parts), 3) for t in texts],
+                                                              pa.float64())})
+
+    kind = coded.schema["id"].dataType.simpleString()
+    scored = coded.mapInArrow(work, f"id {kind}, n_words bigint, log_likelihood double")
     return scored.select(F.col("id").alias(id_col), "n_words", "log_likelihood",
                          F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood"))
 
 
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Trains on all documents and scores them."""
-    return score(docs, train(docs, text_col), id_col, text_col)
+    coded = encode_words(docs, vocabulary(docs, text_col), id_col, text_col)
+    return score(coded, train(coded), id_col)

@@ -11,8 +11,9 @@ def test_gradient_by_differences():
 
     def loss(f):
         parts = lm.named_parts(f)
-        tables = {"T": np.einsum("vw,jwh->jvh", parts["E"], parts["W"])}
-        return -lm.forward(parts | tables, around)[1][np.arange(6), target].mean()
+        inputs = np.einsum("njw,jwh->nh", parts["E"][around], parts["W"])
+        logits = np.tanh(inputs + parts["b"]) @ parts["V"] + parts["c"]
+        return (np.log(np.exp(logits).sum(axis=1)) - logits[np.arange(6), target]).mean()
 
     squares, moved = np.zeros_like(flat), flat.copy()
     lm.train_step(moved, squares, around, target)
@@ -44,10 +45,11 @@ def test_training_tells_text_from_shuffled_text(spark):
     line = "the cat sat on the mat and the dog ran to the house by the lake ".split()
     texts = [" ".join(np.roll(line, i % len(line)).tolist() * 12) for i in range(2000)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
-    model = lm.train(docs)
+    words = lm.vocabulary(docs)
+    flat = lm.train(lm.encode_words(docs, words))
     mixed = spark.createDataFrame([(0, " ".join(line * 12)), (1, " ".join(rng.permutation(line * 12).tolist()))],
                                   "doc_id long, text string")
-    clean, shuffled = (r["mean_log_likelihood"] for r in lm.score(mixed, model).orderBy("doc_id").collect())
+    clean, shuffled = (r["mean_log_likelihood"] for r in lm.score(lm.encode_words(mixed, words), flat).orderBy("doc_id").collect())
     assert clean > shuffled + 0.5 and clean > -2
 
 
