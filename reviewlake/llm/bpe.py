@@ -17,7 +17,7 @@ result; columns other than id and text are never read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import body, named, sql_type, stored
+from reviewlake.llm.common import body, named, slices, small_batches, sql_type, stored
 from reviewlake.llm.tokens import rank_encoder, read_ranks
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -118,56 +118,75 @@ def stitched(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> DataF
     return parallel.unionByName(whole)
 
 
-def encode_pieces(pieces: DataFrame, ranks: str, pattern: str, keep: tuple = ()) -> DataFrame:
-    """``piece`` replaced by its ids as little-endian unsigned 32-bit integers."""
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def encoding(ranks: str, pattern: str, keep: tuple) -> Work:
+    """``piece`` becomes its ids as little-endian unsigned 32-bit integers; the columns ``keep`` stay."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = rank_encoder(ranks, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [encode(t) for t in batch["piece"].to_pylist()]
             yield pa.record_batch({**{c: batch[c] for c in keep}, "ids": pa.array(ids, pa.binary())})
 
-    fields = ", ".join(f"{c} {sql_type(pieces, c)}" for c in keep)
-    return pieces.select(*keep, "piece").mapInArrow(work, f"{fields}, ids binary")
+    return work
+
+
+def decoding(ranks: str) -> Work:
+    """Adds ``decoded``: the raw bytes of the ids, put together."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = {rank: token for token, rank in read_ranks(ranks).items()}.__getitem__
+        for batch in slices(batches):
+            decoded = [b"".join(map(table, np.frombuffer(ids, "<u4").tolist()))
+                       for ids in batch["ids"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
+                                             [*batch.schema.names, "decoded"])
+
+    return work
+
+
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of a text's pieces, put together in order."""
+    for batch in batches:
+        whole = [b"".join(p["ids"] for p in row) for row in batch["p"].to_pylist()]
+        yield pa.record_batch({"id": batch["id"], "ids": pa.array(whole, pa.binary())})
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS,
-           pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """(id, ids): the ids of every whole text, one row per document."""
+           pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP,
+           decoded: bool = False) -> DataFrame:
+    """(id, ids[, decoded]): the ids of every whole text, one row per document.
+
+    With ``decoded`` the ids are also decoded, in the same Python worker.
+    """
+    small_batches(docs)
     texts = docs.select(named(id_col).alias("id"), body(text_col).alias("body"))
+    kind = sql_type(docs, id_col)
+    schema = f"id {kind}, ids binary" + ", decoded binary" * decoded
+    back = decoding(ranks) if decoded else iter
     one_chunk = F.char_length("body") <= chunk + overlap
-    short = encode_pieces(texts.where(one_chunk).withColumnRenamed("body", "piece"), ranks, pattern, ("id",))
+    encode_short, encode_piece = encoding(ranks, pattern, ("id",)), encoding(ranks, pattern, ("uid", "id", "idx"))
+    short = (texts.where(one_chunk).withColumnRenamed("body", "piece")
+             .mapInArrow(lambda batches: back(encode_short(batches)), schema))
     chunks = cut(texts.where(~one_chunk), chunk, overlap)
-    pieces = encode_pieces(stitched(chunks, pattern, chunk, overlap), ranks, pattern, ("uid", "id", "idx"))
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole = [b"".join(p["ids"] for p in row) for row in batch["p"].to_pylist()]
-            yield pa.record_batch({"id": batch["id"], "ids": pa.array(whole, pa.binary())})
-
+    pieces = stitched(chunks, pattern, chunk, overlap).mapInArrow(
+        encode_piece, f"uid bigint, id {kind}, idx int, ids binary")
     long = (pieces.groupBy("uid").agg(F.first("id").alias("id"),
                                       F.array_sort(F.collect_list(F.struct("idx", "ids"))).alias("p"))
-            .select("id", "p").mapInArrow(join, f"id {sql_type(docs, id_col)}, ids binary"))
+            .select("id", "p").mapInArrow(lambda batches: back(joined(batches)), schema))
     return short.unionByName(long)
 
 
 def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """Adds ``decoded``: the raw bytes of the ids, put together."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {rank: token for token, rank in read_ranks(ranks).items()}.__getitem__
-        for batch in batches:
-            decoded = [b"".join(map(table, np.frombuffer(ids, "<u4").tolist()))
-                       for ids in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
-                                             [*batch.schema.names, "decoded"])
-
+    """Adds ``decoded`` to rows with ``ids``."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(work, f"{fields}, decoded binary")
+    return encoded.mapInArrow(decoding(ranks), f"{fields}, decoded binary")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per document: id, n_tokens, ids_sha256 and decoded_sha256 after the round trip."""
-    return decode(encode(docs, id_col, text_col, **options)).select(
+    return encode(docs, id_col, text_col, decoded=True, **options).select(
         F.col("id").alias(id_col), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
