@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import body, named, shuffle_partitions, sql_type, stored
+from reviewlake.llm.common import body, named, shuffle_partitions, small_batches, sql_type, stored
 
 FINGERPRINT_BITS = 48
 BLOCK_ROWS = 1 << 16
@@ -172,6 +172,7 @@ def suspects(blocks: DataFrame) -> DataFrame:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256, uid (the row's number)."""
+    small_batches(docs)
     blocks = send_blocks(docs, id_col, text_col)
     text = body(text_col)
     texts = docs.select(named(id_col).alias("id"), text.alias("body"),
@@ -186,7 +187,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = (keys.groupBy("sha").agg(F.max(F.struct("id", "uid")).alias("best"),
                                       F.count(F.lit(1)).alias("group_size"))
               .where("group_size > 1").join(verified, "sha", "left_semi"))
-    joined = keys.join(groups, "sha", "left")
+    # Stored, so that the last join is one of two plain shuffles, whose hot side can be split.
+    joined = keys.join(stored(groups, "dedup-groups"), "sha", "left")
     alone = F.col("group_size").isNull()
     return joined.select(
         F.col("id").alias(id_col),
@@ -204,7 +206,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = (exact_groups(docs, id_col, text_col).where("group_size > 1")
              .groupBy(F.col(f"`{id_col}`").alias("_id"), F.unhex("text_sha256").alias("_sha"))
              .agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows")))
-    found = stored(found, "dedup-groups")
+    found = stored(found, "dedup-found")
     text_sha = F.unhex(F.sha2(body(text_col), 256))
 
     def joined(which, how):
