@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import body, named
+from reviewlake.llm.common import body, named, slices, small_batches, stored
 from reviewlake.llm.tokens import library_encoder
 from reviewlake.session import scratch_path
 
@@ -50,6 +50,7 @@ def cached_counts(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
 
 def fill_cache(docs: DataFrame, cache: str, text_col: str = "text", tokenizer: str = TOKENIZER) -> None:
     """Encodes the distinct contents that the cache lacks and appends their counts."""
+    small_batches(docs)
     key = file_digest(tokenizer)
     text = body(text_col)
     content = docs.select(F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("body"))
@@ -58,7 +59,7 @@ def fill_cache(docs: DataFrame, cache: str, text_col: str = "text", tokenizer: s
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = library_encoder(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             counts = [len(encode(t)) // 4 for t in batch["body"].to_pylist()]
             yield pa.record_batch({"digest": batch["digest"], "n_tokens": pa.array(counts, pa.int64())})
 
@@ -71,7 +72,8 @@ def token_counts(docs: DataFrame, cache: str | None = None, id_col: str = "doc_i
     """Per document: id, n_bytes, n_tokens, over_limit. Without ``cache`` a new one is begun."""
     cache = cache or scratch_path(docs.sparkSession, "token-cache")
     fill_cache(docs, cache, text_col, tokenizer)
-    counts = cached_counts(docs.sparkSession, cache, file_digest(tokenizer))
+    # Stored, so that the join is one of two plain shuffles, whose hot side can be split.
+    counts = stored(cached_counts(docs.sparkSession, cache, file_digest(tokenizer)), "token-counts")
     text = body(text_col)
     rows = docs.select(named(id_col).alias(id_col), F.octet_length(text).cast("long").alias("n_bytes"),
                        F.unhex(F.sha2(text, 256)).alias("_digest"))
