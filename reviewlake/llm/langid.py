@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import body, named, sql_type
+from reviewlake.llm.common import body, named, small_batches, sql_type
 
 #: Length of the vectors, and the seed the letters' vectors come from.
 DIMENSIONS = 1024
@@ -125,6 +125,7 @@ def held_out(id_col: str) -> Column:
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
     """Language -> prototype, from documents that have a language and are not held out."""
+    small_batches(docs)
     lessons = docs.where(named(lang_col).isNotNull() & ~held_out(id_col)).select(
         named(lang_col).cast("string").alias("lang"), body(text_col).alias("body"))
 
@@ -203,6 +204,7 @@ def predict(docs: DataFrame, prototypes: dict, id_col: str = "doc_id", text_col:
                 yield pa.record_batch({"id": batch["id"], "held_out": batch["held_out"],
                                        "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score)})
 
+    small_batches(docs)
     texts = docs.select(named(id_col).alias("id"), held_out(id_col).alias("held_out"), body(text_col).alias("body"))
     found = texts.mapInArrow(work, f"id {sql_type(docs, id_col)}, held_out boolean, lang_pred string, score double")
     return found.withColumnRenamed("id", id_col)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import body, named, sql_type, stored
+from reviewlake.llm.common import body, named, slices, small_batches, sql_type, stored
 from reviewlake.llm.components import connected_components
 
 SHINGLE = 3
@@ -64,10 +64,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fp) with the fingerprint as a signed long, one row per document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(t, shingle) for t in batch["body"].cast(pa.binary()).to_pylist()]
             yield pa.record_batch({"id": batch["id"], "fp": pa.array(np.array(found, np.uint64).view(np.int64))})
 
+    small_batches(docs)
     return docs.select(named(id_col).alias("id"), body(text_col).alias("body")).mapInArrow(
         work, f"id {sql_type(docs, id_col)}, fp bigint")
 

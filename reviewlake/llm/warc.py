@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import named, stored
+from reviewlake.llm.common import named, small_batches, stored
 from reviewlake.session import scratch_path
 
 MIN_REVISIT = 100
@@ -308,6 +308,7 @@ def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pa
 
     Half of the pages take the way through ARC version 1, half through version 2.
     """
+    small_batches(pages)
     spark = pages.sparkSession
     arc, out = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     half = F.pmod(F.xxhash64(named(id_col), named(url_col)), F.lit(2))
