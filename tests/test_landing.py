@@ -207,3 +207,25 @@ def test_strict_privacy(spark, landing):
     assert {"bronze_review_id", "risco_reputacional", "padroes_criticos"} <= set(strict.columns)
     with pytest.raises(ValueError):
         to_silver(bronze, AS_OF, privacy="strict")
+
+
+def test_fractions_of_a_second_are_kept(spark):
+    from reviewlake.functions.dates import parse_collection_timestamp
+
+    texts = ["2025-07-01T10:20:30.1", "2025-07-01T10:20:30.123", "2025-07-01T10:20:30.123456", "2025-07-01", "ontem", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        F.unix_micros(parse_collection_timestamp(F.col("t"))).alias("u")).collect()
+    assert [r["u"] and r["u"] % 10**6 for r in rows] == [100000, 123000, 123456, None, None, None]
+
+
+def test_no_document_of_a_file_is_passed_over(spark, tmp_path):
+    from reviewlake.sources.landing import unreadable
+
+    one, two = envelope("Moema", [branch("P1")]), envelope("Lapa", [branch("P2")])
+    lines = "\n".join(json.dumps(d, ensure_ascii=False) for d in (one, two))
+    put(tmp_path / "l", "pretty.json", one)
+    put(tmp_path / "l", "array.json", [one, two])
+    (tmp_path / "l" / "lines.json").write_text(lines + "\n{broken\n", encoding="utf-8")
+    landed = br.normalize_landing(read_landing(spark, str(tmp_path / "l"), "envelope"), AS_OF)
+    assert sorted(r["place_id"] for r in landed.collect()) == ["P1", "P1", "P1", "P2", "P2"]
+    assert [r["value"] for r in unreadable(spark, str(tmp_path / "l")).collect()] == ["{broken"]

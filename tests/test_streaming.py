@@ -79,3 +79,14 @@ def test_progress_message_shape(spark):
     parsed = spark.createDataFrame([(text,)], "value string").select(
         F.from_json("value", "bairro string").alias("m")).first()
     assert parsed["m"]["bairro"] == "Moema"
+
+
+def test_old_and_timeless_reviews_are_no_replays(spark, tmp_path):
+    now = 1640995200
+    docs = [review(time=now), review(time=now + 100), review(time=now - 3 * 365 * 86400), review(text="Sem hora", time=None),
+            review(time=now), review(text="Sem hora", time=None)]
+    for i, one in enumerate(docs):
+        put(tmp_path / "l", f"{i}.json", envelope("Moema", [branch("P1", reviews=[one])]))
+    landing = sr.landing_stream(spark, str(tmp_path / "l"), max_files=1)
+    out = drain(spark, sr.drop_replays(sr.stream_reviews(landing, AS_OF)), tmp_path, "once")
+    assert sorted(r["review_time"] for r in out.collect()) == sorted([now, now + 100, now - 3 * 365 * 86400, 0])
