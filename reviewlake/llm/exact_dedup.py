@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.llm.common import body, named, shuffle_partitions, small_batches, sql_type, stored
+from reviewlake.llm.decontam import sent
 
 FINGERPRINT_BITS = 48
 BLOCK_ROWS = 1 << 16
@@ -213,8 +214,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         same = named(id_col).eqNullSafe(which["_id"]) & (text_sha == which["_sha"])
         return docs.join(which, same, how)
 
-    rest = joined(found.where("not _kept or _rows > 1"), "left_anti")
-    repeated = joined(found.where("_kept and _rows > 1"), "left_semi")
+    rest = joined(sent(found.where("not _kept or _rows > 1")), "left_anti")
+    repeated = joined(sent(found.where("_kept and _rows > 1")), "left_semi")
     one = (repeated.select(F.struct(*map(named, docs.columns)).alias("row"))
            .groupBy(F.col("row").getField(id_col).alias("_id"),
                     F.sha2(F.coalesce(F.col("row").getField(text_col), F.lit("")), 256).alias("_sha"))
