@@ -1,14 +1,18 @@
 """Document scores from a masked language model: pseudo-log-likelihood.
 
 A small window network reads the words left and right of a place and predicts
-the word there. It is trained in numpy on places masked at random in every
-document, in rounds: each partition trains from the shared parameters, and
-their mean, weighted by the places seen, is the next round's start. A document's
-score is the sum over all its words of their log-probability given both sides.
-
-The vocabulary has the most frequent words of all documents; other words share
-buckets by hash. Parameters are a fixed number; what is gathered per partition
-is summed by place in a shuffle, never on the driver.
+the class of the word there. It is trained in numpy on places masked at random
+in every document, in rounds that mask every place once: each partition trains
+from the shared parameters, and their mean, weighted by the places seen, is the
+next round's start. A document's score is the sum over all its words of their
+log-probability given both sides.
+
+Each of the most frequent words is a class of its own; other words share
+classes by hash, and the probability of such a word is its class's times the
+word's share of the class, counted over all documents. So every word of the
+documents is in the vocabulary. The network's parameters are a fixed number,
+summed by place in a shuffle. The words' counts are a table that grows with the
+documents; blocks of documents look their distinct words up in it by a join.
 
 Defined results: a null, empty or blank text has no words, score 0 and a null
 mean; ids may be null or repeat, each row keeps its own result; an empty table
@@ -17,12 +21,14 @@ gives an empty result; columns other than id and text are never read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +38,11 @@ WORDS, BUCKETS = 191, 64
 #: Ids: 0 beyond the text's ends, then frequent words, then buckets.
 SIZE = 1 + WORDS + BUCKETS
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-#: Share of places masked per round, rounds, places per step, learning rate.
-MASKED, ROUNDS, STEP, RATE = 0.1, 2, 256, 0.15
+#: Rounds (each place is masked in one of them), places per step, learning rate.
+ROUNDS, STEP, RATE = 2, 256, 0.15
 SEED = 7
 PLACES = 1024
-#: Words held in a worker's memory at once.
+#: Distinct words held in a worker's memory at once; a block of documents ends when it has so many rare ones.
 HELD = 100_000
 FIXED_POINT = 1 << 20
 
@@ -60,8 +66,31 @@ class WordIds(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint8, len(words))
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> list[bytes]:
-    """The most frequent words of all documents; ties by the word."""
+class BlockWords(dict):
+    """Word -> id of a frequent word, or ``SIZE`` plus the number of a rare word within the block."""
+
+    def __init__(self, vocabulary: list[bytes]):
+        super().__init__({w: i + 1 for i, w in enumerate(vocabulary)})
+        self.rare, self.buckets = [], []
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = SIZE + len(self.rare)
+        self.rare.append(word)
+        self.buckets.append(1 + WORDS + zlib.crc32(word) % BUCKETS)
+        return found
+
+    def of(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Per text its ids, a byte each, and the numbers of its rare words, four bytes each."""
+        codes = []
+        for text in texts:
+            words = text.encode().lower().split()
+            codes.append(np.fromiter(map(self.__getitem__, words), np.int32, len(words)))
+        ids_of = np.concatenate([np.arange(SIZE), self.buckets]).astype(np.uint8)
+        return [ids_of[c].tobytes() for c in codes], [(c[c >= SIZE] - SIZE).tobytes() for c in codes]
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Stored (word, n): every word of the documents and how often it occurs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -80,9 +109,19 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> list[bytes]:
         yield flush()
 
     small_batches(docs)
-    rows = (docs.select(body(text_col).alias("body")).mapInArrow(work, "word binary, n bigint")
-            .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS).collect())
-    return [bytes(r["word"]) for r in rows]
+    return stored(docs.select(body(text_col).alias("body")).mapInArrow(work, "word binary, n bigint")
+                  .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def most_frequent(counts: DataFrame) -> dict[bytes, int]:
+    """The most frequent words and their counts; ties by the word."""
+    rows = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
+    return {bytes(r["word"]): r["n"] for r in rows}
+
+
+def vocabulary(docs: DataFrame, text_col: str = "text") -> list[bytes]:
+    """The most frequent words of all documents."""
+    return list(most_frequent(word_counts(docs, text_col)))
 
 
 SHAPES = {"E": (SIZE, WIDTH), "W": (2 * SIDE, WIDTH, HIDDEN), "b": (HIDDEN,), "V": (HIDDEN, SIZE), "c": (SIZE,)}
@@ -97,7 +136,7 @@ def begin() -> np.ndarray:
 def named_parts(flat: np.ndarray) -> dict[str, np.ndarray]:
     parts, at = {}, 0
     for name, shape in SHAPES.items():
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         parts[name] = flat[at:at + size].reshape(shape)
         at += size
     return parts
@@ -128,9 +167,8 @@ def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, target
     slope = hidden @ parts["V"] + parts["c"]
     slope -= slope.max(axis=1, keepdims=True)
     np.exp(slope, out=slope)
-    slope /= slope.sum(axis=1, keepdims=True)
-    slope[np.arange(n), target] -= 1
-    slope /= n
+    slope /= n * slope.sum(axis=1, keepdims=True)
+    slope[np.arange(n), target] -= 1 / n
     down = (slope @ parts["V"].T) * (1 - hidden ** 2)
     change = np.zeros_like(flat)
     grads = named_parts(change)
@@ -138,25 +176,79 @@ def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, target
     grads["c"][:] = slope.sum(axis=0)
     grads["b"][:] = down.sum(axis=0)
     grads["W"][:] = (inputs.T @ down).reshape(grads["W"].shape)
-    seen = np.zeros((SIZE, around.size), flat.dtype)
-    seen[around.ravel(), np.arange(around.size)] = 1
-    grads["E"][:] = seen @ (down @ mixing.T).reshape(-1, WIDTH)
+    order = np.argsort(around.ravel(), kind="stable")
+    ids = around.ravel()[order]
+    firsts = np.flatnonzero(np.diff(ids.astype(np.int64), prepend=-1))
+    grads["E"][ids[firsts]] = np.add.reduceat((down @ mixing.T).reshape(-1, WIDTH)[order], firsts, axis=0)
     squares += change ** 2
     flat -= RATE * change / (np.sqrt(squares) + 1e-6)
 
 
-def encode_words(docs: DataFrame, words: list[bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stored (id, ids): the words of every document as one byte each, read by all rounds and the scoring."""
+def encode_blocks(docs: DataFrame, words: list[bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored blocks of documents: (block, id, ids, rare) per document and one row (block, words) per block.
+
+    ``ids`` has a byte per word, ``rare`` the place in the block's ``words`` of every word that is not frequent.
+    """
+    kind = sql_type(docs, id_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(words)
-        for batch in slices(batches):
-            ids = [ids_of.of(t).tobytes() for t in batch["body"].to_pylist()]
-            yield pa.record_batch({"id": batch["id"], "ids": pa.array(ids, pa.binary())})
+        found, block = BlockWords(words), TaskContext.get().partitionId() << 32
+
+        def ended(nothing: pa.Array) -> pa.RecordBatch:
+            return pa.record_batch({
+                "block": pa.array([block], pa.int64()), "id": nothing, "ids": pa.nulls(1, pa.binary()),
+                "rare": pa.nulls(1, pa.binary()), "words": pa.array([found.rare], pa.list_(pa.binary()))})
+
+        for batch in slices(batches, 64):
+            ids, rare = found.of(batch["body"].to_pylist())
+            yield pa.record_batch({
+                "block": pa.array([block] * len(ids), pa.int64()), "id": batch["id"], "ids": pa.array(ids, pa.binary()),
+                "rare": pa.array(rare, pa.binary()), "words": pa.nulls(len(ids), pa.list_(pa.binary()))})
+            if len(found.rare) >= HELD:
+                yield ended(pa.nulls(1, batch["id"].type))
+                found, block = BlockWords(words), block + 1
+            last = batch["id"].type
+        if found.rare:
+            yield ended(pa.nulls(1, last))
 
     small_batches(docs)
     texts = docs.select(named(id_col).alias("id"), body(text_col).alias("body"))
-    return stored(texts.mapInArrow(work, f"id {sql_type(docs, id_col)}, ids binary"), "word-ids")
+    return stored(texts.mapInArrow(work, f"block bigint, id {kind}, ids binary, rare binary, words array<binary>"),
+                  "word-ids")
+
+
+def encode_words(docs: DataFrame, words: list[bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored (id, ids): the words of every document as one byte each, read by all rounds and the scoring."""
+    return encode_blocks(docs, words, id_col, text_col).where("words is null").select("id", "ids")
+
+
+def with_shares(blocks: DataFrame, counts: DataFrame, frequent: dict[bytes, int]) -> DataFrame:
+    """(id, ids, share): the sum of the logarithms of the rare words' shares of their buckets."""
+    bucket = F.crc32("word") % BUCKETS
+    totals = dict.fromkeys(range(BUCKETS), 0)
+    totals |= {r["bucket"]: r["n"] for r in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect()}
+    for word, n in frequent.items():
+        totals[zlib.crc32(word) % BUCKETS] -= n
+    whole = F.element_at(F.array(*[F.lit(max(1, totals[b])) for b in range(BUCKETS)]), (bucket + 1).cast("int"))
+    asked = blocks.where("words is not null").select("block", F.posexplode("words").alias("place", "word"))
+    answers = asked.join(counts, "word").select(F.col("block").alias("of_block"), "place", F.log(F.col("n") / whole).alias("share"))
+    kind = blocks.schema["id"].dataType.simpleString()
+
+    def add(texts: pa.Table, words: pa.Table) -> pa.Table:
+        shares = np.zeros(words.num_rows)
+        shares[words["place"].to_numpy()] = words["share"].to_numpy()
+        sums = [float(shares[np.frombuffer(r, np.int32)].sum()) for r in texts["rare"].to_pylist()]
+        return texts.select(["id", "ids"]).append_column("share", pa.array(sums, pa.float64()))
+
+    texts = blocks.where("words is null").select("block", "id", "ids", "rare")
+    return (texts.groupBy("block").cogroup(answers.groupBy("of_block"))
+            .applyInArrow(add, f"id {kind}, ids binary, share double"))
+
+
+def masked(data: bytes, number: int) -> np.ndarray:
+    """The places of a text that the round masks; over all rounds, every place once."""
+    rng = np.random.default_rng([SEED, zlib.crc32(data)])
+    return np.flatnonzero(rng.integers(0, ROUNDS, len(data), np.uint8) == number)
 
 
 def train_round(coded: DataFrame, start: np.ndarray, number: int) -> np.ndarray:
@@ -169,8 +261,7 @@ def train_round(coded: DataFrame, start: np.ndarray, number: int) -> np.ndarray:
             for data in batch["ids"]:
                 data = data.as_py()
                 ids = np.frombuffer(data, np.uint8)
-                rng = np.random.default_rng([SEED, number, zlib.crc32(data)])
-                places = np.flatnonzero(rng.random(len(ids)) < MASKED)
+                places = masked(data, number)
                 for at in range(0, len(places), STEP):
                     some = places[at:at + STEP]
                     around.append(contexts(ids, some))
@@ -227,16 +318,21 @@ def log_likelihood(ids: np.ndarray, parts: dict) -> float:
 
 
 def score(coded: DataFrame, flat: np.ndarray, id_col: str = "doc_id") -> DataFrame:
-    """Per document: id, n_words, log_likelihood, mean_log_likelihood."""
+    """Per document: id, n_words, log_likelihood, mean_log_likelihood.
+
+    Without a column ``share``, a rare word counts as its bucket.
+    """
+    if "share" not in coded.columns:
+        coded = coded.withColumn("share", F.lit(0.0))
     small = flat.astype(np.float32)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = with_tables(named_parts(small))
         for batch in batches:
             texts = [np.frombuffer(data, np.uint8) for data in batch["ids"].to_pylist()]
+            sums = [round(log_likelihood(t, parts) + s, 3) for t, s in zip(texts, batch["share"].to_pylist())]
             yield pa.record_batch({"id": batch["id"], "n_words": pa.array(list(map(len, texts)), pa.int64()),
-                                   "log_likelihood": pa.array([round(log_likelihood(t, parts), 3) for t in texts],
-                                                              pa.float64())})
+                                   "log_likelihood": pa.array(sums, pa.float64())})
 
     kind = coded.schema["id"].dataType.simpleString()
     scored = coded.mapInArrow(work, f"id {kind}, n_words bigint, log_likelihood double")
@@ -246,5 +342,8 @@ def score(coded: DataFrame, flat: np.ndarray, id_col: str = "doc_id") -> DataFra
 
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Trains on all documents and scores them."""
-    coded = encode_words(docs, vocabulary(docs, text_col), id_col, text_col)
-    return score(coded, train(coded), id_col)
+    counts = word_counts(docs, text_col)
+    frequent = most_frequent(counts)
+    blocks = encode_blocks(docs, list(frequent), id_col, text_col)
+    flat = train(blocks.where("words is null").select("id", "ids"))
+    return score(with_shares(blocks, counts, frequent), flat, id_col)

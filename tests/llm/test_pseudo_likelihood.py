@@ -60,3 +60,39 @@ def test_awkward_rows(spark):
         (d or -1, len((t or "").encode().split())) for d, t in pairs(docs))
     assert all((r["mean_log_likelihood"] is None) == (r["n_words"] == 0) for r in rows)
     assert lm.score_corpus(no_rows(docs)).count() == 0
+
+
+def test_a_word_counts_by_its_share_of_all_documents(spark):
+    """Two words of one bucket: the score of a text tells the common one from the rare one."""
+    names = [f"word{i}" for i in range(20_000)]
+    bucket = lm.zlib.crc32(b"word0") % lm.BUCKETS
+    common, rare, *_ = [w for w in names if lm.zlib.crc32(w.encode()) % lm.BUCKETS == bucket]
+    top = " ".join(f"top{i}" for i in range(lm.WORDS))
+    texts = [f"{top} {top} {top}"] * 40 + [f"top1 {common} top2"] * 30 + [f"top1 {rare} top2"] + [f"x{i}" for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["log_likelihood"] for r in lm.score_corpus(docs).collect()}
+    assert abs(got[40] - got[70] - np.log(30)) < 0.002
+
+
+def test_blocks_of_words_give_the_sums_of_all_shares(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(n)}" for n in rng.zipf(1.3, 50) % 5000) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts = lm.word_counts(docs)
+    frequent = lm.most_frequent(counts)
+    n = lm.Counter(w.encode() for t in texts for w in t.split())
+    totals = lm.Counter()
+    for w, times in n.items():
+        if w not in frequent:
+            totals[lm.zlib.crc32(w) % lm.BUCKETS] += times
+    blocks = lm.encode_blocks(docs, list(frequent))
+    got = {r["id"]: r["share"] for r in lm.with_shares(blocks, counts, frequent).collect()}
+    for i, t in enumerate(texts):
+        want = sum(np.log(n[w] / totals[lm.zlib.crc32(w) % lm.BUCKETS]) for w in t.encode().split() if w not in frequent)
+        assert abs(got[i] - want) < 1e-9
+
+
+def test_every_place_is_masked_once_over_the_rounds():
+    for n in (0, 1, 7, 600, 1300):
+        places = np.concatenate([lm.masked(bytes([1]) * n, number) for number in range(lm.ROUNDS)])
+        assert sorted(places.tolist()) == list(range(n))
