@@ -15,6 +15,15 @@ zero, and is linked like any other; texts of fewer words than a shingle hash
 their whole word sequence; null ids lose against any other id; repeated rows
 come back as often as they are; an empty table gives an empty result; other
 columns are never read.
+
+``drop_similar`` is the mode of a pipeline stage: texts are near copies if the
+sets of their five-word shingles have a Jaccard similarity of 0.8. Candidates
+share one of 24 bands of five minimum hashes; a pair at 0.8 shares none with
+probability 7e-5. Every candidate link is verified on the two texts. First, each
+text of a band's bucket is compared with the bucket's smallest; then, as long as
+that finds links, texts of one bucket that are still in different components
+meet in chunks of a bucket, all pairs of a chunk. A bucket no larger than a
+chunk is compared whole; larger ones in linear time, where a pair can be missed.
 """
 
 from __future__ import annotations
@@ -30,6 +39,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.common import body, named, slices, small_batches, sql_type, stored
 from reviewlake.llm.components import connected_components
+from reviewlake.llm.decontam import sent
 
 SHINGLE = 3
 SEED = 42
@@ -115,3 +125,108 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gone = stored(groups.where(f"`{id_col}` != component_id or (`{id_col}` is null and component_id is not null)")
                   .select(F.col(f"`{id_col}`").alias("_gone"), "component_id"), "simhash-gone")
     return docs.join(gone.select("_gone").distinct(), named(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+
+
+#: The stage mode: words per shingle, least similarity, bands and minimum hashes per band, texts per chunk of a bucket.
+STAGE_SHINGLE, SIMILARITY, BANDS, BAND_ROWS, CHUNK = 5, 0.8, 24, 5, 16
+
+
+def shingle_hashes(text: bytes, shingle: int = STAGE_SHINGLE) -> np.ndarray:
+    """The distinct hashes of a text's shingles, ascending; a text of fewer words is one shingle."""
+    words = text.lower().split()
+    size = min(shingle, len(words))
+    grams = {b" ".join(words[i:i + size]) for i in range(len(words) - size + 1)}
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64, len(grams)))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def band_keys(text: bytes, factors: np.ndarray) -> list[int]:
+    """One key per band, from the smallest of the shingles' hashes under each permutation."""
+    hashes = shingle_hashes(text)
+    least = np.full(len(factors), ~np.uint64(0))
+    for at in range(0, len(hashes), 1024):
+        mixed = hashes[at:at + 1024, None] * factors
+        np.minimum(least, (mixed ^ (mixed >> np.uint64(31))).min(axis=0), out=least)
+    least = least.reshape(BANDS, BAND_ROWS)
+    return [xxhash.xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(least)]
+
+
+def buckets(texts: DataFrame) -> DataFrame:
+    """Stored (key, node) of the bands of all texts (node, body)."""
+    factors = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keys = [band_keys(t, factors) for t in batch["body"].cast(pa.binary()).to_pylist()]
+            yield pa.record_batch({"node": batch["node"], "keys": pa.array(keys, pa.list_(pa.int64()))})
+
+    small_batches(texts)
+    found = texts.mapInArrow(work, "node binary, keys array<bigint>")
+    return stored(found.select("node", F.explode("keys").alias("key")), "band-keys")
+
+
+def similar_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Stored links: the distinct pairs (a, b) whose texts are similar."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, None
+        for batch in slices(batches, 64):
+            keep = []
+            for a, b in zip(batch["a_body"].cast(pa.binary()).to_pylist(), batch["b_body"].cast(pa.binary()).to_pylist()):
+                if a != last:
+                    last, held = a, shingle_hashes(a)
+                keep.append(similarity(held, shingle_hashes(b)) >= SIMILARITY)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = stored(pairs.distinct(), "similar-pairs")
+    second = stored(pairs.join(texts.select(F.col("node").alias("b"), F.col("body").alias("b_body")), "b"), "similar-b")
+    whole = second.join(texts.select(F.col("node").alias("a"), F.col("body").alias("a_body")), "a")
+    return stored(whole.select("a", "b", "a_body", "b_body").mapInArrow(work, "a binary, b binary"), "similar-links")
+
+
+def similar_components(texts: DataFrame) -> DataFrame:
+    """(node, root) of the distinct texts (node, body) that have near copies."""
+    bands = buckets(texts)
+    sizes = bands.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stored(bands.join(stored(sizes, "band-sizes"), "key"), "band-members")
+    # Only these texts are ever compared.
+    nodes = stored(members.select("node").distinct(), "band-nodes")
+    texts = stored(texts.join(sent(nodes), "node", "left_semi"), "band-texts")
+    found = similar_pairs(members.where("a != node").select("a", F.col("node").alias("b")), texts)
+    for number in itertools.count():
+        roots = stored(connected_components(found), "similar-roots")
+        placed = members.join(roots, "node", "left").select(
+            "key", "node", "n", F.coalesce("root", "node").alias("root"))
+        placed = stored(placed, "band-roots")
+        mixed = stored(placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                       .where("low != high").select("key"), "mixed-buckets")
+        parts = F.ceil(F.col("n") / CHUNK)
+        chunked = stored(placed.join(mixed, "key", "left_semi").select(
+            "key", "node", "root", F.pmod(F.xxhash64("node", "key", F.lit(number)), parts).alias("chunk")), "chunks")
+        left, right = chunked.alias("l"), chunked.alias("r")
+        pairs = left.join(right, ["key", "chunk"]).where("l.node < r.node and l.root != r.root").select(
+            F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        more = similar_pairs(pairs, texts)
+        if more.isEmpty():
+            return roots
+        found = stored(found.union(more), "similar-found")
+
+
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows whose id is the smallest of their component of similar texts; ids are as in ``drop_near_copies``."""
+    node = F.unhex(F.md5(body(text_col).cast("binary")))
+    rows = docs.select(named(id_col).alias("id"), node.alias("node"))
+    firsts = stored(rows.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "similar-nodes")
+    roots = similar_components(docs.select(node.alias("node"), body(text_col).alias("body")))
+    placed = stored(firsts.join(roots, "node", "left").select(
+        "node", "first", "n", F.coalesce("root", "node").alias("root")), "similar-placed")
+    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("rows"))
+    groups = placed.join(smallest.where("rows > 1"), "root").select("node", "component_id")
+    gone = stored(rows.join(groups, "node").where("id != component_id or (id is null and component_id is not null)")
+                  .select(F.col("id").alias("_gone"), F.col("node").alias("_node")).distinct(), "similar-gone")
+    same = named(id_col).eqNullSafe(F.col("_gone")) & (node == F.col("_node"))
+    return docs.join(gone, same, "left_anti")

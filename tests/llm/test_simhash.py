@@ -7,7 +7,7 @@ from llm.brute import awkward, no_rows, pairs
 from conftest import SF_DIR
 from reviewlake.llm.common import table
 from reviewlake.llm.components import connected_components
-from reviewlake.llm.simhash import drop_near_copies, links, near_groups, signed
+from reviewlake.llm.simhash import drop_near_copies, drop_similar, links, near_groups, signed
 
 BASE = " ".join(f"w{i % 37}x{i % 11}" for i in range(400))
 NEAR = [(40 + i, BASE.replace(f" w{i}x{i % 11} ", f" changed{i} ", 1)) for i in range(8)]
@@ -48,3 +48,44 @@ def test_one_of_each_group_stays(spark):
     docs = awkward(spark, NEAR).dropDuplicates(["doc_id"])
     kept = {r["doc_id"] for r in drop_near_copies(docs).collect()}
     assert kept == {c for d, _, c in brute.near_groups(pairs(docs)) if d == c}
+
+
+def shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def kept_of_similar(docs):
+    """Smallest ids of the components of all pairs of texts with Jaccard 0.8 of five-word shingles."""
+    sets = {d: shingles(t) for d, t in docs}
+    root = {d: d for d in sets}
+    for a in sorted(sets):
+        for b in sets:
+            if b < a and root[a] != root[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {d: low if r == high else r for d, r in root.items()}
+    return {d for d, r in root.items() if d == r}
+
+
+def test_planted_copies_of_similarity_80_to_95_go(spark):
+    rows = []
+    for g in range(30):
+        words = [f"g{g}w{i}" for i in range(404)]
+        rows.append((100 * g, " ".join(words)))
+        for j in range(1, 4):  # the last words differ: (400 - k) / (400 + k) shingles are shared
+            k = 10 + (g + 8 * j) % 35
+            rows.append((100 * g + j, " ".join(words[:-k] + [f"g{g}v{j}x{i}" for i in range(k)])))
+        rows.append((100 * g + 50, " ".join(words[:-60] + [f"g{g}far{i}" for i in range(60)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in drop_similar(docs).collect()}
+    assert kept == kept_of_similar(rows) == {d for d, _ in rows if d % 50 == 0}
+
+
+def test_one_large_group_and_awkward_rows(spark):
+    """Links within a bucket beyond a chunk, whose smallest text is no near copy of most others."""
+    words = [f"w{i}" for i in range(204)]
+    ring = [(1000 + i, " ".join(words[:i % 40] + [f"y{i}z{j}" for j in range(8)] + words[i % 40 + 8:])) for i in range(150)]
+    docs = awkward(spark, ring).dropDuplicates(["doc_id"]).where("doc_id is not null")
+    kept = {r["doc_id"] for r in drop_similar(docs).collect()}
+    assert kept == kept_of_similar(pairs(docs))
+    assert drop_similar(no_rows(docs)).count() == 0
