@@ -216,15 +216,16 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def drop_undetermined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` for which ``identify`` gives a language.
+    """The rows of ``docs`` for which ``identify`` gives a language, or would if any could be learnt.
 
-    Rows are judged where they are read, so no text is shuffled.
+    So only texts without a letter go, also where no row has a language. Rows are judged where they are read, so no text is shuffled.
     """
     prototypes = learn(docs, id_col, text_col, lang_col)
 
     @F.pandas_udf("boolean")
     def determined(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        classify = Classifier(prototypes)
+        # Without prototypes, texts with a letter are called by an empty name.
+        classify = Classifier(prototypes or {"": np.ones(DIMENSIONS)})
         for texts in parts:
             found = [lang != UNDETERMINED for at in range(0, len(texts), ROWS)
                      for lang in classify(texts.iloc[at:at + ROWS].tolist())[0]]
