@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewlake.llm import (
-    bpe, decontam, exact_dedup, langid, lines, pseudo_likelihood, rans, simhash, token_cache, warc,
+    bpe, decontam, exact_dedup, hard_negatives, langid, lines, merkle, pseudo_likelihood, rans, secrets, simhash,
+    token_cache, warc,
 )
 from reviewlake.llm.common import table
 
@@ -115,3 +117,91 @@ def op9_simhash(spark, sf_dir):
 @query("op10_pseudo_likelihood")
 def op10_pseudo_likelihood(spark, sf_dir):
     return pseudo_likelihood.score_corpus(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", """
+    WITH given AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+               CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+        FROM given a JOIN given b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    positive AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id,
+           positive_score, score AS negative_score
+    FROM positive JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+    QUALIFY row_number() OVER w <= 10""")
+def op11_hard_negatives(spark, sf_dir):
+    rows = hard_negatives.relabelled(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+@query("op12_secrets")
+def op12_secrets(spark, sf_dir):
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle", r"""
+    WITH RECURSIVE coded AS (
+        SELECT *, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                   lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
+                                            lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS inverted
+        FROM documents),
+    field AS (
+        SELECT doc_id, source, xor(inverted, 4294967295) % 5 = 0 AS hit, text,
+               coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+               || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+               || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head
+        FROM coded),
+    hashed AS (
+        SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               CASE WHEN hit THEN sha256(head || coalesce(strlen(text) || ':' || translate(text,
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS altered
+        FROM field),
+    leaf AS (
+        SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+        FROM hashed),
+    node AS (
+        SELECT tree, n, 0 AS level, i, leaf AS h FROM leaf
+        UNION ALL
+        SELECT tree, CAST(ceil(n / 16.0) AS BIGINT), level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i))
+        FROM node WHERE n > 1 GROUP BY tree, n, level, i // 16),
+    subroot AS (SELECT tree, h, count(*) OVER () AS n FROM node WHERE n = 1),
+    upper AS (
+        SELECT n, 0 AS level, tree AS i, h FROM subroot
+        UNION ALL
+        SELECT CAST(ceil(n / 16.0) AS BIGINT), level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i))
+        FROM upper WHERE n > 1 GROUP BY n, level, i // 16),
+    beside AS (
+        SELECT a.tree, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS l,
+               coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS r
+        FROM node a JOIN node b ON a.tree = b.tree AND a.level = b.level AND a.i // 16 = b.i // 16
+        WHERE a.n > 1 GROUP BY a.tree, a.level, a.i
+        UNION ALL
+        SELECT -1, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), ''),
+               coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '')
+        FROM upper a JOIN upper b ON a.level = b.level AND a.i // 16 = b.i // 16
+        WHERE a.n > 1 GROUP BY a.level, a.i),
+    path AS (
+        SELECT leaf.tree, leaf.i, list(struct_pack(l := b.l, r := b.r) ORDER BY b.tree DESC, b.level) AS p
+        FROM leaf JOIN beside b ON b.tree = leaf.tree AND b.i = leaf.i // CAST(pow(16, b.level) AS BIGINT)
+                             OR b.tree = -1 AND b.i = leaf.tree // CAST(pow(16, b.level) AS BIGINT)
+        GROUP BY leaf.tree, leaf.i)
+    SELECT doc_id, leaf, s.h AS subroot, root.h AS root,
+           sha256(list_aggregate(list_prepend('', list_transform(p, lambda x: x.l || x.r)), 'string_agg', '')) AS proof_sha256,
+           list_reduce(list_prepend(struct_pack(l := coalesce(altered, leaf), r := ''), coalesce(p, [])),
+                       lambda acc, x: struct_pack(l := sha256(x.l || acc.l || x.r), r := '')).l AS folded_root,
+           folded_root = root.h AS verified
+    FROM leaf JOIN subroot s USING (tree) CROSS JOIN (SELECT h FROM upper WHERE n = 1) root
+         LEFT JOIN path ON path.tree = leaf.tree AND path.i = leaf.i""")
+def op13_merkle(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
