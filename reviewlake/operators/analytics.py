@@ -498,17 +498,22 @@ def sla_metrics(run_log: DataFrame, as_of: str | None, days: int = 1) -> DataFra
 # --- windows, paging, sets ---------------------------------------------------
 
 def nav_functions(df: DataFrame, keys, order, value: str, ignore_nulls: bool = True, nth: int = 2,
-                  bucket_rows: int = 1_000_000) -> DataFrame:
+                  bucket_rows: int | None = None) -> DataFrame:
     """first / last / nth value over the whole key, and lead / lag, per row.
 
-    Rows are dealt by ranges of key and order into buckets of about ``bucket_rows``,
-    so that no task has to sort a hot key whole: neighbours are looked up inside a
-    bucket, and from a one-row-per-bucket summary across bucket borders. ``order``
-    must be total within a key. The dealt rows are checkpointed: a re-run of a lost
-    task must not deal them anew.
+    Rows are dealt by ranges of key and order into as many buckets as shuffles have
+    partitions, or into buckets of about ``bucket_rows``, so that no task has to
+    sort a hot key whole: neighbours are looked up inside a bucket, and from a
+    one-row-per-bucket summary across bucket borders. Both directions are growing frames: what lies ahead is what lies behind
+    in the mirrored order, as a frame that shrinks is evaluated anew for every row.
+    ``order`` must be total within a key. The dealt rows are checkpointed: a re-run
+    of a lost task must not deal them anew.
     """
     keys, order = list(keys), list(order)
-    buckets = max(1, -(-df.count() // bucket_rows))
+    if bucket_rows:
+        buckets = max(1, -(-df.count() // bucket_rows))
+    else:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = checkpointed(
         df.repartitionByRange(buckets, *keys, *order).withColumn("_bucket", F.spark_partition_id()))
     position = F.struct(*[F.col(c) for c in order])
@@ -519,14 +524,16 @@ def nav_functions(df: DataFrame, keys, order, value: str, ignore_nulls: bool = T
     summary = rows.groupBy(*keys, "_bucket").agg(
         F.min_by(boxed, at).alias("_first"), F.max_by(boxed, at).alias("_last"),
     )
-    across = Window.partitionBy(*keys).orderBy("_bucket")
-    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    after = across.rowsBetween(1, Window.unboundedFollowing)
+
+    def behind(window):
+        return window.rowsBetween(Window.unboundedPreceding, -1)
+
+    across = Window.partitionBy(*keys)
+    whole = across.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     borders = summary.select(
         *keys, "_bucket",
-        F.last_value("_last", True).over(before).alias("_prev"),
-        F.first_value("_first", True).over(after).alias("_next"),
+        F.last_value("_last", True).over(behind(across.orderBy("_bucket"))).alias("_prev"),
+        F.last_value("_first", True).over(behind(across.orderBy(F.desc("_bucket")))).alias("_next"),
         F.first_value("_first", True).over(whole).alias("_key_first"),
         F.last_value("_last", True).over(whole).alias("_key_last"),
     )
@@ -537,12 +544,10 @@ def nav_functions(df: DataFrame, keys, order, value: str, ignore_nulls: bool = T
         .filter(F.col("_rn") <= nth).filter(F.col("_rn") == nth)
         .select(*keys, boxed.alias("_nth"))
     )
-    local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    upto, onward = local.rowsBetween(Window.unboundedPreceding, -1), local.rowsBetween(
-        1, Window.unboundedFollowing)
+    local = Window.partitionBy(*keys, "_bucket")
     neighbours = rows.withColumns({
-        "_lag": F.last_value(boxed, True).over(upto),
-        "_lead": F.first_value(boxed, True).over(onward),
+        "_lag": F.last_value(boxed, True).over(behind(local.orderBy(*order))),
+        "_lead": F.last_value(boxed, True).over(behind(local.orderBy(*[F.desc(c) for c in order]))),
     })
     joined = neighbours.join(borders, [*keys, "_bucket"]).join(nth_rows, keys, "left")
     return joined.select(

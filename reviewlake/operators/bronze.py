@@ -50,8 +50,7 @@ def _branch_projection(df: DataFrame, branch: str) -> DataFrame:
     return df.select(
         "data_coleta", "bairro_pesquisado",
         field("place_id").alias("place_id"),
-        field("name").alias("name"),
-        field("formatted_address").alias("formatted_address"),
+        *[F.coalesce(field(c), F.lit(rules.DEFAULTS[c])).alias(c) for c in ("name", "formatted_address")],
         F.coalesce(field("geometry.location.lat"), F.lit(rules.DEFAULTS["latitude"])).alias("latitude"),
         F.coalesce(field("geometry.location.lng"), F.lit(rules.DEFAULTS["longitude"])).alias("longitude"),
         F.coalesce(field("rating").cast("double"), F.lit(rules.DEFAULTS["rating"])).alias("rating"),
@@ -75,16 +74,15 @@ def from_envelope(df: DataFrame) -> DataFrame:
 
 
 def _simple_branch(df: DataFrame) -> Column:
-    """The top-level fields of a simple document as one branch, defaults filled in."""
+    """The top-level fields of a simple document as one branch."""
     def pick(*names):
         found = [F.col(n) for n in names if n in df.columns]
         return F.coalesce(*found, F.lit(None)) if found else F.lit(None)
 
     values = {
         "place_id": pick("place_id"),
-        "name": F.coalesce(pick("name"), F.lit(rules.DEFAULTS["name"])),
-        "formatted_address": F.coalesce(
-            pick("formatted_address", "vicinity"), F.lit(rules.DEFAULTS["formatted_address"])),
+        "name": pick("name"),
+        "formatted_address": pick("formatted_address", "vicinity"),
         "rating": pick("rating"),
         "user_ratings_total": pick("user_ratings_total"),
         "geometry": pick("geometry"),

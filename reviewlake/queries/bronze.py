@@ -18,7 +18,8 @@ from reviewlake.sources import catalog, layers
 from reviewlake.sources.landing import build_envelopes, read_landing, write_landing
 
 @query("from_envelope", on_landed("""
-  SELECT data_coleta, bairro_pesquisado, place_id, name, formatted_address, latitude, longitude, rating,
+  SELECT data_coleta, bairro_pesquisado, place_id, coalesce(name, 'Local Desconhecido') AS name,
+    coalesce(formatted_address, 'Endereço não informado') AS formatted_address, latitude, longitude, rating,
     total_avaliacoes, CAST(has_review AS INT) AS reviews, count(*) AS total
   FROM landed GROUP BY ALL
 """))
@@ -233,7 +234,8 @@ def _(spark, sf_dir):
 # --- files and catalog -------------------------------------------------------
 
 @query("landing_roundtrip", on_branches("""
-  SELECT bairro, place_id, name, formatted_address, coalesce(lat, 0.0)::DOUBLE AS latitude,
+  SELECT bairro, place_id, name, coalesce(formatted_address, 'Endereço não informado') AS formatted_address,
+    coalesce(lat, 0.0)::DOUBLE AS latitude,
     coalesce(lng, 0.0)::DOUBLE AS longitude, rating, user_ratings_total AS total_avaliacoes,
     CAST(n_reviews AS INT) AS n_reviews
   FROM branches
@@ -297,8 +299,7 @@ SIMPLE_SQL = """
 
 def landed_branches(landed):
     return br.normalize_landing(landed, AS_OF).select(
-        F.col("bairro_pesquisado").alias("bairro"), "place_id", "name",
-        F.coalesce("formatted_address", F.lit("Endereço não informado")).alias("formatted_address"), "rating",
+        F.col("bairro_pesquisado").alias("bairro"), "place_id", "name", "formatted_address", "rating",
         "total_avaliacoes", F.greatest(F.size(F.coalesce("reviews", F.array())), F.lit(0)).alias("n_reviews"))
 
 

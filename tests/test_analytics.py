@@ -36,6 +36,13 @@ def test_nav_functions_against_brute_force(spark):
                 assert r["nth_value"] == (kept[1] if len(kept) > 1 else None)
 
 
+def test_nav_functions_have_no_shrinking_frame(spark):
+    df = spark.createDataFrame([("a", i, i) for i in range(50)], "k string, t int, v int")
+    plan = an.nav_functions(df, ["k"], ["t"], "v")._jdf.queryExecution().executedPlan().toString().lower()
+    assert "unboundedpreceding$(), -1" in plan
+    assert "1, unboundedfollowing" not in plan
+
+
 def test_sentinel_only_when_calm(spark):
     silver = fx.silver(spark, SF_DIR)
     assert gold.risk_alerts(silver, fx.AS_OF).filter("place_id = 'sem_alertas'").count() == 0
