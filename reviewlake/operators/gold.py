@@ -47,14 +47,19 @@ def _sentiment(label: str) -> Column:
     return F.col("sentimento") == label
 
 
-def silver_rollup(silver: DataFrame) -> DataFrame:
-    """Review counts by everything the Gold tables group or count on."""
+def silver_rollup(silver: DataFrame, more=()) -> DataFrame:
+    """Review counts by everything the Gold tables group or count on, and by ``more``."""
     return (
         silver.withColumn("mes", _month(silver))
-        .groupBy(*ROLLUP_KEYS).agg(F.count(F.lit(1)).alias("n_reviews"))
+        .groupBy(*ROLLUP_KEYS, *more).agg(F.count(F.lit(1)).alias("n_reviews"))
     )
 
 
+def merged_rollup(rollups: DataFrame) -> DataFrame:
+    """One roll-up from those of several days: counts add up."""
+    return rollups.groupBy(*ROLLUP_KEYS).agg(F.sum("n_reviews").alias("n_reviews"))
+
+
 def agency_performance_kpis(silver: DataFrame, as_of: str | None = None) -> DataFrame:
     return silver.groupBy("place_id", "nome_agencia", "bairro").agg(
         _rows(silver).alias("total_reviews"),

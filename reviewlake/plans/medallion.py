@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.operators.bronze import normalize_landing, to_bronze
-from reviewlake.operators.gold import GOLD_TABLES, silver_rollup
+from reviewlake.operators.gold import GOLD_TABLES, merged_rollup, silver_rollup
 from reviewlake.operators.governance import audit_row, lineage_row
 from reviewlake.operators.silver import to_silver
 from reviewlake.session import checkpointed
 from reviewlake.sources.catalog import register_all
 from reviewlake.sources.landing import read_landing
-from reviewlake.sources.layers import layer_path, read_layer, write_layer
+from reviewlake.sources.layers import DAY_COLUMNS, layer_path, read_day, read_layer, write_day, write_layer
 
 
 def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
@@ -47,23 +47,67 @@ def land_to_bronze(spark: SparkSession, landing: str, root: str, as_of: str | No
 
 def bronze_to_silver(spark: SparkSession, root: str, as_of: str | None = None,
                      fmt: str = "parquet", dynamic: bool = False, **options) -> dict:
-    silver = to_silver(read_layer(spark, root, "bronze", fmt), as_of, **options)
+    watched, watch = observed_silver(to_silver(read_layer(spark, root, "bronze", fmt), as_of, **options))
+    write_layer(watched, root, "silver", fmt, dynamic=dynamic)
+    return watch.get
+
+
+def observed_silver(silver: DataFrame) -> tuple[DataFrame, Observation]:
     label = F.col("sentimento")
-    watched, watch = observed(
+    return observed(
         silver, "silver", pii_detected=F.count_if(F.col("tem_pii")),
         positivos=F.count_if(label == "positivo"), negativos=F.count_if(label == "negativo"),
         neutros=F.count_if(label == "neutro"),
     )
-    write_layer(watched, root, "silver", fmt, dynamic=dynamic)
-    return watch.get
 
 
 def silver_to_gold(spark: SparkSession, root: str, as_of: str | None = None,
                    fmt: str = "parquet") -> None:
     """All Gold tables from one scan of Silver: they read a checkpointed rollup."""
-    rollup = checkpointed(silver_rollup(read_layer(spark, root, "silver", fmt)))
+    rollup_to_gold(silver_rollup(read_layer(spark, root, "silver", fmt)), root, as_of, fmt)
+
+
+def rollup_to_gold(rollup: DataFrame, root: str, as_of: str | None = None, fmt: str = "parquet") -> None:
+    held = checkpointed(rollup)
     for name, build in GOLD_TABLES.items():
-        write_layer(build(rollup, as_of), root, name, fmt)
+        write_layer(build(held, as_of), root, name, fmt)
+
+
+def record(spark: SparkSession, root: str, metrics: dict, as_of: str | None, fmt: str = "parquet") -> None:
+    """Append the audit and lineage records of a run."""
+    for layer, source in (("bronze", "landing"), ("silver", "bronze")):
+        audit_row(spark, f"{source}_to_{layer}", layer, metrics[layer], as_of).write.mode(
+            "append").format(fmt).save(layer_path(root, "governance/audit"))
+        lineage_row(spark, source, layer, "transform", as_of).write.mode(
+            "append").format(fmt).save(layer_path(root, "governance/lineage"))
+
+
+def run_day(spark: SparkSession, landing: str, root: str, day: str, as_of: str | None = None,
+            key: str = "hash", **options) -> dict:
+    """One landed day through every layer, at the cost of that day.
+
+    The day is one folder of Bronze, Silver and the roll-ups; a run replaces these
+    three and reads nothing of other days but their roll-ups, whose counts are
+    added up into Gold. Running a day again, also with other neighbourhoods than
+    before, leaves what one run over its present documents would have left. A lake
+    kept by days is kept in Parquet; ``rebuild_rollups`` takes over one that was not.
+    """
+    landed = landed_documents(spark, landing, day)
+    bronze, bronze_watch = observed(to_bronze(normalize_landing(landed, as_of), as_of, key), "bronze")
+    write_day(bronze, root, "bronze", day)
+    silver, silver_watch = observed_silver(to_silver(read_day(spark, root, "bronze", day), as_of, **options))
+    write_day(silver, root, "silver", day)
+    write_day(silver_rollup(read_day(spark, root, "silver", day)), root, "rollup", day)
+    rollup_to_gold(merged_rollup(read_layer(spark, root, "rollup")), root, as_of)
+    metrics = {"bronze": bronze_watch.get, "silver": silver_watch.get}
+    record(spark, root, metrics, as_of)
+    return metrics
+
+
+def rebuild_rollups(spark: SparkSession, root: str) -> None:
+    """The roll-ups of all days from the whole of Silver, in one pass."""
+    silver = read_layer(spark, root, "silver")
+    write_layer(silver_rollup(silver, DAY_COLUMNS), root, "rollup")
 
 
 def run_medallion(spark: SparkSession, landing: str, root: str, as_of: str | None = None,
@@ -75,11 +119,7 @@ def run_medallion(spark: SparkSession, landing: str, root: str, as_of: str | Non
         "silver": bronze_to_silver(spark, root, as_of, fmt),
     }
     silver_to_gold(spark, root, as_of, fmt)
-    for layer, source in (("bronze", "landing"), ("silver", "bronze")):
-        audit_row(spark, f"{source}_to_{layer}", layer, metrics[layer], as_of).write.mode(
-            "append").format(fmt).save(layer_path(root, "governance/audit"))
-        lineage_row(spark, source, layer, "transform", as_of).write.mode(
-            "append").format(fmt).save(layer_path(root, "governance/lineage"))
+    record(spark, root, metrics, as_of, fmt)
     if db:
         register_all(spark, root, db, fmt)
     return metrics

@@ -287,6 +287,51 @@ def _(spark, sf_dir):
     return layers.read_layer(spark, lake, "bronze").select(*LANDED_COLUMNS)
 
 
+DAYS = {"2001-12-30": "list_pos % 2 = 0", DAY: "list_pos % 2 = 1"}
+DAY_KPIS_SQL = f"""
+  SELECT place_id, agencia_name AS nome_agencia, bairro_pesquisado AS bairro, count(*) AS total_reviews,
+    avg(review_rating) AS rating_medio,
+    count(*) FILTER ({label_sql('review_text')} = 'positivo') AS reviews_positivos,
+    count(*) FILTER ({label_sql('review_text')} = 'negativo') AS reviews_negativos,
+    count(*) FILTER ({label_sql('review_text')} = 'neutro') AS reviews_neutros,
+    count(*) FILTER ({types_sql('review_text')} <> '') AS reviews_com_pii
+  FROM landed_bronze WHERE trim(review_text) <> ''"""
+
+
+def run_days(spark, sf_dir):
+    """Two days landed and run one after the other, the first of them twice with other documents."""
+    landing, lake = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    first, second = DAYS
+    early = scratch_path(spark, "landing")
+    write_landing(branches(spark, sf_dir), early, "early", f"{first} 01:00:00")
+    medallion.run_day(spark, early, lake, first, f"{first} 01:00:00")
+    for day, rows in DAYS.items():
+        write_landing(branches(spark, sf_dir).where(rows), landing, "exec", f"{day} 02:00:00")
+        medallion.run_day(spark, landing, lake, day, f"{day} 02:00:00")
+    return lake
+
+
+@query("medallion_two_days", with_ctes(LANDED_BRONZE_SQL, f"{DAY_KPIS_SQL} GROUP BY ALL"))
+def _(spark, sf_dir):
+    """Gold kept by days equals Gold of all documents at once."""
+    lake = run_days(spark, sf_dir)
+    return layers.read_layer(spark, lake, "agency_performance_kpis").drop("gold_timestamp")
+
+
+@query("medallion_rollups", with_ctes(LANDED_BRONZE_SQL, """
+  SELECT CAST(30 + list_pos % 2 AS INT) AS partition_day, count(*) AS silver, count(*) AS rollup,
+    count(DISTINCT bairro_pesquisado) AS bairros
+  FROM landed_bronze WHERE trim(review_text) <> '' GROUP BY 1
+"""))
+def _(spark, sf_dir):
+    """What Silver and the stored roll-ups hold of each day."""
+    lake = run_days(spark, sf_dir)
+    kept = layers.read_layer(spark, lake, "silver").groupBy("partition_day").agg(
+        rows_total().alias("silver"), F.count_distinct("bairro").alias("bairros"))
+    summed = layers.read_layer(spark, lake, "rollup").groupBy("partition_day").agg(F.sum("n_reviews").alias("rollup"))
+    return kept.join(summed, "partition_day")
+
+
 def simple_documents(spark, sf_dir):
     return branches(spark, sf_dir).drop("position", "list_pos", "s_suppkey")
 

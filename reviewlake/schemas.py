@@ -61,6 +61,12 @@ SILVER = _columns(
     partition_month=INT, partition_day=INT, data_quality_score=DOUBLE,
 )
 
+# Review counts of one ingestion day by everything the Gold tables group or count on.
+ROLLUP = _columns(
+    place_id=STRING, nome_agencia=STRING, bairro=STRING, mes=INT, sentimento=STRING, tem_pii=BOOLEAN,
+    rating_review=INT, n_reviews=BIGINT, partition_year=INT, partition_month=INT, partition_day=INT,
+)
+
 GOLD = {
     "agency_performance_kpis": _columns(
         place_id=STRING, nome_agencia=STRING, bairro=STRING, total_reviews=BIGINT,

@@ -10,13 +10,17 @@ from reviewlake import schemas
 PATHS = {
     "bronze": "bronze/google_maps_reviews",
     "silver": "silver/google_maps_reviews_enriched",
+    "rollup": "rollup/google_maps_reviews",
     **{name: f"gold/{name}" for name in schemas.GOLD},
 }
 PARTITION_COLUMNS = {
     "bronze": ("partition_year", "partition_month", "partition_day", "bairro_pesquisado"),
-    "silver": ("partition_year", "partition_month", "bairro"),
+    "silver": ("partition_year", "partition_month", "partition_day", "bairro"),
+    "rollup": ("partition_year", "partition_month", "partition_day"),
 }
-SCHEMAS = {"bronze": schemas.BRONZE, "silver": schemas.SILVER, **schemas.GOLD}
+#: What all layers kept by day are partitioned by first, so that a day is one folder.
+DAY_COLUMNS = ("partition_year", "partition_month", "partition_day")
+SCHEMAS = {"bronze": schemas.BRONZE, "silver": schemas.SILVER, "rollup": schemas.ROLLUP, **schemas.GOLD}
 
 
 def layer_path(root: str, layer: str) -> str:
@@ -60,6 +64,30 @@ def write_layer(df: DataFrame, root: str, layer: str, fmt: str = "parquet",
     return path
 
 
+def day_parts(day: str) -> dict[str, int]:
+    return dict(zip(DAY_COLUMNS, (int(part) for part in day[:10].split("-"))))
+
+
+def read_day(spark: SparkSession, root: str, layer: str, day: str) -> DataFrame:
+    """One day of a layer; only that day's folder is scanned."""
+    rows = read_layer(spark, root, layer)
+    for name, value in day_parts(day).items():
+        rows = rows.filter(F.col(name) == value)
+    return rows
+
+
+def write_day(df: DataFrame, root: str, layer: str, day: str) -> str:
+    """Replace one day of a layer (Parquet) by ``df``, whatever neighbourhoods it had or has; other days stay."""
+    folder = "/".join([layer_path(root, layer), *(f"{k}={v}" for k, v in day_parts(day).items())])
+    rest = [c for c in PARTITION_COLUMNS[layer] if c not in DAY_COLUMNS]
+    df = df.drop(*DAY_COLUMNS)
+    if rest:
+        df = df.hint("rebalance", *[F.col(c) for c in rest])
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*rest) if rest else writer).parquet(folder)
+    return folder
+
+
 def conform(df: DataFrame, other: DataFrame) -> DataFrame:
     """Append frames whose columns differ; a missing column reads as NULL."""
     return df.unionByName(other, allowMissingColumns=True)
