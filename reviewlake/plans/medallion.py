@@ -47,18 +47,15 @@ def land_to_bronze(spark: SparkSession, landing: str, root: str, as_of: str | No
 
 def bronze_to_silver(spark: SparkSession, root: str, as_of: str | None = None,
                      fmt: str = "parquet", dynamic: bool = False, **options) -> dict:
-    watched, watch = observed_silver(to_silver(read_layer(spark, root, "bronze", fmt), as_of, **options))
-    write_layer(watched, root, "silver", fmt, dynamic=dynamic)
-    return watch.get
-
-
-def observed_silver(silver: DataFrame) -> tuple[DataFrame, Observation]:
+    silver = to_silver(read_layer(spark, root, "bronze", fmt), as_of, **options)
     label = F.col("sentimento")
-    return observed(
+    watched, watch = observed(
         silver, "silver", pii_detected=F.count_if(F.col("tem_pii")),
         positivos=F.count_if(label == "positivo"), negativos=F.count_if(label == "negativo"),
         neutros=F.count_if(label == "neutro"),
     )
+    write_layer(watched, root, "silver", fmt, dynamic=dynamic)
+    return watch.get
 
 
 def silver_to_gold(spark: SparkSession, root: str, as_of: str | None = None,
@@ -93,17 +90,31 @@ def run_day(spark: SparkSession, landing: str, root: str, day: str, as_of: str |
     kept by days is kept in Parquet; ``rebuild_rollups`` takes over one that was not.
     """
     landed = landed_documents(spark, landing, day)
-    bronze, bronze_watch = observed(to_bronze(normalize_landing(landed, as_of), as_of, key), "bronze")
-    write_day(bronze, root, "bronze", day)
-    silver, silver_watch = observed_silver(to_silver(read_day(spark, root, "bronze", day), as_of, **options))
-    write_day(silver, root, "silver", day)
+    write_day(to_bronze(normalize_landing(landed, as_of), as_of, key), root, "bronze", day)
+    write_day(to_silver(read_day(spark, root, "bronze", day), as_of, **options), root, "silver", day)
     write_day(silver_rollup(read_day(spark, root, "silver", day)), root, "rollup", day)
     rollup_to_gold(merged_rollup(read_layer(spark, root, "rollup")), root, as_of)
-    metrics = {"bronze": bronze_watch.get, "silver": silver_watch.get}
+    metrics = day_metrics(spark, root, day)
     record(spark, root, metrics, as_of)
     return metrics
 
 
+def day_metrics(spark: SparkSession, root: str, day: str) -> dict:
+    """What a run of the day has written: Bronze from file footers, Silver from the day's roll-up."""
+    n = F.col("n_reviews")
+
+    def reviews(condition=None):
+        weight = n if condition is None else F.when(condition, n)
+        return F.coalesce(F.sum(weight), F.lit(0))
+
+    label = F.col("sentimento")
+    silver = read_day(spark, root, "rollup", day).agg(
+        reviews().alias("records_affected"), reviews(F.col("tem_pii")).alias("pii_detected"),
+        *[reviews(label == name).alias(f"{name}s") for name in ("positivo", "negativo", "neutro")])
+    return {"bronze": {"records_affected": read_day(spark, root, "bronze", day).count()},
+            "silver": silver.first().asDict()}
+
+
 def rebuild_rollups(spark: SparkSession, root: str) -> None:
     """The roll-ups of all days from the whole of Silver, in one pass."""
     silver = read_layer(spark, root, "silver")
