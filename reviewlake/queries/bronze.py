@@ -363,6 +363,17 @@ def _(spark, sf_dir):
     return landed_branches(read_landing(spark, path))
 
 
+@query("landing_split", on_branches(SIMPLE_SQL))
+def _(spark, sf_dir):
+    """Files of lines beside files of several documents over many lines each."""
+    path = scratch_path(spark, "landing")
+    rows = simple_documents(spark, sf_dir).withColumn("_odd", F.crc32(F.coalesce("place_id", F.lit("")).cast("binary")) % 2 == 1)
+    rows.where("not _odd").drop("_odd").write.json(f"{path}/lines")
+    many = rows.where("_odd").drop("_odd")
+    many.select(F.to_json(F.struct(*many.columns), {"pretty": "true"}).alias("value")).write.text(f"{path}/pretty")
+    return landed_branches(read_landing(spark, path, "simple"))
+
+
 @query("audit_and_lineage", with_ctes(LANDED_BRONZE_SQL, """
   SELECT 'landing_to_bronze' AS operation, 'bronze' AS table_name, count(*) AS records_affected,
     1::BIGINT AS lineage_rows FROM landed_bronze

@@ -17,17 +17,21 @@ PARTITIONS = ("year", "month", "day", "bairro")
 
 
 CORRUPT = "_corrupt_record"
+#: Where a line lies: its file, the start of its split, and its place among the lines of the task.
+FILE, BLOCK, AT = "_file", "_block", "_at"
 
 
-def _documents(spark: SparkSession, path: str, partitions: bool, multiline: bool) -> DataFrame:
-    """Landed texts as ``value``, one per line or one per file, with the folder columns if asked for."""
-    if not partitions:
-        return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=multiline)
-    folders = [f for f in schemas.PARTITIONED_ENVELOPE.fields if f.name in PARTITIONS]
-    return (
-        spark.read.schema(T.StructType([T.StructField("value", T.StringType()), *folders]))
-        .option("basePath", path).text(path, wholetext=multiline)
-    )
+def _lines(spark: SparkSession, path: str, partitions: bool) -> DataFrame:
+    """Landed lines as ``value``, with the folder columns if asked for, the file and the place in it."""
+    if partitions:
+        folders = [f for f in schemas.PARTITIONED_ENVELOPE.fields if f.name in PARTITIONS]
+        reader = spark.read.schema(T.StructType([T.StructField("value", T.StringType()), *folders]))
+        read = reader.option("basePath", path).text(path)
+    else:
+        read = spark.read.option("recursiveFileLookup", "true").text(path)
+    return read.select(
+        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias(AT))
 
 
 def _listed(text: Column) -> Column:
@@ -36,25 +40,97 @@ def _listed(text: Column) -> Column:
     return F.when(bare.startswith("[") & bare.endswith("]"), bare).otherwise(F.concat(F.lit("["), bare, F.lit("]")))
 
 
+def _readable(text: Column) -> Column:
+    return F.from_json(_listed(text), "array<struct<schema_version string>>").isNotNull()
+
+
+def _is_document(line: Column) -> Column:
+    """A line that is a whole document, or an array of them, and is not indented."""
+    return line.rlike(r"^[\[{]") & _readable(line)
+
+
+#: A closing bracket and an opening one behind it, outside strings: no JSON text has them within a document.
+TOUCHING = r"[}\]]\s*[\[{]"
+BORDER = r'\G((?:[^"}\]]++|"(?:[^"\\]++|\\.)*+"|[}\]](?!\s*[\[{]))*+[}\]])\s*(?=[\[{])'
+
+
+def _cut(files: DataFrame, by_line: Column) -> DataFrame:
+    """The documents (``value``) of files given by their lines (``_lines``, none of them blank).
+
+    Unless a file goes by line, a document ends where all brackets outside strings
+    are closed. Where they never are, documents begin at lines that open a bracket
+    without being indented.
+    """
+    others = [c for c in files.columns if c != "_lines"]
+
+    def parted(line: Column) -> Column:
+        return F.when(line.rlike(TOUCHING), F.split(F.regexp_replace(line, BORDER, "$1\n"), "\n")).otherwise(F.array(line))
+
+    def nesting(line: Column) -> Column:
+        brackets = F.regexp_replace(F.regexp_replace(line, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]", "")
+        opening = F.length(F.regexp_replace(brackets, r"[\]}]", ""))
+        return F.struct((2 * opening - F.length(brackets)).alias("change"), (F.length(brackets) > 0).alias("any"))
+
+    def step(held: Column, line: Column) -> Column:
+        depth, n = held["depth"] + line["change"], held["n"] + 1
+        closed = (depth <= 0) & line["any"]
+        return F.struct(F.when(closed, F.array_append(held["ends"], n)).otherwise(held["ends"]).alias("ends"),
+                        F.when(closed, F.lit(0)).otherwise(depth).alias("depth"), n.alias("n"))
+
+    start = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(0).alias("depth"), F.lit(0).alias("n"))
+    lines = F.when(by_line, F.col("_lines")).otherwise(F.flatten(F.transform("_lines", parted)))
+    staged = files.where(F.size("_lines") > 0).select(*others, lines.alias("_lines"), by_line.alias("_by_line"))
+    every = F.transform("_lines", lambda x, i: i + 1)
+    opened = F.filter(F.transform("_lines", lambda x, i: F.when(x.rlike(r"^[\[{]"), i)), lambda i: i > 0)
+    staged = staged.withColumn("_walked", F.when(
+        ~F.col("_by_line"), F.aggregate(F.transform("_lines", nesting), start, step)))
+    ends = (F.when(F.col("_by_line"), every).when(F.col("_walked.depth") == 0, F.col("_walked.ends")).otherwise(opened))
+    staged = staged.withColumn("_ends", F.array_union(ends, F.array(F.size("_lines"))))
+    staged = staged.withColumn("_starts", F.concat(F.array(F.lit(0)), F.col("_ends")))
+    spans = F.explode(F.arrays_zip(F.slice("_starts", 1, F.size("_ends")).alias("a"), F.col("_ends").alias("b")))
+    return (staged.select(*others, "_lines", spans.alias("_span"))
+            .select(*others, F.array_join(
+                F.slice("_lines", F.col("_span.a") + 1, F.col("_span.b") - F.col("_span.a")), "\n").alias("value"))
+            .where(F.trim("value") != ""))
+
+
 def _pieces(texts: DataFrame) -> DataFrame:
-    """The texts of documents in ``value``: a file that is not one piece of JSON is taken line by line."""
+    """The documents of whole files in ``value``: one per line where most lines are documents, else cut at brackets."""
     others = [c for c in texts.columns if c != "value"]
-    one = F.from_json(_listed(F.col("value")), "array<struct<schema_version string>>").isNotNull()
-    lines = F.when(one, F.array("value")).otherwise(F.split("value", "\n"))
-    return texts.select(*others, F.explode(lines).alias("value")).where(F.trim("value") != "")
+    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    whole = F.size(F.filter("_lines", _is_document))
+    return _cut(texts.select(*others, lines.alias("_lines")), (whole > 0) & (2 * whole >= F.size("_lines")))
+
+
+def _split_pieces(spark: SparkSession, path: str, partitions: bool) -> DataFrame:
+    """The documents of all files. Files of lines are read in splits; only the others are put together again, each
+    in one task. Which is which is counted per file."""
+    lines = _lines(spark, path, partitions).where(F.trim("value") != "")
+    others = [c for c in lines.columns if c not in ("value", FILE, BLOCK, AT)]
+    spread = lines.groupBy(FILE).agg(
+        F.count_if(_is_document(F.col("value"))).alias("_whole"), F.count(F.lit(1)).alias("_all")
+    ).where("_whole = 0 or 2 * _whole < _all").select(FILE)
+    single = lines.join(spread, FILE, "left_anti").select(*others, "value")
+    ordered = F.array_sort(F.collect_list(F.struct(BLOCK, AT, "value")))
+    joined = lines.join(spread, FILE, "left_semi").groupBy(FILE, *others).agg(ordered.alias("_rows"))
+    files = joined.select(*others, F.transform("_rows", lambda r: r["value"]).alias("_lines"))
+    return single.unionByName(_cut(files, F.lit(False)))
+
+
+def _parsed(pieces: DataFrame, schema: T.StructType) -> DataFrame:
+    others = [c for c in pieces.columns if c != "value"]
+    parsed = pieces.select(*others, F.explode_outer(
+        F.from_json(_listed(F.col("value")), T.ArrayType(schema))).alias("d"))
+    return parsed.select("d.*", *others)
 
 
 def whole_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
-    """Documents of whole files: one over many lines, an array of them, or one per line.
+    """Documents of whole files: one or more over many lines, arrays of them, or one per line.
 
     Nothing after the first document is passed over. What cannot be read comes
     as a row without values (see ``unreadable``).
     """
-    pieces = _pieces(texts)
-    others = [c for c in pieces.columns if c != "value"]
-    parsed = pieces.select(*others, F.explode_outer(
-        F.from_json(_listed(F.col("value")), T.ArrayType(schema))).alias("d"))
-    return parsed.select("d.*", *others)
+    return _parsed(_pieces(texts), schema)
 
 
 def read_landing(spark: SparkSession, path: str, layout: str | None = None,
@@ -65,16 +141,16 @@ def read_landing(spark: SparkSession, path: str, layout: str | None = None,
     ``partitions=True`` the ``year=/month=/day=/bairro=`` folders become columns
     (as ``part_year`` ... ``part_bairro``) and filters on them skip whole folders.
 
-    Files may hold one document over many lines, or one per line as ``write_landing``
-    makes them; ``multiline=False`` is for folders of the latter alone, whose files
-    tasks can split. An unreadable document comes as a row without values;
-    ``unreadable`` lists them.
+    Files may hold documents over many lines, or one per line as ``write_landing``
+    makes them: which is found per file, and files of lines are read in splits.
+    ``multiline=False`` is for folders of lines alone and saves that look. An
+    unreadable document comes as a row without values; ``unreadable`` lists them.
     """
     if partitions and layout == "simple":
         raise ValueError("partition folders hold envelope documents only")
     if multiline:
-        landed = whole_documents(
-            _documents(spark, path, partitions, True), schemas.ENVELOPE if partitions else LAYOUTS[layout])
+        landed = _parsed(
+            _split_pieces(spark, path, partitions), schemas.ENVELOPE if partitions else LAYOUTS[layout])
     elif partitions:
         landed = spark.read.schema(schemas.PARTITIONED_ENVELOPE).option("basePath", path).json(path)
     else:
@@ -84,12 +160,12 @@ def read_landing(spark: SparkSession, path: str, layout: str | None = None,
 
 def unreadable(spark: SparkSession, path: str, partitions: bool = False, multiline: bool = True) -> DataFrame:
     """The texts of documents that cannot be read, with their folder columns if asked for."""
-    texts = _documents(spark, path, partitions, multiline).where(F.trim("value") != "")
     value = F.col("value")
     if multiline:
-        texts = _pieces(texts)
-        broken = F.from_json(_listed(value), "array<struct<schema_version string>>").isNull()
+        texts = _split_pieces(spark, path, partitions)
+        broken = ~_readable(value)
     else:
+        texts = _lines(spark, path, partitions).drop(FILE, BLOCK, AT).where(F.trim("value") != "")
         schema = f"schema_version string, {CORRUPT} string"
         broken = F.from_json(value, schema, {"columnNameOfCorruptRecord": CORRUPT})[CORRUPT].isNotNull()
     found = texts.where(broken)

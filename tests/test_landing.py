@@ -229,3 +229,40 @@ def test_no_document_of_a_file_is_passed_over(spark, tmp_path):
     landed = br.normalize_landing(read_landing(spark, str(tmp_path / "l"), "envelope"), AS_OF)
     assert sorted(r["place_id"] for r in landed.collect()) == ["P1", "P1", "P1", "P2", "P2"]
     assert [r["value"] for r in unreadable(spark, str(tmp_path / "l")).collect()] == ["{broken"]
+
+
+def test_documents_are_cut_at_their_borders(spark, tmp_path):
+    from reviewlake.sources.landing import unreadable
+
+    docs = [envelope("Moema", [branch(f"P{n}", name='a } { "b" ] [')]) for n in range(9)]
+    pretty = [json.dumps(d, ensure_ascii=False, indent=2) for d in docs]
+    bare = [json.dumps(d, ensure_ascii=False) for d in docs]
+    folder = tmp_path / "l"
+    folder.mkdir()
+    (folder / "two.json").write_text(pretty[0] + "\n\n" + pretty[1], encoding="utf-8")
+    (folder / "mixed.json").write_text(pretty[2] + "\n" + bare[3] + "\n" + pretty[4], encoding="utf-8")
+    (folder / "close.json").write_text(pretty[5] + pretty[6] + "\n", encoding="utf-8")
+    (folder / "open.json").write_text(pretty[7][:-40] + "\n" + pretty[8] + "\n", encoding="utf-8")
+    landed = br.normalize_landing(read_landing(spark, str(folder), "envelope"), AS_OF)
+    assert sorted(r["place_id"] for r in landed.collect()) == ["P0", "P1", "P2", "P3", "P4", "P5", "P6", "P8"]
+    broken = [r["value"] for r in unreadable(spark, str(folder)).collect()]
+    assert broken == [pretty[7][:-40].rstrip("\n")] or broken == [pretty[7][:-40]]
+
+
+def test_files_of_lines_are_read_in_splits(spark, tmp_path):
+    folder = tmp_path / "l"
+    folder.mkdir()
+    docs = [json.dumps(envelope("Moema", [branch(f"P{n}")]), ensure_ascii=False) for n in range(400)]
+    docs[7] = docs[7][:50]
+    (folder / "lines.json").write_text("\n".join(docs), encoding="utf-8")
+    put(folder, "pretty.json", envelope("Lapa", [branch("Q1")]))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        landed = read_landing(spark, str(folder), "envelope")
+        tasks = landed.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(tasks) > 8 and max(r["count"] for r in tasks) < 60
+        places = [r["place_id"] for r in br.normalize_landing(landed, AS_OF).collect()]
+        assert sorted(places) == sorted([f"P{n}" for n in range(400) if n != 7] + ["Q1"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
