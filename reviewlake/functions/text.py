@@ -11,7 +11,7 @@ import re
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions import rules
@@ -121,6 +121,22 @@ def sentiment_score(text: Column, positive=rules.SCORED_POSITIVE_TERMS,
     return _bind(counts, scored)
 
 
+def with_sentiment_tenths(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the score of ``sentiment_score`` in tenths as a long.
+
+    In successive projections rather than bound variables: columns that the next
+    projection uses more than once are kept apart, and all of it is generated code.
+    """
+    counted = df.withColumn("_low", F.lower(text)).withColumns({
+        "_pos": count_in_lowered(F.col("_low"), rules.SCORED_POSITIVE_TERMS),
+        "_neg": count_in_lowered(F.col("_low"), rules.SCORED_NEGATIVE_TERMS),
+        "_long": F.coalesce(F.length(strip(F.col("_low"))), F.lit(0)) >= 3,
+    })
+    decided = F.col("_long") & (F.col("_pos") != F.col("_neg"))
+    tenths = F.when(decided, F.least(F.lit(9), F.greatest("_pos", "_neg") + F.lit(5))).otherwise(F.lit(5))
+    return counted.withColumn(name, tenths.cast("bigint")).drop("_low", "_pos", "_neg", "_long")
+
+
 # --- personal data -----------------------------------------------------------
 
 def _matches(text: Column, kind: str, pattern: str) -> Column:
@@ -267,15 +283,13 @@ def clean_text(text: Column, faithful: bool = True) -> Column:
     The faithful order strips special characters first, which takes the "@" and
     "/" the later steps look for; ``faithful=False`` runs those steps first.
     """
-    def specials(c):
-        return F.regexp_replace(c, rf"[^{WORD_CLASS}{SPACE_CLASS}.!?,;:\-]", " ")
-
-    def spaces(c):
-        return F.regexp_replace(c, rf"[{SPACE_CLASS}]+", " ")
+    def plain(c):
+        # A special character becomes a space, and a run of spaces one: both in one pass.
+        return F.regexp_replace(c, rf"[^{WORD_CLASS}.!?,;:\-]+", " ")
 
     def urls(c):
         # One class covers every alternative of the documented URL pattern.
-        return F.regexp_replace(c, r"https?://[!$-_a-z]+", "")
+        return F.when(c.contains("://"), F.regexp_replace(c, r"https?://[!$-_a-z]+", "")).otherwise(c)
 
     def emails(c, token):
         # A match can only start where a run of non-space starts.
@@ -284,9 +298,10 @@ def clean_text(text: Column, faithful: bool = True) -> Column:
 
     source = F.coalesce(text, F.lit(""))
     if faithful:
-        result = emails(urls(spaces(specials(source))), "[EMAIL]")
+        # Without "@" and "/", which are special, the later steps find nothing to do.
+        result = emails(urls(plain(source)), "[EMAIL]")
     else:
-        result = spaces(specials(emails(urls(source), "EMAIL")))
+        result = plain(emails(urls(source), "EMAIL"))
     return strip(result)
 
 

@@ -366,11 +366,8 @@ def agency_kpis_full(silver: DataFrame, as_of: str | None = None) -> DataFrame:
 
 def monthly_trend(silver: DataFrame) -> DataFrame:
     """Monthly sentiment figures and their direction against the month before."""
-    scored = silver.withColumns({
-        "ano_mes": year_month(F.col("data_coleta")),
-        "_tenths": F.round(
-            txt.sentiment_score(F.col("texto_review"))["score"] * 10).cast("bigint"),
-    }).filter(F.col("ano_mes").isNotNull())
+    dated = silver.withColumn("ano_mes", year_month(F.col("data_coleta"))).filter(F.col("ano_mes").isNotNull())
+    scored = txt.with_sentiment_tenths(dated, "texto_review", "_tenths")
     monthly = scored.groupBy("ano_mes").agg(
         ratio(F.sum("_tenths"), _total() * 10).alias("sentimento_medio_score"),
         _total().alias("total_avaliacoes_mes"),
@@ -458,11 +455,11 @@ def sentiment_trend(silver: DataFrame) -> DataFrame:
     ``variacao_7d`` / ``variacao_30d``: today's count minus the mean count of the
     days with reviews among the 7 / 30 before. Windows run over one row per day.
     """
-    daily = silver.select(
-        "bairro", "sentimento", "rating_review",
+    dated = silver.select(
+        "bairro", "sentimento", "rating_review", "texto_review",
         to_date_or_null(F.col("data_coleta")).alias("data_referencia"),
-        F.round(txt.sentiment_score(F.col("texto_review"))["score"] * 10).cast("bigint").alias("_s"),
-    ).filter(F.col("data_referencia").isNotNull()).groupBy("bairro", "data_referencia", "sentimento").agg(
+    ).filter(F.col("data_referencia").isNotNull())
+    daily = txt.with_sentiment_tenths(dated, "texto_review", "_s").groupBy("bairro", "data_referencia", "sentimento").agg(
         _total().alias("total_avaliacoes"),
         F.avg("rating_review").alias("rating_medio"),
         ratio(F.sum("_s"), _total() * 10).alias("score_sentimento_medio"),
