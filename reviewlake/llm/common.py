@@ -48,9 +48,9 @@ def small_batches(df: DataFrame) -> None:
     A batch of texts is held several times over, by the executor and by its Python workers.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = df.sparkSession.conf.get(key)
-    if not (held.endswith("b") and 0 < int(held[:-1]) <= BATCH_BYTES):
-        df.sparkSession.conf.set(key, f"{BATCH_BYTES}b")
+    wanted = f"{BATCH_BYTES}b"
+    if df.sparkSession.conf.get(key) != wanted:
+        df.sparkSession.conf.set(key, wanted)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -17,13 +17,20 @@ come back as often as they are; an empty table gives an empty result; other
 columns are never read.
 
 ``drop_similar`` is the mode of a pipeline stage: texts are near copies if the
-sets of their five-word shingles have a Jaccard similarity of 0.8. Candidates
-share one of 24 bands of five minimum hashes; a pair at 0.8 shares none with
-probability 7e-5. Every candidate link is verified on the two texts. First, each
-text of a band's bucket is compared with the bucket's smallest; then, as long as
-that finds links, texts of one bucket that are still in different components
-meet in chunks of a bucket, all pairs of a chunk. A bucket no larger than a
-chunk is compared whole; larger ones in linear time, where a pair can be missed.
+sets of their five-word shingles have a Jaccard similarity of 0.8. Candidates come
+from ball hashing as above, on fingerprints of five-word shingles, and, as most
+pairs at 0.8 differ in more bits than a ball can hold, from 24 bands of five
+minimum hashes; a pair at 0.8 shares no band with probability 7e-5. Every
+candidate link is verified on the texts' shingle hashes.
+
+Candidates are taken in steps (balls, one band, five bands, all others), and texts
+that are linked are contracted to components in between. In a step, every text of
+a bucket whose component is not the bucket's first one meets the first one's
+smallest text; a large group of copies is linked by its first bucket, and the
+other bands find nothing left to compare. At last every text meets one text of
+each other component that its buckets still hold, until no link is found. So a
+bucket costs its texts times the components that remain apart in it, not their
+square; no bucket is capped.
 """
 
 from __future__ import annotations
@@ -127,8 +134,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return docs.join(gone.select("_gone").distinct(), named(id_col).eqNullSafe(F.col("_gone")), "left_anti")
 
 
-#: The stage mode: words per shingle, least similarity, bands and minimum hashes per band, texts per chunk of a bucket.
-STAGE_SHINGLE, SIMILARITY, BANDS, BAND_ROWS, CHUNK = 5, 0.8, 24, 5, 16
+#: The stage mode: words per shingle, least similarity, bands and minimum hashes per band.
+STAGE_SHINGLE, SIMILARITY, BANDS, BAND_ROWS = 5, 0.8, 24, 5
+#: Bands whose buckets are compared at once; band 0 are the balls.
+STEPS = (range(0, 1), range(1, 2), range(2, 7), range(7, BANDS + 1))
 
 
 def shingle_hashes(text: bytes, shingle: int = STAGE_SHINGLE) -> np.ndarray:
@@ -144,9 +153,8 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def band_keys(text: bytes, factors: np.ndarray) -> list[int]:
+def band_keys(hashes: np.ndarray, factors: np.ndarray) -> list[int]:
     """One key per band, from the smallest of the shingles' hashes under each permutation."""
-    hashes = shingle_hashes(text)
     least = np.full(len(factors), ~np.uint64(0))
     for at in range(0, len(hashes), 1024):
         mixed = hashes[at:at + 1024, None] * factors
@@ -155,78 +163,132 @@ def band_keys(text: bytes, factors: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(least)]
 
 
-def buckets(texts: DataFrame) -> DataFrame:
-    """Stored (key, node) of the bands of all texts (node, body)."""
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of hashes."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), SLICE):
+        bits = np.unpackbits(hashes[at:at + SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return signed(int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little"))
+
+
+def sketches(texts: DataFrame) -> DataFrame:
+    """Stored (node, first, n, fp, keys) of the distinct texts among (id, node, body)."""
     factors = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys = [band_keys(t, factors) for t in batch["body"].cast(pa.binary()).to_pylist()]
-            yield pa.record_batch({"node": batch["node"], "keys": pa.array(keys, pa.list_(pa.int64()))})
+            hashes = [shingle_hashes(t) for t in batch["body"].cast(pa.binary()).to_pylist()]
+            yield pa.record_batch({
+                "id": batch["id"], "node": batch["node"], "fp": pa.array([majority(h) for h in hashes], pa.int64()),
+                "keys": pa.array([band_keys(h, factors) for h in hashes], pa.list_(pa.int64()))})
 
     small_batches(texts)
-    found = texts.mapInArrow(work, "node binary, keys array<bigint>")
-    return stored(found.select("node", F.explode("keys").alias("key")), "band-keys")
+    found = texts.mapInArrow(work, f"id {sql_type(texts, 'id')}, node binary, fp bigint, keys array<bigint>")
+    return stored(found.groupBy("node").agg(
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp"),
+        F.first("keys").alias("keys")), "similar-nodes")
 
 
-def similar_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Stored links: the distinct pairs (a, b) whose texts are similar."""
+def bucket_members(nodes: DataFrame) -> DataFrame:
+    """Stored (band, key, node) of the buckets that hold more than one text."""
+    roots = connected_components(links(nodes.select("fp").distinct()))
+    ball = F.xxhash64(F.coalesce("root", "fp"))
+    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "node", F.posexplode(F.concat(F.array(ball), "keys")).alias("band", "key"))
+    shared = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
+    return stored(placed.join(stored(shared, "similar-buckets"), ["band", "key"]), "similar-members")
+
+
+def hashed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Stored (node, hashes): the shingle hashes of the wanted texts, each once."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shingle_hashes(t).tobytes() for t in batch["body"].cast(pa.binary()).to_pylist()]
+            yield pa.record_batch({"node": batch["node"], "hashes": pa.array(found, pa.binary())})
+
+    some = texts.select("node", "body").join(sent(wanted), "node", "left_semi")
+    return stored(some.mapInArrow(work, "node binary, hashes binary").groupBy("node").agg(
+        F.first("hashes").alias("hashes")), "similar-hashes")
+
+
+def similar_pairs(pairs: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Stored links: the pairs (a, b) whose texts are similar."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
         for batch in slices(batches, 64):
             keep = []
-            for a, b in zip(batch["a_body"].cast(pa.binary()).to_pylist(), batch["b_body"].cast(pa.binary()).to_pylist()):
+            for a, of_a, of_b in zip(*(batch[c].to_pylist() for c in ("a", "of_a", "of_b"))):
                 if a != last:
-                    last, held = a, shingle_hashes(a)
-                keep.append(similarity(held, shingle_hashes(b)) >= SIMILARITY)
+                    last, held = a, np.frombuffer(of_a, np.uint64)
+                keep.append(similarity(held, np.frombuffer(of_b, np.uint64)) >= SIMILARITY)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    pairs = stored(pairs.distinct(), "similar-pairs")
-    second = stored(pairs.join(texts.select(F.col("node").alias("b"), F.col("body").alias("b_body")), "b"), "similar-b")
-    whole = second.join(texts.select(F.col("node").alias("a"), F.col("body").alias("a_body")), "a")
-    return stored(whole.select("a", "b", "a_body", "b_body").mapInArrow(work, "a binary, b binary"), "similar-links")
-
-
-def similar_components(texts: DataFrame) -> DataFrame:
-    """(node, root) of the distinct texts (node, body) that have near copies."""
-    bands = buckets(texts)
-    sizes = bands.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(bands.join(stored(sizes, "band-sizes"), "key"), "band-members")
-    # Only these texts are ever compared.
-    nodes = stored(members.select("node").distinct(), "band-nodes")
-    texts = stored(texts.join(sent(nodes), "node", "left_semi"), "band-texts")
-    found = similar_pairs(members.where("a != node").select("a", F.col("node").alias("b")), texts)
-    for number in itertools.count():
-        roots = stored(connected_components(found), "similar-roots")
-        placed = members.join(roots, "node", "left").select(
-            "key", "node", "n", F.coalesce("root", "node").alias("root"))
-        placed = stored(placed, "band-roots")
-        mixed = stored(placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                       .where("low != high").select("key"), "mixed-buckets")
-        parts = F.ceil(F.col("n") / CHUNK)
-        chunked = stored(placed.join(mixed, "key", "left_semi").select(
-            "key", "node", "root", F.pmod(F.xxhash64("node", "key", F.lit(number)), parts).alias("chunk")), "chunks")
-        left, right = chunked.alias("l"), chunked.alias("r")
-        pairs = left.join(right, ["key", "chunk"]).where("l.node < r.node and l.root != r.root").select(
-            F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-        more = similar_pairs(pairs, texts)
+    second = stored(pairs.join(hashes.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")), "b"), "similar-b")
+    whole = second.join(hashes.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")), "a")
+    return stored(whole.select("a", "b", "of_a", "of_b").mapInArrow(work, "a binary, b binary"), "similar-links")
+
+
+def contracted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Stored (key, node, root) of the buckets that hold more than one component."""
+    if roots is None:
+        placed = members.select("key", "node", F.col("node").alias("root"))
+    else:
+        placed = stored(members.join(roots, "node", "left").select(
+            "key", "node", F.coalesce("root", "node").alias("root")), "similar-placed")
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    return stored(placed.join(stored(mixed.select("key"), "similar-mixed"), "key", "left_semi"), "similar-apart")
+
+
+def to_first(apart: DataFrame) -> DataFrame:
+    """Each bucket's texts against the smallest text of its first component."""
+    first = apart.groupBy("key").agg(F.min(F.struct("root", "node")).alias("first"))
+    return apart.join(first, "key").where("root != first.root").select("first.node", F.col("node").alias("other"))
+
+
+def to_each(apart: DataFrame) -> DataFrame:
+    """Each bucket's texts against one text of every other component in it."""
+    ones = apart.groupBy("key", F.col("root").alias("of")).agg(F.min("node").alias("one"))
+    return apart.join(ones, "key").where("root != of").select(F.col("one").alias("node"), F.col("node").alias("other"))
+
+
+def similar_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, root) of the ``nodes`` that have near copies; ``texts`` has (node, body)."""
+    members = bucket_members(nodes)
+    hashes = hashed(texts, stored(members.select("node").distinct(), "similar-wanted"))
+    found, roots, met = None, None, None
+    steps = [(members.where(F.col("band").isin(list(bands))), to_first) for bands in STEPS]
+    for some, against in itertools.chain(steps, itertools.repeat((members, to_each))):
+        pairs = against(contracted(some, roots)).select(
+            F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        pairs = stored(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), "similar-pairs")
+        met = pairs if met is None else met.unionByName(pairs)
+        more = similar_pairs(pairs, hashes)
         if more.isEmpty():
-            return roots
-        found = stored(found.union(more), "similar-found")
+            if against is to_each:
+                return roots
+            continue
+        found = more if found is None else found.unionByName(more)
+        roots = stored(connected_components(found), "similar-roots")
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose id is the smallest of their component of similar texts; ids are as in ``drop_near_copies``."""
     node = F.unhex(F.md5(body(text_col).cast("binary")))
     rows = docs.select(named(id_col).alias("id"), node.alias("node"))
-    firsts = stored(rows.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "similar-nodes")
-    roots = similar_components(docs.select(node.alias("node"), body(text_col).alias("body")))
-    placed = stored(firsts.join(roots, "node", "left").select(
-        "node", "first", "n", F.coalesce("root", "node").alias("root")), "similar-placed")
+    texts = docs.select(named(id_col).alias("id"), node.alias("node"), body(text_col).alias("body"))
+    nodes = sketches(texts)
+    roots = similar_components(nodes.select("node", "fp", "keys"), texts)
+    placed = nodes.select("node", "first", "n")
+    if roots is not None:
+        placed = stored(placed.join(roots, "node", "left").select(
+            "node", "first", "n", F.coalesce("root", "node").alias("root")), "similar-placed")
+    else:
+        placed = placed.withColumn("root", F.col("node"))
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("rows"))
     groups = placed.join(smallest.where("rows > 1"), "root").select("node", "component_id")
     gone = stored(rows.join(groups, "node").where("id != component_id or (id is null and component_id is not null)")
                   .select(F.col("id").alias("_gone"), F.col("node").alias("_node")).distinct(), "similar-gone")
     same = named(id_col).eqNullSafe(F.col("_gone")) & (node == F.col("_node"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(sent(gone), same, "left_anti")

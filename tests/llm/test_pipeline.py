@@ -3,6 +3,7 @@ import public_tokenizers
 import tiktoken
 from llm import brute
 from llm.brute import pairs, sha
+from llm.test_simhash import kept_of_similar
 
 import corpus_pipeline
 from conftest import SF_DIR
@@ -18,8 +19,8 @@ def test_stages_in_order():
 def test_rows_against_brute_force(spark):
     docs = [p for p in pairs(table(spark, SF_DIR, "documents")) if any(c.isalpha() for c in p[1] or "")]
     docs = brute.kept_exact(docs)
-    groups = brute.near_groups(docs)
-    docs = [p for p, (d, _, c) in zip(docs, groups) if d == c]
+    kept = kept_of_similar(docs)
+    docs = [p for p in docs if p[0] in kept]
     items = [(r["item_id"], r["text"]) for r in table(spark, SF_DIR, "benchmark").collect()]
     docs = [p for p, r in zip(docs, brute.contamination(docs, items)) if not r[5]]
     coding = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, special_tokens={},

@@ -89,3 +89,22 @@ def test_one_large_group_and_awkward_rows(spark):
     kept = {r["doc_id"] for r in drop_similar(docs).collect()}
     assert kept == kept_of_similar(pairs(docs))
     assert drop_similar(no_rows(docs)).count() == 0
+
+
+def test_repeated_texts_under_many_ids(spark):
+    """Copies are folded before anything is compared."""
+    words = [f"w{i}" for i in range(104)]
+    texts = [" ".join(words), " ".join(words[:-5] + ["other"] * 5), "quite another text of a few words"]
+    docs = spark.createDataFrame([(10 * i + t, texts[t]) for i in range(200) for t in range(3)], "doc_id long, text string")
+    assert {r["doc_id"] for r in drop_similar(docs).collect()} == {0, 2}
+
+
+def test_thousands_of_near_copies(spark):
+    """Every copy differs from the others in a window of its own, so that few pairs but those with the first match."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(words))]
+    rows += [(n, " ".join(words[:n % 290] + [f"v{n}x{j}" for j in range(10)] + words[n % 290 + 10:])) for n in range(1, 1201)]
+    rows += [(5000 + n, " ".join(f"u{n}y{i}" for i in range(40))) for n in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    kept = {r["doc_id"] for r in drop_similar(docs).collect()}
+    assert kept == {0} | {5000 + n for n in range(50)}
