@@ -196,20 +196,23 @@ def bucket_members(nodes: DataFrame) -> DataFrame:
     ball = F.xxhash64(F.coalesce("root", "fp"))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "node", F.posexplode(F.concat(F.array(ball), "keys")).alias("band", "key"))
-    shared = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
-    return stored(placed.join(stored(shared, "similar-buckets"), ["band", "key"]), "similar-members")
+    # Keys are hashed with their band.
+    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    return stored(placed.join(sent(stored(shared, "similar-buckets")), "key"), "similar-members")
 
 
 def hashed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Stored (node, hashes): the shingle hashes of the wanted texts, each once."""
+    """(node, hashes) from a stored table: the shingle hashes of the wanted texts (node, n), each once."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [shingle_hashes(t).tobytes() for t in batch["body"].cast(pa.binary()).to_pylist()]
-            yield pa.record_batch({"node": batch["node"], "hashes": pa.array(found, pa.binary())})
+            yield pa.record_batch({"node": batch["node"], "n": batch["n"], "hashes": pa.array(found, pa.binary())})
 
-    some = texts.select("node", "body").join(sent(wanted), "node", "left_semi")
-    return stored(some.mapInArrow(work, "node binary, hashes binary").groupBy("node").agg(
-        F.first("hashes").alias("hashes")), "similar-hashes")
+    some = texts.select("node", "body").join(sent(wanted), "node").select("node", "n", "body")
+    held = stored(some.mapInArrow(work, "node binary, n bigint, hashes binary"), "similar-hashes")
+    # Only repeated texts have to be folded.
+    return held.where("n = 1").select("node", "hashes").unionByName(
+        held.where("n > 1").groupBy("node").agg(F.first("hashes").alias("hashes")))
 
 
 def similar_pairs(pairs: DataFrame, hashes: DataFrame) -> DataFrame:
@@ -225,8 +228,11 @@ def similar_pairs(pairs: DataFrame, hashes: DataFrame) -> DataFrame:
                 keep.append(similarity(held, np.frombuffer(of_b, np.uint64)) >= SIMILARITY)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    second = stored(pairs.join(hashes.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")), "b"), "similar-b")
-    whole = second.join(hashes.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")), "a")
+    # Small lists of pairs and of first texts go to the hashes; only the hashes they name are shuffled.
+    second = stored(hashes.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")).join(sent(pairs), "b"), "similar-b")
+    firsts = stored(pairs.select("a").distinct(), "similar-firsts")
+    first = hashes.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")).join(sent(firsts), "a", "left_semi")
+    whole = second.join(first, "a")
     return stored(whole.select("a", "b", "of_a", "of_b").mapInArrow(work, "a binary, b binary"), "similar-links")
 
 
@@ -256,7 +262,8 @@ def to_each(apart: DataFrame) -> DataFrame:
 def similar_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of the ``nodes`` that have near copies; ``texts`` has (node, body)."""
     members = bucket_members(nodes)
-    hashes = hashed(texts, stored(members.select("node").distinct(), "similar-wanted"))
+    wanted = members.select("node").distinct().join(nodes.select("node", "n"), "node")
+    hashes = hashed(texts, stored(wanted, "similar-wanted"))
     found, roots, met = None, None, None
     steps = [(members.where(F.col("band").isin(list(bands))), to_first) for bands in STEPS]
     for some, against in itertools.chain(steps, itertools.repeat((members, to_each))):
@@ -279,7 +286,7 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(named(id_col).alias("id"), node.alias("node"))
     texts = docs.select(named(id_col).alias("id"), node.alias("node"), body(text_col).alias("body"))
     nodes = sketches(texts)
-    roots = similar_components(nodes.select("node", "fp", "keys"), texts)
+    roots = similar_components(nodes, texts)
     placed = nodes.select("node", "first", "n")
     if roots is not None:
         placed = stored(placed.join(roots, "node", "left").select(
