@@ -20,7 +20,7 @@ from reviewlake.functions.numeric import exact, mean_exact, percent, ratio, roun
 from reviewlake.operators.gold import nps_category
 from reviewlake.operators.silver import risk_counts, with_risk_counts
 from reviewlake.session import checkpointed
-from reviewlake.sources.layers import read_layer
+from reviewlake.sources.layers import DAY_COLUMNS, read_layer
 
 
 def _is(label: str) -> Column:
@@ -49,6 +49,24 @@ def run_stats(bronze: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
+def daily_sketches(layer: DataFrame, days=DAY_COLUMNS) -> DataFrame:
+    """Rows and distinct-count sketches per day of a layer, to be stored and merged over any period."""
+    return layer.groupBy(*days).agg(
+        _total().alias("total_reviews"),
+        F.hll_sketch_agg("place_id", F.lit(14)).alias("agencias"),
+        F.hll_sketch_agg("bairro", F.lit(14)).alias("bairros"),
+    )
+
+
+def stats_from_sketches(sketches: DataFrame) -> DataFrame:
+    """The figures of ``run_stats`` for the days given; distinct counts are off by about 1 per cent."""
+    return sketches.agg(
+        F.coalesce(F.sum("total_reviews"), F.lit(0).cast("bigint")).alias("total_reviews"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("agencias")), F.lit(0).cast("bigint")).alias("agencias_unicas"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("bairros")), F.lit(0).cast("bigint")).alias("bairros_unicos"),
+    )
+
+
 def sentiment_counts(silver: DataFrame) -> DataFrame:
     return silver.groupBy("sentimento").agg(_total().alias("total"))
 
@@ -561,13 +579,45 @@ def ordered(df: DataFrame, keys) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int) -> DataFrame:
-    """A preview: any ``n`` rows."""
-    return df.limit(n)
+    """The ``n`` rows with the smallest digests: the same sample however the rows are partitioned.
+
+    Every task keeps ``n`` rows, and nothing is sorted whole.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns]
+    return df.orderBy(F.md5(F.concat_ws("\u001f", *parts).cast("binary"))).limit(n)
 
 
 def page(df: DataFrame, keys, offset: int, limit: int) -> DataFrame:
     return df.orderBy(*keys).offset(offset).limit(limit)
 
 
+def write_pages(df: DataFrame, keys, path: str) -> None:
+    """Store rows for ``read_page``: dealt by ranges of ``keys``, numbered within their range.
+
+    ``keys`` must be total, or pages depend on how ties are dealt.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    at = F.monotonically_increasing_id()
+    dealt.withColumns({"_at": at.bitwiseAND((1 << 33) - 1), "_range": F.shiftrightunsigned(at, 33)}).write.mode(
+        "overwrite").partitionBy("_range").parquet(path)
+
+
+def read_page(spark: SparkSession, path: str, offset: int, limit: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` of what ``write_pages`` stored, scanning only the ranges that hold them.
+
+    The counts per range come from file footers, one row per range.
+    """
+    rows = spark.read.parquet(path)
+    counts = dict(rows.groupBy("_range").agg(F.count(F.lit(1))).collect())
+    before, wanted = 0, F.lit(False)
+    for number in sorted(counts):
+        first, last = max(0, offset - before), min(counts[number], offset + limit - before)
+        if first < last:
+            wanted = wanted | ((F.col("_range") == number) & (F.col("_at") >= first) & (F.col("_at") < last))
+        before += counts[number]
+    return rows.filter(wanted).orderBy("_range", "_at").drop("_range", "_at")
+
+
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()

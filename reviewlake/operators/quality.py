@@ -14,6 +14,9 @@ from reviewlake.sources.landing import branch_points
 ISSUE_TYPE = "array<struct<tipo: string, severidade: string, problema: string>>"
 
 
+#: Bits of the bitmap of suspect fingerprints: 4 MB.
+BITMAP_BITS = 25
+
 # --- collection completeness -------------------------------------------------
 
 def completeness(branches: DataFrame, by: str = "bairro") -> DataFrame:
@@ -365,6 +368,53 @@ def uniqueness(df: DataFrame, keys) -> DataFrame:
     ).withColumn("percentual_unico", percent(F.col("chaves_distintas"), F.col("total")))
 
 
+def _suspects(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
+    """``(flags, rows)``: how often each fingerprint of the keys occurs, and the rows that may repeat a key.
+
+    Only eight bytes a row are shuffled for the counts. Fingerprints that occur more
+    than once set a bit each in a bitmap of ``1 << BITMAP_BITS`` bits, at most 4 KB a
+    row in ``1 << (BITMAP_BITS - 15)`` rows, which goes to every task; rows whose
+    bit is not set cannot repeat a key. A bit set by chance only lets a row through.
+    """
+    fingerprint = F.xxhash64(*keys)
+    counted = df.select(fingerprint.alias("_fp")).groupBy("_fp").agg(F.count(F.lit(1)).alias("_n"))
+    place = F.shiftrightunsigned("_fp", 64 - BITMAP_BITS)
+    bitmap = counted.filter("_n > 1").select(place.alias("_p")).groupBy(
+        F.bitmap_bucket_number(F.col("_p") + 1).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("_p") + 1)).alias("_bits"))
+
+    def flagged(rows: DataFrame) -> DataFrame:
+        placed = rows.withColumn("_p", place)
+        joined = placed.join(F.broadcast(bitmap), F.bitmap_bucket_number(F.col("_p") + 1) == F.col("_bucket"), "left")
+        bit = F.bitmap_bit_position(F.col("_p") + 1).cast("int")
+        byte = F.conv(F.hex(F.substring("_bits", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+        hit = F.expr("coalesce(shiftright(_byte, _bit) & 1, 0) = 1")
+        return joined.withColumns({"_byte": byte, "_bit": bit.bitwiseAND(7)}).withColumn("_hit", hit)
+
+    rows = flagged(df.select(*keys, fingerprint.alias("_fp"))).filter("_hit").select(*keys)
+    return flagged(counted), rows
+
+
+def duplicates_by_suspects(df: DataFrame, keys) -> DataFrame:
+    """``duplicates``, shuffling only the keys of rows that may repeat one."""
+    return duplicates(_suspects(df, keys)[1], keys)
+
+
+def uniqueness_by_suspects(df: DataFrame, keys) -> DataFrame:
+    """``uniqueness``, shuffling fingerprints of all rows but only the keys of rows that may repeat one.
+
+    It reads its input twice: for stored layers with long keys, not for costly views.
+    """
+    flags, rows = _suspects(df, keys)
+    alone = flags.filter("not _hit").agg(F.count(F.lit(1)).alias("_alone"))
+    repeated = uniqueness(rows, keys).drop("percentual_unico")
+    whole = repeated.join(alone).select(
+        (F.col("total") + F.col("_alone")).alias("total"),
+        (F.col("chaves_distintas") + F.col("_alone")).alias("chaves_distintas"),
+        "chaves_repetidas", "linhas_excedentes")
+    return whole.withColumn("percentual_unico", percent(F.col("chaves_distintas"), F.col("total")))
+
+
 def temporal_violations(df: DataFrame) -> DataFrame:
     """review_time <= data_coleta <= ingestion <= processing, where the columns exist."""
     collected = to_timestamp_or_null(F.col("data_coleta"))

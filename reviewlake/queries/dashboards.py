@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reviewlake.session import scratch_path
+
 from reviewlake.functions import rules
 from reviewlake.functions.jsonio import json_extract
 from reviewlake.operators import analytics as an
@@ -478,6 +480,17 @@ def _(spark, sf_dir):
         e, ["event_type"], ["ts", "event_id"], "v").drop("ts", "v")
 
 
+@query("page_far", """
+  SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 40
+  OFFSET (SELECT count(*) * 9 // 10 FROM lineitem)
+""")
+def _(spark, sf_dir):
+    """A page far from the start of rows stored for paging."""
+    rows, path = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), scratch_path(spark, "pages")
+    an.write_pages(rows, ["l_orderkey", "l_linenumber"], path)
+    return an.read_page(spark, path, rows.count() * 9 // 10, 40)
+
+
 @query("dedup_first", """
   WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS rn FROM conversations)
   SELECT conv_id, turn, role, text FROM r WHERE rn = 1
@@ -494,7 +507,11 @@ def _(spark, sf_dir):
     return an.ordered(counts, [F.desc("total"), "place_id"])
 
 
-@query("sample_rows")
+@query("sample_rows", on_silver("""
+  SELECT nome_agencia, bairro, rating_review, sentimento, tem_pii FROM silver
+  ORDER BY md5(concat_ws(chr(31), nome_agencia, bairro, CAST(rating_review AS VARCHAR), sentimento,
+    CAST(tem_pii AS VARCHAR))) LIMIT 5
+"""))
 def _(spark, sf_dir):
     return an.sample_rows(
         silver(spark, sf_dir).select("nome_agencia", "bairro", "rating_review", "sentimento", "tem_pii"), 5)

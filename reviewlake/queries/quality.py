@@ -288,6 +288,21 @@ def _(spark, sf_dir):
     return q.uniqueness(bronze(spark, sf_dir), ["place_id", "review_time", "author_name"])
 
 
+@query("uniqueness_suspects", on_bronze(UNIQUE_SQL.format(
+    counts="SELECT count(*) AS n FROM bronze GROUP BY place_id, review_time, author_name")))
+def _(spark, sf_dir):
+    return q.uniqueness_by_suspects(bronze(spark, sf_dir), ["place_id", "review_time", "author_name"])
+
+
+@query("duplicates_suspects", """
+  SELECT user_id, event_type, CAST(value AS INT) AS v, count(*) AS ocorrencias FROM events
+  GROUP BY ALL HAVING count(*) > 1
+""")
+def _(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("user_id", "event_type", F.rint("value").cast("int").alias("v"))
+    return q.duplicates_by_suspects(rows, ["user_id", "event_type", "v"])
+
+
 @query("duplicates_order_line", """
   SELECT l_orderkey, l_linenumber, count(*) AS ocorrencias FROM lineitem
   GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from reviewlake.functions.dates import as_of_timestamp
 from reviewlake.functions.jsonio import parse_message, to_message
@@ -84,6 +86,68 @@ def publish_rejected(rejected: DataFrame, path: str, checkpoint: str, max_attemp
                  for df, name in ((retry, "fila"), (dead, DEAD_LETTERS)))
 
 
+#: What the retry state holds per neighbourhood, and what a step says of each message.
+ATTEMPTS, VERDICT = "tentativas int", "bairro string, destino string, tentativas int"
+
+
+def attempts(queue: DataFrame, rejected: Column, max_attempts: int = 3, forget: str = "30 days") -> DataFrame:
+    """One verdict per neighbourhood and trigger: ``aceita``, ``fila`` (to be tried again) or ``mortas``.
+
+    Attempts are counted in keyed state, whatever the messages say of them: a
+    rejection counts one, acceptance or the last attempt ends the count, and so does
+    ``forget`` without a message. Messages of one neighbourhood in one trigger are one attempt.
+    """
+    limit_ms = int(pd.Timedelta(forget).total_seconds() * 1000)
+
+    def judge(key, parts, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        bad = False
+        for part in parts:
+            bad = bad or bool(part["_bad"].any())
+        tried = (state.get[0] if state.exists else 0) + 1
+        where = "aceita" if not bad else DEAD_LETTERS if tried >= max_attempts else "fila"
+        if where == "fila":
+            state.update((tried,))
+            state.setTimeoutDuration(limit_ms)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"bairro": [key[0]], "destino": [where], "tentativas": [tried]})
+
+    flagged = queue.select("bairro", F.coalesce(rejected, F.lit(False)).alias("_bad"))
+    return flagged.groupBy("bairro").applyInPandasWithState(
+        judge, VERDICT, ATTEMPTS, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def retry_step(spark: SparkSession, root: str, rejected: Column, as_of: str | None, motivo: str = "rejeitada",
+               max_attempts: int = 3, forget: str = "30 days"):
+    """One trigger of the retry loop over the folders of ``root``; returns the query, drained.
+
+    New messages come from ``entrada`` and, rejected before, from ``fila``; the step
+    writes ``fila``, ``mortas`` and ``aceitas``. A batch that runs again after a
+    failure replaces its own files, so nothing is queued twice.
+    """
+    messages = stream_queue(queue_source(spark, f"{root}/{{entrada,fila}}/*"))
+
+    def deliver(batch: DataFrame, number: int) -> None:
+        held = batch.persist()
+        for name in ("aceita", "fila", DEAD_LETTERS):
+            some = held.filter(F.col("destino") == name)
+            if not some.isEmpty():
+                folder = "aceitas" if name == "aceita" else name
+                told = some.withColumn("tentativas", F.col("tentativas") - 1) if name != "aceita" else some
+                told = requeue(told, motivo, as_of) if name != "aceita" else some.select("bairro")
+                to_queue(told).write.mode("overwrite").text(f"{root}/{folder}/lote={number}")
+        held.unpersist()
+
+    query = (attempts(messages, rejected, max_attempts, forget).writeStream.foreachBatch(deliver)
+             # One batch: with time-outs in state, a query that drains its source would never find an end.
+             .option("checkpointLocation", f"{root}/_controle").trigger(once=True).start())
+    query.awaitTermination()
+    return query
+
+
 def publish(df: DataFrame, path: str, checkpoint: str, kafka: dict | None = None):
     """Start writing messages to a folder of text files, or to Kafka, and stop when drained."""
     writer = to_queue(df).writeStream.option("checkpointLocation", checkpoint)
