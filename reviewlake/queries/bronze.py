@@ -249,6 +249,16 @@ def _(spark, sf_dir):
         "latitude", "longitude", "rating", "total_avaliacoes", F.size("reviews").alias("n_reviews"))
 
 
+@query("landing_glob", on_branches("""
+  SELECT bairro, count(*) AS total FROM branches GROUP BY bairro
+"""))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "landing")
+    write_landing(branches(spark, sf_dir), path, "exec", AS_OF)
+    landed = read_landing(spark, f"{path}/year=*/month=12/*/*/*.json")
+    return br.normalize_landing(landed, AS_OF).groupBy(F.col("bairro_pesquisado").alias("bairro")).agg(rows_total())
+
+
 LANDED_BRONZE_SQL = BRANCHES_SQL + f""",
 r AS (SELECT b.*, CAST(i AS INT) AS i, p.texto
   FROM branches b, range(1, 14) t(i) JOIN (VALUES {", ".join(f"({i}, {sql_text(p)})" for i, p in enumerate(PHRASES))})
