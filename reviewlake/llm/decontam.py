@@ -31,8 +31,10 @@ WINDOW = 10
 #: Characters that separate words once A-Z are lower-cased.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows up to which a small side is sent to every executor (16 to 40 bytes a row); beyond, it is shuffled.
-SEND_ROWS = 500_000
+#: Rows and bytes up to which a small side is sent to every executor; beyond, it is shuffled.
+SEND_ROWS, SEND_BYTES = 500_000, 64 << 20
+#: Types whose values take at most 16 bytes.
+FIXED = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp"}
 
 
 def words(text: Column) -> Column:
@@ -43,8 +45,12 @@ def words(text: Column) -> Column:
 
 
 def sent(small: DataFrame) -> DataFrame:
-    """A stored table, marked for broadcast only if it is counted to be small."""
-    return F.broadcast(small) if small.limit(SEND_ROWS + 1).count() <= SEND_ROWS else small
+    """A stored table, marked for broadcast only if its rows and bytes are counted to be few."""
+    wide = [name for name, kind in small.dtypes if kind not in FIXED]
+    size = sum((F.coalesce(F.octet_length(named(name).cast("string")), F.lit(0)) for name in wide),
+               F.lit(16 * len(small.columns)))
+    rows, size = small.limit(SEND_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(small) if rows <= SEND_ROWS and size <= SEND_BYTES else small
 
 
 def item_words(items: DataFrame, item_id: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:

@@ -1,17 +1,21 @@
 """Exact deduplication by an exchange of Golomb-coded fingerprints.
 
-1. Every input partition cuts its rows into blocks. A block sorts its distinct
+1. Every partition cuts its rows into blocks. A block sorts its distinct
    fingerprints, deals them to owners by hash range and codes each owner's list
    as Golomb-Rice gaps. Only these lists travel.
 2. An owner merges the lists of one hash range and answers each with a bitmap
    of the fingerprints that other lists hold too.
-3. Rows whose bit is set, or that repeat inside their own block, are suspects.
-   Only their texts are shuffled, and grouping by the text itself is the check
-   byte for byte.
-
-A fingerprint travels once per block however often it occurs, and grouping by
-text combines before the shuffle, so one group holding a third of all rows is
-spread over all tasks.
+3. A block's suspects are the fingerprints whose bit is set or that repeat
+   inside the block. Rows that the bitmaps clear are alone: they get their own
+   id and size 1. Suspects' texts are grouped by the text itself, which checks
+   them byte for byte and gives the id that stays and the size.
+
+Suspected fingerprints, one per repeated text, are sent to the texts up to a
+checked size, and then only suspects' texts are shuffled; beyond it the texts
+are shuffled to the fingerprints. Rows find their group by fingerprint and
+SHA-256, in the same two ways. A fingerprint travels once per block however
+often it occurs, and grouping by text combines before the shuffle, so one group
+holding a third of all rows is spread over all tasks.
 
 Defined results: a null text equals the empty text; null ids lose against any
 other id; of rows that repeat id and text, one stays; an empty table gives an
@@ -26,10 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import body, named, shuffle_partitions, small_batches, sql_type, stored
+from reviewlake.llm.common import body, named, shuffle_partitions, small_batches, stored
 from reviewlake.llm.decontam import sent
 
 FINGERPRINT_BITS = 48
@@ -69,24 +73,14 @@ def rice_decode(code: bytes, n: int, k: int) -> np.ndarray:
     return np.cumsum(gaps)
 
 
-def _lists(offsets: np.ndarray, values: pa.Array) -> pa.Array:
-    return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), values).cast(pa.list_(values.type))
-
-
-def _block_rows(block: int, rows: pa.Table, owner_bits: int) -> pa.RecordBatch:
-    """One block as rows of (owner, coded distinct fingerprints, copies of each, uids, ids, digests)."""
-    fps = rows["fp"].to_numpy()
-    order = np.argsort(fps, kind="stable")
-    distinct, copies = np.unique(fps[order], return_counts=True)
+def _block_rows(block: int, fps: np.ndarray, owner_bits: int) -> pa.RecordBatch:
+    """One block as rows of (owner, coded distinct fingerprints, a bit for each that the block repeats)."""
+    distinct, copies = np.unique(fps, return_counts=True)
     width = FINGERPRINT_BITS - owner_bits
     owners = distinct >> width
     cuts = np.flatnonzero(np.diff(owners, prepend=-1))
     stops = np.append(cuts[1:], len(distinct))
-    ends = np.concatenate([[0], np.cumsum(copies)])
     coded = [rice_encode(distinct[a:b] & ((1 << width) - 1), width) for a, b in zip(cuts, stops)]
-    taken = rows.select(["uid", "id", "sha"]).take(pa.array(order)).combine_chunks()
-    offsets = np.append(ends[cuts], ends[-1])
-    column = lambda name: taken[name].chunk(0) if taken[name].num_chunks else taken[name].combine_chunks()
     count = len(cuts)
     return pa.record_batch({
         "sender": pa.array(np.full(count, TaskContext.get().partitionId(), np.int32)),
@@ -95,39 +89,41 @@ def _block_rows(block: int, rows: pa.Table, owner_bits: int) -> pa.RecordBatch:
         "n": pa.array((stops - cuts).astype(np.int32)),
         "k": pa.array([k for k, _ in coded], pa.int32()),
         "code": pa.array([c for _, c in coded], pa.binary()),
-        "copies": _lists(np.append(cuts, len(distinct)), pa.array(copies.astype(np.int32))),
-        "uids": _lists(offsets, column("uid")),
-        "ids": _lists(offsets, column("id")),
-        "shas": _lists(offsets, column("sha")),
+        "repeats": pa.array([np.packbits(copies[a:b] > 1).tobytes() for a, b in zip(cuts, stops)], pa.binary()),
     })
 
 
-def send_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The stored blocks of every input partition."""
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Stored (uid, id, fp, sha): each row's number, id, fingerprint and SHA-256."""
     text = body(text_col)
-    keyed = docs.select(
-        F.monotonically_increasing_id().alias("uid"), named(id_col).alias("id"),
-        F.shiftrightunsigned(F.xxhash64(text), 64 - FINGERPRINT_BITS).alias("fp"),
-        F.unhex(F.sha2(text, 256)).alias("sha"))
-    owner_bits = min(24, (shuffle_partitions(docs.sparkSession) - 1).bit_length())
+    return stored(docs.select(
+        F.monotonically_increasing_id().alias("uid"), named(id_col).alias("id"), fingerprint(text).alias("fp"),
+        F.unhex(F.sha2(text, 256)).alias("sha")), "dedup-keys")
+
+
+def fingerprint(text: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(text), 64 - FINGERPRINT_BITS)
+
+
+def send_blocks(keys: DataFrame, owner_bits: int) -> DataFrame:
+    """The stored blocks of every partition of ``keys``."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, block = [], 0, 0
         for batch in batches:
-            while batch.num_rows:
-                part = batch.slice(0, BLOCK_ROWS - rows)
-                batch = batch.slice(part.num_rows)
-                held.append(part)
-                rows += part.num_rows
+            fps = batch["fp"].to_numpy()
+            while len(fps):
+                held.append(fps[:BLOCK_ROWS - rows])
+                fps = fps[len(held[-1]):]
+                rows += len(held[-1])
                 if rows == BLOCK_ROWS:
-                    yield _block_rows(block, pa.Table.from_batches(held), owner_bits)
+                    yield _block_rows(block, np.concatenate(held), owner_bits)
                     held, rows, block = [], 0, block + 1
         if rows:
-            yield _block_rows(block, pa.Table.from_batches(held), owner_bits)
+            yield _block_rows(block, np.concatenate(held), owner_bits)
 
-    schema = (f"sender int, block int, owner int, n int, k int, code binary, copies array<int>, "
-              f"uids array<bigint>, ids array<{sql_type(docs, id_col)}>, shas array<binary>")
-    return stored(keyed.mapInArrow(send, schema), "dedup-blocks")
+    schema = "sender int, block int, owner int, n int, k int, code binary, repeats binary"
+    return stored(keys.select("fp").mapInArrow(send, schema), "dedup-blocks")
 
 
 def duplicate_bitmaps(blocks: DataFrame) -> DataFrame:
@@ -146,63 +142,59 @@ def duplicate_bitmaps(blocks: DataFrame) -> DataFrame:
             .applyInArrow(reply, "sender int, block int, owner int, bitmap binary"))
 
 
-def suspects(blocks: DataFrame) -> DataFrame:
-    """Distinct (id, fp) of rows whose fingerprint occurs more than once."""
-    width = FINGERPRINT_BITS
+def suspects(blocks: DataFrame, owner_bits: int) -> DataFrame:
+    """Stored distinct fingerprints (fp) that more than one row has."""
+    width = FINGERPRINT_BITS - owner_bits
 
-    owner_bits = min(24, (shuffle_partitions(blocks.sparkSession) - 1).bit_length())
+    def bits(raw: bytes, n: int) -> np.ndarray:
+        return np.unpackbits(np.frombuffer(raw, np.uint8))[:n].astype(bool)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch[name][i] for name in ("owner", "n", "k", "code", "copies", "ids", "bitmap")}
-                n = row["n"].as_py()
-                copies = row["copies"].values.to_numpy()
-                low = rice_decode(row["code"].as_py(), n, row["k"].as_py())
-                fps = low + (np.int64(row["owner"].as_py()) << (width - owner_bits))
-                shared = np.unpackbits(np.frombuffer(row["bitmap"].as_py(), np.uint8))[:n].astype(bool)
-                hit = np.flatnonzero(np.repeat(shared | (copies > 1), copies))
-                if len(hit):
-                    yield pa.record_batch({"id": row["ids"].values.take(pa.array(hit)),
-                                           "fp": pa.array(np.repeat(fps, copies)[hit])})
-
-    lists = blocks.drop("uids", "shas").join(duplicate_bitmaps(blocks), ["sender", "block", "owner"])
-    kind = blocks.schema["ids"].dataType.elementType.simpleString()
-    return lists.mapInArrow(pick, f"id {kind}, fp bigint").distinct()
+            for row in batch.to_pylist():
+                hit = bits(row["bitmap"], row["n"]) | bits(row["repeats"], row["n"])
+                if hit.any():
+                    fps = rice_decode(row["code"], row["n"], row["k"])[hit]
+                    yield pa.record_batch({"fp": pa.array(fps + (np.int64(row["owner"]) << width))})
+
+    lists = blocks.join(duplicate_bitmaps(blocks), ["sender", "block", "owner"])
+    return stored(lists.mapInArrow(pick, "fp bigint").distinct(), "dedup-suspects")
+
+
+def text_groups(docs: DataFrame, few: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The suspects' texts, one row each: fp, sha, keep_id (the largest id), group_size."""
+    texts = docs.select(named(id_col).alias("id"), body(text_col).alias("body"),
+                        fingerprint(body(text_col)).alias("fp"))
+    return (texts.join(sent(few), "fp", "left_semi").groupBy("body")
+            .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+            .select(fingerprint(F.col("body")).alias("fp"), F.unhex(F.sha2("body", 256)).alias("sha"),
+                    "keep_id", "group_size"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256, uid (the row's number)."""
     small_batches(docs)
-    blocks = send_blocks(docs, id_col, text_col)
-    text = body(text_col)
-    texts = docs.select(named(id_col).alias("id"), text.alias("body"),
-                        F.shiftrightunsigned(F.xxhash64(text), 64 - FINGERPRINT_BITS).alias("fp"))
-    few = suspects(blocks)
-    same = (texts["fp"] == few["fp"]) & texts["id"].eqNullSafe(few["id"])
-    verified = (texts.join(few, same, "left_semi").groupBy("body").agg(F.count(F.lit(1)).alias("rows"))
-                .where("rows > 1").select(F.unhex(F.sha2("body", 256)).alias("sha")))
-    keys = (blocks.select(F.explode(F.arrays_zip("uids", "ids", "shas")).alias("r"))
-            .select(F.col("r.uids").alias("uid"), F.col("r.ids").alias("id"), F.col("r.shas").alias("sha")))
-    # Grouped before the join: a hot digest is one row per task by then.
-    groups = (keys.groupBy("sha").agg(F.max(F.struct("id", "uid")).alias("best"),
-                                      F.count(F.lit(1)).alias("group_size"))
-              .where("group_size > 1").join(verified, "sha", "left_semi"))
-    # Stored, so that the last join is one of two plain shuffles, whose hot side can be split.
-    joined = keys.join(stored(groups, "dedup-groups"), "sha", "left")
+    owner_bits = min(24, (shuffle_partitions(docs.sparkSession) - 1).bit_length())
+    keys = row_keys(docs, id_col, text_col)
+    few = suspects(send_blocks(keys, owner_bits), owner_bits)
+    # Of rows that repeat the id that stays, the one with the largest number is kept.
+    last = (keys.join(sent(few), "fp", "left_semi").groupBy("fp", "sha")
+            .agg(F.max(F.struct("id", "uid")).alias("last")).select("fp", "sha", F.col("last.uid").alias("keep_uid")))
+    groups = stored(text_groups(docs, few, id_col, text_col).join(last, ["fp", "sha"]), "dedup-groups")
     alone = F.col("group_size").isNull()
-    return joined.select(
+    return keys.join(sent(groups), ["fp", "sha"], "left").select(
         F.col("id").alias(id_col),
-        F.when(alone, F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
+        F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (alone | (F.col("uid") == F.col("best.uid"))).alias("kept"),
+        (alone | (F.col("uid") == F.col("keep_uid"))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"), "uid")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without exact copies; of equal texts the largest id stays.
 
-    Rows that repeat id and text can differ in other columns: the largest row stays.
+    Rows that repeat id and text can differ in other columns: the one whose JSON form is largest stays,
+    so columns need no order (maps have none).
     """
     found = (exact_groups(docs, id_col, text_col).where("group_size > 1")
              .groupBy(F.col(f"`{id_col}`").alias("_id"), F.unhex("text_sha256").alias("_sha"))
@@ -219,5 +211,5 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one = (repeated.select(F.struct(*map(named, docs.columns)).alias("row"))
            .groupBy(F.col("row").getField(id_col).alias("_id"),
                     F.sha2(F.coalesce(F.col("row").getField(text_col), F.lit("")), 256).alias("_sha"))
-           .agg(F.max("row").alias("row")).select("row.*"))
+           .agg(F.max_by("row", F.to_json("row")).alias("row")).select("row.*"))
     return rest.unionByName(one)

@@ -5,7 +5,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.brute import awkward, no_rows, pairs, sha
 
-from reviewlake.llm.exact_dedup import drop_copies, exact_groups, rice_decode, rice_encode
+from reviewlake.llm.exact_dedup import (
+    drop_copies, exact_groups, rice_decode, rice_encode, row_keys, send_blocks, suspects, text_groups,
+)
 
 
 @given(st.sets(st.integers(0, 2**40 - 1), max_size=300))
@@ -54,3 +56,28 @@ def test_one_row_stays_per_text(spark):
     assert kept.columns == docs.columns
     assert Counter((r["text"] or "") for r in kept.collect()) == Counter({(t or "") for _, t in pairs(docs)})
     assert {r["doc_id"] for r in kept.collect() if (r["text"] or "").startswith("the same")} == {3}
+
+
+def test_columns_without_an_order(spark):
+    docs = spark.createDataFrame([(1, "a", {"x": 1}), (1, "a", {"x": 2}), (2, "b", None)],
+                                 "doc_id long, text string, more map<string,int>")
+    assert Counter((r["doc_id"], str(r["more"])) for r in drop_copies(docs).collect()) == Counter(
+        [(1, "{'x': 2}"), (2, "None")])
+
+
+def test_large_sides_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr("reviewlake.llm.decontam.SEND_BYTES", 0)
+    docs = awkward(spark)
+    assert Counter(tuple(r) for r in exact_groups(docs).drop("uid").collect()) == brute(pairs(docs))
+
+
+def test_only_suspects_are_sent_to_the_grouping(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["one", "two", "two", "", None, "three"])],
+                                 "doc_id long, text string")
+    keys = row_keys(docs, "doc_id", "text")
+    few = suspects(send_blocks(keys, 3), 3)
+    assert few.count() == 2
+    assert Counter((r["keep_id"], r["group_size"]) for r in text_groups(docs, few, "doc_id", "text").collect()) == Counter(
+        [(2, 2), (4, 2)])
+    plan = text_groups(docs, few, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
