@@ -6,8 +6,13 @@ match. A window of a benchmark item is looked up from its two rarest words:
 their postings, shifted by the words' offsets in the item, must meet in the
 same alignment of item and document. Surviving alignments are verified against
 the postings of all the item's words, and runs of matching words that are long
-enough are the exact occurrences. ``near_matches`` asks the same index for the
-two rarest words within a distance.
+enough are the exact occurrences.
+
+Proximity finds passages that were reworded. An item is cut into passages of
+one window's length (the last one ends with the item). Of a passage's distinct
+words, the two that are rarest among those the documents have must stand within
+a distance of each other, and around the rarest one four fifths of the
+passage's distinct words within that distance; order and repeats don't count.
 
 Everything is DataFrame operations. Postings of one very common word are
 spread by document; nothing is collected per word, and an alignment has at
@@ -28,6 +33,8 @@ from pyspark.sql import functions as F
 from reviewlake.llm.common import body, named, stored
 
 WINDOW = 10
+#: Words on either side of a passage's rarest word in which proximity looks for the others.
+DISTANCE = 20
 #: Characters that separate words once A-Z are lower-cased.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -133,16 +140,57 @@ def phrase_matches(index: DataFrame, item_terms: DataFrame) -> DataFrame:
             .where("to_pos - from_pos + 1 >= need").select("uid", "item", "from_pos", "to_pos"))
 
 
-def near_matches(index: DataFrame, item_terms: DataFrame, distance: int = 20) -> DataFrame:
-    """Proximity: distinct (uid, item) where a window's two rarest words are at most ``distance`` words apart."""
-    windows = rarest(index, item_terms).select("item", "w1", "w2").distinct()
-    place = F.floor(F.col("pos") / distance)
-    left = index.select("uid", "pos", F.col("word").alias("w1")).join(windows, "w1").select(
-        "uid", "item", "w2", F.col("pos").alias("pos1"),
-        F.explode(F.array(place - 1, place, place + 1)).alias("place"))
-    right = index.select("uid", F.col("pos").alias("pos2"), F.col("word").alias("w2"), place.alias("place"))
-    return (left.join(right, ["uid", "w2", "place"])
-            .where(F.abs(F.col("pos1") - F.col("pos2")) <= distance).select("uid", "item").distinct())
+def near_passages(index: DataFrame, item_terms: DataFrame) -> DataFrame:
+    """Stored (item, s, w1, w2, required, words) of passages that have enough words in the documents.
+
+    ``w1`` and ``w2`` are the rarest of them, ties by the word. Passages of one distinct word have no pair and are left
+    to the exact search.
+    """
+    counts = index.where("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("tf"))
+    aligned, last = F.col("p") - F.col("p") % F.col("need"), F.col("n") - F.col("need")
+    starts = F.array_distinct(F.array(F.when(aligned <= last, aligned), F.when(F.col("p") >= last, last)))
+    spread = (item_terms.select("item", "word", F.explode(starts).alias("s")).where("s is not null").distinct()
+              .join(counts, "word", "left"))
+    # At most a window's words are collected.
+    passages = spread.groupBy("item", "s").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.collect_list(F.when(F.col("tf").isNotNull(), F.struct("tf", "word")))).alias("known"))
+    required = F.greatest(F.lit(2), F.ceil(F.col("n") * 4 / 5))
+    return stored(passages.where(F.size("known") >= required).select(
+        "item", "s", F.col("known")[0]["word"].alias("w1"), F.col("known")[1]["word"].alias("w2"),
+        required.cast("int").alias("required"), F.col("known.word").alias("words")), "passages")
+
+
+def near_matches(index: DataFrame, item_terms: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Proximity: distinct (uid, item, s, pos), an item's passage and the place of its rarest word in a document.
+
+    Postings meet by document and stretch of positions; both joins only ask whether a posting is there, so no pair of
+    places is listed.
+    """
+    passages = near_passages(index, item_terms)
+    stretch = lambda pos: F.floor(pos / (2 * distance + 1))
+    touched = F.explode(F.array_distinct(F.array(stretch(F.col("pos") - distance), stretch(F.col("pos") + distance))))
+    postings = index.where("word != ''").select(
+        "uid", "word", F.col("pos").alias("there"), stretch(F.col("pos")).alias("stretch"))
+
+    def met(asked: DataFrame, among: DataFrame) -> DataFrame:
+        where = (asked["uid"] == among["uid"]) & (asked["word"] == among["word"]) & (
+            asked["stretch"] == among["stretch"]) & (F.abs(asked["pos"] - among["there"]) <= distance)
+        return asked.join(among, where, "left_semi")
+
+    first = index.select("uid", "pos", F.col("word").alias("w1")).join(
+        sent(passages.select("item", "s", "w1", F.col("w2").alias("word"))), "w1")
+    seconds = sent(stored(passages.select(F.col("w2").alias("word")).distinct(), "second-words"))
+    found = stored(met(first.select("uid", "item", "s", "pos", "word", touched.alias("stretch")),
+                       postings.join(seconds, "word", "left_semi"))
+                   .select("uid", "item", "s", "pos").distinct(), "near-pairs")
+    documents = stored(found.select("uid").distinct(), "near-docs")
+    asked = found.join(sent(passages.select("item", "s", "required", "words")), ["item", "s"]).select(
+        "uid", "item", "s", "pos", "required", F.explode("words").alias("word"))
+    asked = asked.select("uid", "item", "s", "pos", "required", "word", touched.alias("stretch"))
+    return (met(asked, postings.join(sent(documents), "uid", "left_semi"))
+            .groupBy("uid", "item", "s", "pos", "required").agg(F.count_distinct("word").alias("words"))
+            .where("words >= required").select("uid", "item", "s", "pos"))
 
 
 def covered(matches: DataFrame) -> DataFrame:
@@ -156,8 +204,12 @@ def covered(matches: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash."""
+                  item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
+                  distance: int | None = None) -> DataFrame:
+    """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash.
+
+    With a ``distance`` also n_near, the number of items with a proximity match.
+    """
     item_terms = item_words(items, item_id, item_text, window)
     index = build_index(docs, item_terms, id_col, text_col)
     matches = stored(phrase_matches(index, item_terms), "matches")
@@ -165,12 +217,18 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     listed = (matches.select("uid", "item").distinct().join(ids, "item").groupBy("uid")
               .agg(F.array_sort(F.collect_set("item_id")).alias("found")))
     none = F.array().cast("array<string>")
-    return (index.where("word = ''").join(covered(matches), "uid", "left").join(listed, "uid", "left").select(
+    result = index.where("word = ''").join(covered(matches), "uid", "left").join(listed, "uid", "left")
+    extra = []
+    if distance is not None:
+        near = (near_matches(index, item_terms, distance).select("uid", "item").distinct().join(ids, "item")
+                .groupBy("uid").agg(F.count_distinct("item_id").alias("n_near")))
+        result, extra = result.join(near, "uid", "left"), [F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near")]
+    return result.select(
         F.col("id").alias(id_col), F.col("pos").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.size(F.coalesce("found", none)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("found", none), ","), 256).alias("items_sha256"),
-        F.col("n_hit").isNotNull().alias("contaminated"), "text_hash"))
+        F.col("n_hit").isNotNull().alias("contaminated"), "text_hash", *extra)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

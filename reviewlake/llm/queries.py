@@ -96,12 +96,34 @@ def op6_token_counts(spark, sf_dir):
     hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
             FROM (SELECT doc_id, unnest(range(s, s + need)) AS p FROM met) GROUP BY doc_id),
     found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
-              FROM met GROUP BY doc_id)
-    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+              FROM met GROUP BY doc_id),
+    posting AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM doc),
+    tf AS (SELECT word, count(*) AS n FROM posting GROUP BY word),
+    passage AS (SELECT item_id, w, need, unnest(list_distinct(list_append(range(0, len(w) - need + 1, need), len(w) - need))) AS s
+                FROM sized),
+    term AS (SELECT DISTINCT item_id, w, s, word
+             FROM (SELECT item_id, w, s, unnest(w[s + 1:s + need]) AS word FROM passage)),
+    ranked AS (SELECT item_id, w, s, word, n, row_number() OVER (PARTITION BY item_id, w, s ORDER BY n NULLS LAST, word) AS r,
+                      greatest(2, (4 * count(*) OVER (PARTITION BY item_id, w, s) + 4) // 5) AS required
+               FROM term LEFT JOIN tf USING (word)),
+    pair AS (SELECT item_id, w, s, a.word AS w1, b.word AS w2, a.required
+             FROM (SELECT * FROM ranked WHERE r = 1) a JOIN (SELECT * FROM ranked WHERE r = 2 AND n IS NOT NULL) b
+             USING (item_id, w, s)),
+    close AS (SELECT DISTINCT p.doc_id, p.pos, item_id, w, s, required
+              FROM pair JOIN posting p ON p.word = w1
+              JOIN posting q ON q.doc_id = p.doc_id AND q.word = w2 AND q.pos BETWEEN p.pos - 20 AND p.pos + 20),
+    around AS (SELECT c.doc_id, c.item_id
+               FROM close c JOIN term t ON t.item_id = c.item_id AND t.w = c.w AND t.s = c.s
+               JOIN posting q ON q.doc_id = c.doc_id AND q.word = t.word AND q.pos BETWEEN c.pos - 20 AND c.pos + 20
+               GROUP BY c.doc_id, c.item_id, c.w, c.s, c.pos, c.required HAVING count(DISTINCT q.word) >= c.required),
+    near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM around GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_near, 0) AS n_near, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
            sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-    FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)""")
+    FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN near USING (doc_id)""")
 def op7_decontamination(spark, sf_dir):
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                   distance=decontam.DISTANCE)
+    return found.drop("text_hash")
 
 
 @query("op8_bpe_chunks")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -62,6 +62,33 @@ def contamination(docs, items, window=10):
     return out
 
 
+def near_items(docs, items, window=10, distance=20):
+    """Per document the number of items of which a passage's words stand close together."""
+    breaks = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    texts = [words(t, breaks) for _, t in docs]
+    tf = Counter(w for t in texts for w in t)
+    passages = set()
+    for item_id, text in items:
+        w = words(text, breaks)
+        size = min(window, len(w))
+        if size:
+            for s in {*range(0, len(w) - size + 1, size), len(w) - size}:
+                passages.add(("" if item_id is None else str(item_id), frozenset(w[s:s + size])))
+    found = []
+    for w in texts:
+        ids = set()
+        for item_id, terms in passages:
+            required, known = max(2, -(-4 * len(terms) // 5)), sorted((tf[t], t.encode()) for t in terms if tf[t])
+            if len(known) >= required:
+                first, second = (t.decode() for _, t in known[:2])
+                for pos in (i for i, t in enumerate(w) if t == first):
+                    around = set(w[max(0, pos - distance):pos + distance + 1])
+                    if second in around and len(around & terms) >= required:
+                        ids.add(item_id)
+        found.append(len(ids))
+    return found
+
+
 def fingerprint(text: str | None) -> int:
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(r"[^\x20\x09-\x0D]+", low)

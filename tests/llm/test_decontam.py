@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from llm import brute
@@ -52,3 +53,31 @@ def test_proximity(spark):
     index = build_index(docs, terms)
     near = near_matches(index, terms, 3).join(index.where("word = ''").select("uid", "id"), "uid")
     assert {r["id"] for r in near.collect()} == {1, 4}
+
+
+def test_proximity_against_brute_force(spark):
+    rng = random.Random(4)
+    names = [f"w{i}" for i in range(60)]
+    item_rows = [(i, " ".join(rng.choices(names, k=rng.choice([1, 2, 5, 10, 14, 27, 40])))) for i in range(30)] + ITEMS
+    texts = list(TEXTS)
+    for i in range(60):
+        some = rng.choice(item_rows)[1] or ""
+        body = some.split()
+        rng.shuffle(body)
+        kept = [t for t in body if rng.random() < 0.9]
+        filler = rng.choices(names + ["pad"] * 200, k=rng.choice([0, 5, 60, 150]))
+        texts.append((100 + i, " ".join(filler[:30] + kept + filler[30:])))
+    docs = awkward(spark, texts)
+    got = contamination(docs, items(spark, item_rows), distance=20)
+    want = Counter((r[0], r[1], n) for r, n in zip(brute.contamination(pairs(docs), item_rows),
+                                                   brute.near_items(pairs(docs), item_rows)))
+    assert Counter((r["doc_id"], r["n_words"], r["n_near"]) for r in got.collect()) == want
+    assert sum(n for _, _, n in want) > 20
+
+
+def test_proximity_leaves_words_far_apart_or_unknown(spark):
+    docs = spark.createDataFrame([(1, "red sky blue " + "x " * 30 + "sea green"), (2, "the the the"), (3, "sea red green sky blue")],
+                                 "doc_id long, text string")
+    item_rows = [(1, "red sky blue sea green"), (2, "the the"), (3, "never seen words the x")]
+    got = contamination(docs, items(spark, item_rows), distance=20)
+    assert {r["doc_id"]: r["n_near"] for r in got.collect()} == {1: 0, 2: 0, 3: 1}
