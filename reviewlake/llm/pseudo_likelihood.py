@@ -1,18 +1,24 @@
 """Document scores from a masked language model: pseudo-log-likelihood.
 
 A small window network reads the words left and right of a place and predicts
-the class of the word there. It is trained in numpy on places masked at random
-in every document, in rounds that mask every place once: each partition trains
-from the shared parameters, and their mean, weighted by the places seen, is the
-next round's start. A document's score is the sum over all its words of their
+the word there. It is trained in numpy on places masked at random in every
+document, in rounds that mask every place once: each partition trains from the
+shared parameters, and their mean, weighted by the places seen, is the next
+round's start. A document's score is the sum over all its words of their
 log-probability given both sides.
 
-Each of the most frequent words is a class of its own; other words share
-classes by hash, and the probability of such a word is its class's times the
-word's share of the class, counted over all documents. So every word of the
-documents is in the vocabulary. The network's parameters are a fixed number,
-summed by place in a shuffle. The words' counts are a table that grows with the
-documents; blocks of documents look their distinct words up in it by a join.
+A word is predicted in steps. The first names one of the most frequent words or
+a bucket; the second and third, each given both sides and the steps before, name
+digits of the word's 64-bit hash, 262,144 cells in all. The last factor is the
+word's share of its cell, counted over all documents. The network reads the same
+codes, so it tells words apart that share a bucket. Its parameters are a fixed
+number, summed by place in a shuffle; the words' counts are a table that grows
+with the documents. The counts of the commonest words, a bounded table, go to
+every task; a text's other words are looked up by a join on their hashes. Words
+whose 64-bit hashes are equal count as one word.
+
+The parameters are means over partitions, so scores depend slightly on how the
+documents are partitioned.
 
 Defined results: a null, empty or blank text has no words, score 0 and a null
 mean; ids may be null or repeat, each row keeps its own result; an empty table
@@ -25,79 +31,113 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.llm.common import body, named, slices, small_batches, sql_type, stored
 
-WORDS, BUCKETS = 191, 64
-#: Ids: 0 beyond the text's ends, then frequent words, then buckets.
-SIZE = 1 + WORDS + BUCKETS
+FREQUENT, BUCKETS, DIGITS = 63, 64, 64
+#: First steps: 0 beyond the text's ends, then frequent words, then buckets.
+SIZE = 1 + FREQUENT + BUCKETS
+CELLS = BUCKETS * DIGITS * DIGITS
+#: Both digits as one number; this one for words that have none.
+NO_DIGITS = DIGITS * DIGITS
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 #: Rounds (each place is masked in one of them), places per step, learning rate.
-ROUNDS, STEP, RATE = 2, 256, 0.15
+ROUNDS, STEP, RATE = 2, 512, 0.15
 SEED = 7
 PLACES = 1024
-#: Distinct words held in a worker's memory at once; a block of documents ends when it has so many rare ones.
-HELD = 100_000
+#: Distinct words held in a worker's memory at once.
+HELD = 300_000
+#: Words whose counts every task holds, at most.
+KNOWN = 1 << 17
 FIXED_POINT = 1 << 20
 
 
-class WordIds(dict):
-    """Word -> id; a bounded number of rare words is remembered."""
+@dataclass
+class Vocabulary:
+    """The bounded part of the counts: hashes in ascending order, their counts, and the total of every cell."""
 
-    def __init__(self, vocabulary: list[bytes]):
-        super().__init__({w: i + 1 for i, w in enumerate(vocabulary)})
-        self.vocabulary = vocabulary
+    frequent: np.ndarray
+    known: np.ndarray
+    counts: np.ndarray
+    totals: np.ndarray
+    #: Words with a smaller count are not among ``known``.
+    least: int
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= HELD:
-            self.clear()
-            self.update({w: i + 1 for i, w in enumerate(self.vocabulary)})
-        found = self[word] = 1 + WORDS + zlib.crc32(word) % BUCKETS
-        return found
 
-    def of(self, text: str) -> np.ndarray:
-        words = text.encode().lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.uint8, len(words))
+def hash_cell(hashes: np.ndarray) -> np.ndarray:
+    """The cell of a word: the hash's lowest bits, bucket first."""
+    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
+
 
+class Words(dict):
+    """Word -> its number among the words held, whose codes are kept in arrays."""
 
-class BlockWords(dict):
-    """Word -> id of a frequent word, or ``SIZE`` plus the number of a rare word within the block."""
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.forget()
 
-    def __init__(self, vocabulary: list[bytes]):
-        super().__init__({w: i + 1 for i, w in enumerate(vocabulary)})
-        self.rare, self.buckets = [], []
+    def forget(self) -> None:
+        self.clear()
+        self.fresh = []
+        self.hashes = np.empty(0, np.uint64)
+        self.first, self.digits = np.empty(0, np.uint8), np.empty(0, np.uint16)
+        self.share, self.asked = np.empty(0, np.int64), np.empty(0, bool)
 
     def __missing__(self, word: bytes) -> int:
-        found = self[word] = SIZE + len(self.rare)
-        self.rare.append(word)
-        self.buckets.append(1 + WORDS + zlib.crc32(word) % BUCKETS)
+        found = self[word] = len(self)
+        self.fresh.append(xxhash.xxh64_intdigest(word))
         return found
 
-    def of(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Per text its ids, a byte each, and the numbers of its rare words, four bytes each."""
-        codes = []
+    def learn(self) -> None:
+        """Codes of the words met since the last call."""
+        h, known = np.array(self.fresh, np.uint64), self.vocabulary
+        self.fresh = []
+        cell = hash_cell(h)
+        rank = np.searchsorted(known.frequent, h)
+        often = np.append(known.frequent, 0)[rank] == h if len(known.frequent) else np.zeros(len(h), bool)
+        often &= rank < len(known.frequent)
+        place = np.searchsorted(known.known, h)
+        held = (np.append(known.known, 0)[place] == h) & (place < len(known.known))
+        n = np.where(held, np.append(known.counts, 1)[place], 1)
+        share = np.rint((np.log(n) - np.log(np.maximum(known.totals[cell], 1))) * FIXED_POINT).astype(np.int64)
+        self.hashes = np.concatenate([self.hashes, h])
+        self.first = np.concatenate([self.first, np.where(often, 1 + rank, 1 + FREQUENT + cell // NO_DIGITS).astype(np.uint8)])
+        self.digits = np.concatenate([self.digits, np.where(often, NO_DIGITS, cell % NO_DIGITS).astype(np.uint16)])
+        self.share = np.concatenate([self.share, np.where(often, 0, share)])
+        self.asked = np.concatenate([self.asked, ~often & ~held])
+
+    def of(self, texts: list[str]) -> list[tuple[bytes, bytes, int, np.ndarray]]:
+        """Per text the first steps, the digits, the sum of the shares as far as known, and the hashes to look up."""
+        if len(self) >= HELD:
+            self.forget()
+        numbers = []
         for text in texts:
             words = text.encode().lower().split()
-            codes.append(np.fromiter(map(self.__getitem__, words), np.int32, len(words)))
-        ids_of = np.concatenate([np.arange(SIZE), self.buckets]).astype(np.uint8)
-        return [ids_of[c].tobytes() for c in codes], [(c[c >= SIZE] - SIZE).tobytes() for c in codes]
+            numbers.append(np.fromiter(map(self.__getitem__, words), np.int32, len(words)))
+        if self.fresh:
+            self.learn()
+        return [(self.first[n].tobytes(), self.digits[n].tobytes(), int(self.share[n].sum()),
+                 self.hashes[n[self.asked[n]]].view(np.int64)) for n in numbers]
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Stored (word, n): every word of the documents and how often it occurs."""
+    """Stored (hash, n): every word of the documents by its hash and how often it occurs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            rows = pa.record_batch({"word": pa.array(list(counts), pa.binary()),
-                                    "n": pa.array(list(counts.values()), pa.int64())})
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts)).view(np.int64)
+            rows = pa.record_batch({"hash": pa.array(hashes), "n": pa.array(list(counts.values()), pa.int64())})
             counts.clear()
             return rows
 
@@ -109,22 +149,48 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         yield flush()
 
     small_batches(docs)
-    return stored(docs.select(body(text_col).alias("body")).mapInArrow(work, "word binary, n bigint")
-                  .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    return stored(docs.select(body(text_col).alias("body")).mapInArrow(work, "hash bigint, n bigint")
+                  .groupBy("hash").agg(F.sum("n").alias("n")), "word-counts")
 
 
-def most_frequent(counts: DataFrame) -> dict[bytes, int]:
-    """The most frequent words and their counts; ties by the word."""
-    rows = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    return {bytes(r["word"]): r["n"] for r in rows}
+def size_of_count(n: Column) -> Column:
+    """Counts in at most 256 classes, four for each doubling."""
+    return F.floor(4 * F.log2(n))
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> list[bytes]:
-    """The most frequent words of all documents."""
-    return list(most_frequent(word_counts(docs, text_col)))
+def vocabulary_of(counts: DataFrame) -> Vocabulary:
+    """The commonest words, as many classes of counts as ``KNOWN`` words hold, and the totals of the cells.
 
-
-SHAPES = {"E": (SIZE, WIDTH), "W": (2 * SIDE, WIDTH, HIDDEN), "b": (HIDDEN,), "V": (HIDDEN, SIZE), "c": (SIZE,)}
+    The frequent words are the first of them, ties by the hash.
+    """
+    least, words = 1 << 62, 0
+    sizes = (counts.groupBy(size_of_count(F.col("n")).alias("size"))
+             .agg(F.count("*").alias("words"), F.min("n").alias("least")).collect())
+    for row in sorted(sizes, key=lambda r: -r["size"]):
+        words += row["words"]
+        if words > KNOWN:
+            break
+        least = row["least"]
+    common = counts.where(F.col("n") >= least).toArrow()
+    hashes, n = common["hash"].to_numpy().view(np.uint64), common["n"].to_numpy()
+    order = np.lexsort((hashes, -n))
+    frequent, frequent_n = hashes[order[:FREQUENT]], n[order[:FREQUENT]]
+    cell = F.col("hash").bitwiseAND(F.lit(CELLS - 1))
+    rows = counts.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n")).toArrow()
+    totals = np.zeros(CELLS, np.int64)
+    totals[rows["cell"].to_numpy()] = rows["n"].to_numpy()
+    np.subtract.at(totals, hash_cell(frequent), frequent_n)
+    order = np.argsort(hashes)
+    return Vocabulary(np.sort(frequent), hashes[order], n[order], totals, least)
+
+
+SHAPES = {
+    # What is read: first steps and digits of the words around, and how they are mixed.
+    "E": (SIZE, WIDTH), "E2": (DIGITS + 1, WIDTH), "E3": (DIGITS + 1, WIDTH), "W": (2 * SIDE, WIDTH, HIDDEN), "b": (HIDDEN,),
+    # What is predicted, step by step: earlier steps are added to the mixture.
+    "V": (HIDDEN, SIZE), "c": (SIZE,),
+    "A2": (BUCKETS, HIDDEN), "V2": (HIDDEN, DIGITS), "c2": (DIGITS,),
+    "A3": (BUCKETS, HIDDEN), "B3": (DIGITS, HIDDEN), "V3": (HIDDEN, DIGITS), "c3": (DIGITS,)}
 
 
 def begin() -> np.ndarray:
@@ -142,107 +208,110 @@ def named_parts(flat: np.ndarray) -> dict[str, np.ndarray]:
     return parts
 
 
-def contexts(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The ids on both sides of the places, nearest last on the left and first on the right."""
-    padded = np.concatenate([np.zeros(SIDE, ids.dtype), ids, np.zeros(SIDE, ids.dtype)])
-    offsets = [o for o in range(2 * SIDE + 1) if o != SIDE]
-    return padded[places[:, None] + offsets]
+def split_digits(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Second and third step; both are ``DIGITS`` for words without."""
+    none = digits == NO_DIGITS
+    return np.where(none, DIGITS, digits // DIGITS), np.where(none, DIGITS, digits % DIGITS)
 
 
-def with_tables(parts: dict) -> dict:
-    """Adds each id's share of the hidden layer per place of the window, and whether logits are surely small.
+def joined(texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts one after another with the ends' codes between them, and the places of their words."""
+    ends, none = np.zeros(SIDE, np.uint8), np.full(SIDE, NO_DIGITS, np.uint16)
+    first = np.concatenate([a for f, _ in texts for a in (ends, f)] + [ends])
+    digits = np.concatenate([a for _, d in texts for a in (none, d)] + [none])
+    return first, digits, np.flatnonzero(first)
 
-    The hidden layer lies between -1 and 1, so the sums of weights bound the logits.
-    """
-    largest = (np.abs(parts["V"]).sum(axis=0) + np.abs(parts["c"])).max()
-    return parts | {"T": np.einsum("vw,jwh->jvh", parts["E"], parts["W"]).astype(np.float32), "safe": largest < 60}
+
+OFFSETS = np.array([o for o in range(-SIDE, SIDE + 1) if o])
+
+
+def add_rows(total: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+    """Sums the rows of every id into ``total``."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    firsts = np.flatnonzero(np.diff(ids.astype(np.int64), prepend=-1))
+    if len(firsts):
+        total[ids[firsts]] += np.add.reduceat(rows[order], firsts, axis=0)
 
 
-def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, target: np.ndarray) -> None:
+def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, around_digits: np.ndarray,
+               target: np.ndarray, target_digits: np.ndarray) -> None:
     """One Adagrad step in place."""
     parts, n = named_parts(flat), len(target)
-    inputs = parts["E"][around].reshape(n, -1)
+    second, third = (d.astype(np.uint8) for d in split_digits(around_digits))
+    inputs = (parts["E"][around] + parts["E2"][second] + parts["E3"][third]).reshape(n, -1)
     mixing = parts["W"].reshape(-1, HIDDEN)
-    hidden = np.tanh(inputs @ mixing + parts["b"])
-    slope = hidden @ parts["V"] + parts["c"]
-    slope -= slope.max(axis=1, keepdims=True)
-    np.exp(slope, out=slope)
-    slope /= n * slope.sum(axis=1, keepdims=True)
-    slope[np.arange(n), target] -= 1 / n
-    down = (slope @ parts["V"].T) * (1 - hidden ** 2)
+    mixture = inputs @ mixing + parts["b"]
     change = np.zeros_like(flat)
     grads = named_parts(change)
-    grads["V"][:] = hidden.T @ slope
-    grads["c"][:] = slope.sum(axis=0)
+
+    def step(mixed: np.ndarray, step_target: np.ndarray, weights: str, bias: str) -> np.ndarray:
+        """Adds a step's gradients and gives that of what it mixes."""
+        hidden = np.tanh(mixed)
+        slope = hidden @ parts[weights] + parts[bias]
+        slope -= slope.max(axis=1, keepdims=True)
+        np.exp(slope, out=slope)
+        slope /= n * slope.sum(axis=1, keepdims=True)
+        slope[np.arange(len(slope)), step_target] -= 1 / n
+        grads[weights][:] = hidden.T @ slope
+        grads[bias][:] = slope.sum(axis=0)
+        return (slope @ parts[weights].T) * (1 - hidden ** 2)
+
+    down = step(mixture, target, "V", "c")
+    rare = np.flatnonzero(target > FREQUENT)
+    if len(rare):
+        bucket = (target[rare] - 1 - FREQUENT).astype(np.uint8)
+        two, three = (d.astype(np.uint8) for d in split_digits(target_digits[rare]))
+        down2 = step(mixture[rare] + parts["A2"][bucket], two, "V2", "c2")
+        down3 = step(mixture[rare] + parts["A3"][bucket] + parts["B3"][two], three, "V3", "c3")
+        add_rows(grads["A2"], bucket, down2)
+        add_rows(grads["A3"], bucket, down3)
+        add_rows(grads["B3"], two, down3)
+        down[rare] += down2 + down3
     grads["b"][:] = down.sum(axis=0)
     grads["W"][:] = (inputs.T @ down).reshape(grads["W"].shape)
-    order = np.argsort(around.ravel(), kind="stable")
-    ids = around.ravel()[order]
-    firsts = np.flatnonzero(np.diff(ids.astype(np.int64), prepend=-1))
-    grads["E"][ids[firsts]] = np.add.reduceat((down @ mixing.T).reshape(-1, WIDTH)[order], firsts, axis=0)
+    read = (down @ mixing.T).reshape(-1, WIDTH)
+    add_rows(grads["E"], around.ravel(), read)
+    add_rows(grads["E2"], second.ravel(), read)
+    add_rows(grads["E3"], third.ravel(), read)
     squares += change ** 2
     flat -= RATE * change / (np.sqrt(squares) + 1e-6)
 
 
-def encode_blocks(docs: DataFrame, words: list[bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stored blocks of documents: (block, id, ids, rare) per document and one row (block, words) per block.
+def encode_words(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored (row, id, first, digits, share, asked), read by all rounds and the scoring.
 
-    ``ids`` has a byte per word, ``rare`` the place in the block's ``words`` of every word that is not frequent.
+    ``row`` numbers the rows, ``first`` has a byte per word and ``digits`` two; ``share`` is the fixed-point sum of the
+    logarithms of the words' shares of their cells, where the words in ``asked`` (by hash) count as if they occurred once.
     """
     kind = sql_type(docs, id_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, block = BlockWords(words), TaskContext.get().partitionId() << 32
-
-        def ended(nothing: pa.Array) -> pa.RecordBatch:
-            return pa.record_batch({
-                "block": pa.array([block], pa.int64()), "id": nothing, "ids": pa.nulls(1, pa.binary()),
-                "rare": pa.nulls(1, pa.binary()), "words": pa.array([found.rare], pa.list_(pa.binary()))})
-
+        words, row = Words(vocabulary), TaskContext.get().partitionId() << 32
         for batch in slices(batches, 64):
-            ids, rare = found.of(batch["body"].to_pylist())
+            first, digits, share, asked = zip(*words.of(batch["body"].to_pylist()))
             yield pa.record_batch({
-                "block": pa.array([block] * len(ids), pa.int64()), "id": batch["id"], "ids": pa.array(ids, pa.binary()),
-                "rare": pa.array(rare, pa.binary()), "words": pa.nulls(len(ids), pa.list_(pa.binary()))})
-            if len(found.rare) >= HELD:
-                yield ended(pa.nulls(1, batch["id"].type))
-                found, block = BlockWords(words), block + 1
-            last = batch["id"].type
-        if found.rare:
-            yield ended(pa.nulls(1, last))
+                "row": pa.array(np.arange(row, row + batch.num_rows)), "id": batch["id"],
+                "first": pa.array(first, pa.binary()), "digits": pa.array(digits, pa.binary()),
+                "share": pa.array(share, pa.int64()), "asked": pa.array(asked, pa.list_(pa.int64()))})
+            row += batch.num_rows
 
     small_batches(docs)
     texts = docs.select(named(id_col).alias("id"), body(text_col).alias("body"))
-    return stored(texts.mapInArrow(work, f"block bigint, id {kind}, ids binary, rare binary, words array<binary>"),
+    return stored(texts.mapInArrow(work, f"row bigint, id {kind}, first binary, digits binary, share bigint, asked array<bigint>"),
                   "word-ids")
 
 
-def encode_words(docs: DataFrame, words: list[bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stored (id, ids): the words of every document as one byte each, read by all rounds and the scoring."""
-    return encode_blocks(docs, words, id_col, text_col).where("words is null").select("id", "ids")
-
-
-def with_shares(blocks: DataFrame, counts: DataFrame, frequent: dict[bytes, int]) -> DataFrame:
-    """(id, ids, share): the sum of the logarithms of the rare words' shares of their buckets."""
-    bucket = F.crc32("word") % BUCKETS
-    totals = dict.fromkeys(range(BUCKETS), 0)
-    totals |= {r["bucket"]: r["n"] for r in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect()}
-    for word, n in frequent.items():
-        totals[zlib.crc32(word) % BUCKETS] -= n
-    whole = F.element_at(F.array(*[F.lit(max(1, totals[b])) for b in range(BUCKETS)]), (bucket + 1).cast("int"))
-    asked = blocks.where("words is not null").select("block", F.posexplode("words").alias("place", "word"))
-    answers = asked.join(counts, "word").select(F.col("block").alias("of_block"), "place", F.log(F.col("n") / whole).alias("share"))
-    kind = blocks.schema["id"].dataType.simpleString()
-
-    def add(texts: pa.Table, words: pa.Table) -> pa.Table:
-        shares = np.zeros(words.num_rows)
-        shares[words["place"].to_numpy()] = words["share"].to_numpy()
-        sums = [float(shares[np.frombuffer(r, np.int32)].sum()) for r in texts["rare"].to_pylist()]
-        return texts.select(["id", "ids"]).append_column("share", pa.array(sums, pa.float64()))
+def asked_shares(coded: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(row, more): what the counts of the words looked up add to ``share``; words that occur once add nothing.
 
-    texts = blocks.where("words is null").select("block", "id", "ids", "rare")
-    return (texts.groupBy("block").cogroup(answers.groupBy("of_block"))
-            .applyInArrow(add, f"id {kind}, ids binary, share double"))
+    The words asked for are not among the commonest, so no key of the join is hot.
+    """
+    n = F.col("n")
+    answers = counts.where((n >= 2) & (n < vocabulary.least)).select(
+        "hash", F.round(F.log(n) * FIXED_POINT).cast("bigint").alias("more"))
+    asked = coded.select("row", F.explode("asked").alias("hash"))
+    return asked.join(answers, "hash").groupBy("row").agg(F.sum("more").alias("more"))
 
 
 def masked(data: bytes, number: int) -> np.ndarray:
@@ -256,30 +325,37 @@ def train_round(coded: DataFrame, start: np.ndarray, number: int) -> np.ndarray:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = start.astype(np.float32)
-        squares, around, target, held, seen = np.full_like(flat, 0.01), [], [], 0, 0
+        squares, seen, waiting, held = np.full_like(flat, 0.01), 0, [], 0
+
+        def learn() -> int:
+            around, around_digits, target, target_digits = (np.concatenate(a) for a in zip(*waiting))
+            for at in range(0, len(target), STEP):
+                part = slice(at, at + STEP)
+                train_step(flat, squares, around[part], around_digits[part], target[part], target_digits[part])
+            waiting.clear()
+            return len(target)
+
         for batch in batches:
-            for data in batch["ids"]:
+            for data, tail in zip(batch["first"], batch["digits"]):
                 data = data.as_py()
-                ids = np.frombuffer(data, np.uint8)
-                places = masked(data, number)
-                for at in range(0, len(places), STEP):
-                    some = places[at:at + STEP]
-                    around.append(contexts(ids, some))
-                    target.append(ids[some])
+                places = masked(data, number) + SIDE
+                first, digits, _ = joined([(np.frombuffer(data, np.uint8), np.frombuffer(tail.as_py(), np.uint16))])
+                for at in range(0, len(places), PLACES):
+                    some = places[at:at + PLACES]
+                    windows = some[:, None] + OFFSETS
+                    waiting.append((first[windows], digits[windows], first[some], digits[some]))
                     held += len(some)
-                    if held >= STEP:
-                        train_step(flat, squares, np.concatenate(around), np.concatenate(target))
-                        around, target, held, seen = [], [], 0, seen + held
+                    if held >= 4 * STEP:
+                        seen, held = seen + learn(), 0
         if held:
-            train_step(flat, squares, np.concatenate(around), np.concatenate(target))
-            seen += held
+            seen += learn()
         if seen:
             whole = np.rint(flat.astype(np.float64) * FIXED_POINT).astype(np.int64)
             yield pa.record_batch({"place": pa.array(np.arange(len(flat), dtype=np.int32)),
                                    "value": pa.array(whole), "seen": pa.array(np.full(len(flat), seen, np.int64))})
 
     weight = F.col("seen").cast("decimal(19,0)")
-    rows = (coded.select("ids").mapInArrow(work, "place int, value bigint, seen bigint")
+    rows = (coded.select("first", "digits").mapInArrow(work, "place int, value bigint, seen bigint")
             .groupBy("place").agg(F.sum(F.col("value").cast("decimal(19,0)") * weight).cast("double").alias("total"),
                                   F.sum(weight).cast("double").alias("seen"))
             .orderBy("place").collect())
@@ -295,55 +371,73 @@ def train(coded: DataFrame) -> np.ndarray:
     return flat
 
 
-def log_likelihood(ids: np.ndarray, parts: dict) -> float:
-    """The sum over all words of their log-probability given the words on both sides."""
-    padded = np.concatenate([np.zeros(SIDE, ids.dtype), ids, np.zeros(SIDE, ids.dtype)])
-    total = 0.0
-    for at in range(0, len(ids), PLACES):
-        target = ids[at:at + PLACES]
-        n = len(target)
-        hidden = parts["T"][0][padded[at:at + n]]
-        for j in range(1, 2 * SIDE):
-            first = at + j + (j >= SIDE)
-            hidden += parts["T"][j][padded[first:first + n]]
-        hidden += parts["b"]
-        np.tanh(hidden, out=hidden)
-        logits = hidden @ parts["V"]
-        logits += parts["c"]
-        if not parts["safe"]:
-            logits -= logits.max(axis=1, keepdims=True)
-        total += float(logits[np.arange(n), target].sum(dtype=np.float64))
-        total -= float(np.log(np.exp(logits, out=logits).sum(axis=1)).sum(dtype=np.float64))
-    return total
-
-
-def score(coded: DataFrame, flat: np.ndarray, id_col: str = "doc_id") -> DataFrame:
-    """Per document: id, n_words, log_likelihood, mean_log_likelihood.
-
-    Without a column ``share``, a rare word counts as its bucket.
-    """
-    if "share" not in coded.columns:
-        coded = coded.withColumn("share", F.lit(0.0))
+def with_tables(parts: dict) -> dict:
+    """Adds what each code adds to the mixture per place of the window, both digits in one table."""
+    first, second, third = (np.einsum("vw,jwh->jvh", parts[e], parts["W"]).astype(np.float32) for e in ("E", "E2", "E3"))
+    both = (second[:, :DIGITS, None] + third[:, None, :DIGITS]).reshape(2 * SIDE, -1, HIDDEN)
+    none = second[:, DIGITS:] + third[:, DIGITS:]
+    return parts | {"T": first, "U": np.concatenate([both, none], axis=1)}
+
+
+def step_likelihood(mixed: np.ndarray, target: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the targets; changes ``mixed``."""
+    logits = np.tanh(mixed, out=mixed) @ weights
+    logits += bias
+    # The hidden layer lies between -1 and 1, so weights that are small in sum cannot overflow.
+    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() >= 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    named_logits = logits[np.arange(len(target)), target]
+    return named_logits - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def log_likelihoods(texts: list[tuple[np.ndarray, np.ndarray]], parts: dict) -> np.ndarray:
+    """Per text the sum over all words of their log-probability, up to the cell, given the words on both sides."""
+    first, digits, places = joined(texts)
+    found = np.empty(len(places), np.float64)
+    for at in range(0, len(places), PLACES):
+        some = places[at:at + PLACES]
+        mixture = np.repeat(parts["b"][None], len(some), axis=0)
+        for j, offset in enumerate(OFFSETS):
+            mixture += parts["T"][j][first[some + offset]]
+            mixture += parts["U"][j][digits[some + offset]]
+        target = first[some]
+        rare = np.flatnonzero(target > FREQUENT)
+        bucket, pair = target[rare] - (1 + FREQUENT), digits[some[rare]]
+        two, three = pair // DIGITS, pair % DIGITS
+        deeper = mixture[rare]
+        sums = step_likelihood(mixture, target, parts["V"], parts["c"])
+        sums[rare] += step_likelihood(deeper + parts["A2"][bucket], two, parts["V2"], parts["c2"])
+        sums[rare] += step_likelihood(deeper + parts["A3"][bucket] + parts["B3"][two], three, parts["V3"], parts["c3"])
+        found[at:at + PLACES] = sums
+    text = np.repeat(np.arange(len(texts)), [len(f) for f, _ in texts])
+    return np.bincount(text, found, len(texts)).astype(np.float64)
+
+
+def score(coded: DataFrame, flat: np.ndarray, more: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Per document: id, n_words, log_likelihood, mean_log_likelihood."""
     small = flat.astype(np.float32)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = with_tables(named_parts(small))
-        for batch in batches:
-            texts = [np.frombuffer(data, np.uint8) for data in batch["ids"].to_pylist()]
-            sums = [round(log_likelihood(t, parts) + s, 3) for t, s in zip(texts, batch["share"].to_pylist())]
-            yield pa.record_batch({"id": batch["id"], "n_words": pa.array(list(map(len, texts)), pa.int64()),
-                                   "log_likelihood": pa.array(sums, pa.float64())})
+        for batch in slices(batches, 32):
+            texts = [(np.frombuffer(f, np.uint8), np.frombuffer(d, np.uint16))
+                     for f, d in zip(batch["first"].to_pylist(), batch["digits"].to_pylist())]
+            yield pa.record_batch({
+                "row": batch["row"], "id": batch["id"], "n_words": pa.array([len(f) for f, _ in texts], pa.int64()),
+                "sum": pa.array(log_likelihoods(texts, parts)), "share": batch["share"]})
 
     kind = coded.schema["id"].dataType.simpleString()
-    scored = coded.mapInArrow(work, f"id {kind}, n_words bigint, log_likelihood double")
-    return scored.select(F.col("id").alias(id_col), "n_words", "log_likelihood",
-                         F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood"))
+    scored = (coded.select("row", "id", "first", "digits", "share")
+              .mapInArrow(work, f"row bigint, id {kind}, n_words bigint, sum double, share bigint").join(more, "row", "left"))
+    total = F.round(F.col("sum") + (F.col("share") + F.coalesce("more", F.lit(0))) / FIXED_POINT, 3)
+    scored = scored.select(F.col("id").alias(id_col), "n_words", total.alias("log_likelihood"))
+    return scored.withColumn("mean_log_likelihood",
+                             F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Trains on all documents and scores them."""
     counts = word_counts(docs, text_col)
-    frequent = most_frequent(counts)
-    blocks = encode_blocks(docs, list(frequent), id_col, text_col)
-    flat = train(blocks.where("words is null").select("id", "ids"))
-    return score(with_shares(blocks, counts, frequent), flat, id_col)
+    vocabulary = vocabulary_of(counts)
+    coded = encode_words(docs, vocabulary, id_col, text_col)
+    return score(coded, train(coded), asked_shares(coded, counts, vocabulary), id_col)
