@@ -50,7 +50,7 @@ CELLS = BUCKETS * DIGITS * DIGITS
 NO_DIGITS = DIGITS * DIGITS
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 #: Rounds (each place is masked in one of them), places per step, learning rate.
-ROUNDS, STEP, RATE = 2, 512, 0.15
+ROUNDS, STEP, RATE = 2, 1024, 0.15
 SEED = 7
 PLACES = 1024
 #: Distinct words held in a worker's memory at once.
@@ -210,8 +210,9 @@ def named_parts(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 def split_digits(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Second and third step; both are ``DIGITS`` for words without."""
-    none = digits == NO_DIGITS
-    return np.where(none, DIGITS, digits // DIGITS), np.where(none, DIGITS, digits % DIGITS)
+    third = (digits % DIGITS).astype(np.uint8)
+    third[digits == NO_DIGITS] = DIGITS
+    return (digits // DIGITS).astype(np.uint8), third
 
 
 def joined(texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,15 +232,23 @@ def add_rows(total: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
     ids = ids[order]
     firsts = np.flatnonzero(np.diff(ids.astype(np.int64), prepend=-1))
     if len(firsts):
-        total[ids[firsts]] += np.add.reduceat(rows[order], firsts, axis=0)
+        total[ids[firsts]] += np.add.reduceat(np.take(rows, order, axis=0), firsts, axis=0)
+
+
+def may_overflow(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether a logit may be too large to be raised; the hidden layer lies between -1 and 1, so sums of weights bound it."""
+    return np.abs(weights).sum(axis=0).max() + np.abs(bias).max() >= 60
 
 
 def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, around_digits: np.ndarray,
                target: np.ndarray, target_digits: np.ndarray) -> None:
     """One Adagrad step in place."""
     parts, n = named_parts(flat), len(target)
-    second, third = (d.astype(np.uint8) for d in split_digits(around_digits))
-    inputs = (parts["E"][around] + parts["E2"][second] + parts["E3"][third]).reshape(n, -1)
+    second, third = split_digits(around_digits)
+    inputs = np.take(parts["E"], around, axis=0)
+    inputs += np.take(parts["E2"], second, axis=0)
+    inputs += np.take(parts["E3"], third, axis=0)
+    inputs = inputs.reshape(n, -1)
     mixing = parts["W"].reshape(-1, HIDDEN)
     mixture = inputs @ mixing + parts["b"]
     change = np.zeros_like(flat)
@@ -248,20 +257,27 @@ def train_step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, around
     def step(mixed: np.ndarray, step_target: np.ndarray, weights: str, bias: str) -> np.ndarray:
         """Adds a step's gradients and gives that of what it mixes."""
         hidden = np.tanh(mixed)
-        slope = hidden @ parts[weights] + parts[bias]
-        slope -= slope.max(axis=1, keepdims=True)
+        slope = hidden @ parts[weights]
+        slope += parts[bias]
+        if may_overflow(parts[weights], parts[bias]):
+            slope -= slope.max(axis=1, keepdims=True)
         np.exp(slope, out=slope)
-        slope /= n * slope.sum(axis=1, keepdims=True)
+        # Products with ones are sums, and faster than ``sum``.
+        slope *= (1 / (n * (slope @ np.ones(slope.shape[1], slope.dtype))))[:, None]
         slope[np.arange(len(slope)), step_target] -= 1 / n
         grads[weights][:] = hidden.T @ slope
-        grads[bias][:] = slope.sum(axis=0)
-        return (slope @ parts[weights].T) * (1 - hidden ** 2)
+        grads[bias][:] = np.ones(len(slope), slope.dtype) @ slope
+        down = slope @ parts[weights].T
+        hidden *= hidden
+        np.subtract(1, hidden, out=hidden)
+        down *= hidden
+        return down
 
     down = step(mixture, target, "V", "c")
     rare = np.flatnonzero(target > FREQUENT)
     if len(rare):
         bucket = (target[rare] - 1 - FREQUENT).astype(np.uint8)
-        two, three = (d.astype(np.uint8) for d in split_digits(target_digits[rare]))
+        two, three = split_digits(target_digits[rare])
         down2 = step(mixture[rare] + parts["A2"][bucket], two, "V2", "c2")
         down3 = step(mixture[rare] + parts["A3"][bucket] + parts["B3"][two], three, "V3", "c3")
         add_rows(grads["A2"], bucket, down2)
@@ -383,11 +399,10 @@ def step_likelihood(mixed: np.ndarray, target: np.ndarray, weights: np.ndarray,
     """Log-probabilities of the targets; changes ``mixed``."""
     logits = np.tanh(mixed, out=mixed) @ weights
     logits += bias
-    # The hidden layer lies between -1 and 1, so weights that are small in sum cannot overflow.
-    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() >= 60:
+    if may_overflow(weights, bias):
         logits -= logits.max(axis=1, keepdims=True)
     named_logits = logits[np.arange(len(target)), target]
-    return named_logits - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return named_logits - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype))
 
 
 def log_likelihoods(texts: list[tuple[np.ndarray, np.ndarray]], parts: dict) -> np.ndarray:
@@ -398,8 +413,8 @@ def log_likelihoods(texts: list[tuple[np.ndarray, np.ndarray]], parts: dict) ->
         some = places[at:at + PLACES]
         mixture = np.repeat(parts["b"][None], len(some), axis=0)
         for j, offset in enumerate(OFFSETS):
-            mixture += parts["T"][j][first[some + offset]]
-            mixture += parts["U"][j][digits[some + offset]]
+            mixture += np.take(parts["T"][j], first[some + offset], axis=0)
+            mixture += np.take(parts["U"][j], digits[some + offset], axis=0)
         target = first[some]
         rare = np.flatnonzero(target > FREQUENT)
         bucket, pair = target[rare] - (1 + FREQUENT), digits[some[rare]]
