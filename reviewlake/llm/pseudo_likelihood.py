@@ -9,7 +9,7 @@ log-probability given both sides.
 
 A word is predicted in steps. The first names one of the most frequent words or
 a bucket; the second and third, each given both sides and the steps before, name
-digits of the word's 64-bit hash, 262,144 cells in all. The last factor is the
+digits of the word's 64-bit hash, 131,072 cells in all. The last factor is the
 word's share of its cell, counted over all documents. The network reads the same
 codes, so it tells words apart that share a bucket. Its parameters are a fixed
 number, summed by place in a shuffle; the words' counts are a table that grows
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.common import body, named, slices, small_batches, sql_type, stored
 
-FREQUENT, BUCKETS, DIGITS = 63, 64, 64
+FREQUENT, BUCKETS, DIGITS = 31, 32, 64
 #: First steps: 0 beyond the text's ends, then frequent words, then buckets.
 SIZE = 1 + FREQUENT + BUCKETS
 CELLS = BUCKETS * DIGITS * DIGITS
@@ -54,7 +54,7 @@ ROUNDS, STEP, RATE = 2, 1024, 0.15
 SEED = 7
 PLACES = 1024
 #: Distinct words held in a worker's memory at once.
-HELD = 300_000
+HELD = 100_000
 #: Words whose counts every task holds, at most.
 KNOWN = 1 << 17
 FIXED_POINT = 1 << 20
@@ -223,6 +223,11 @@ def joined(texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return first, digits, np.flatnonzero(first)
 
 
+def decoded(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.frombuffer(f, np.uint8), np.frombuffer(d, np.uint16))
+            for f, d in zip(batch["first"].to_pylist(), batch["digits"].to_pylist())]
+
+
 OFFSETS = np.array([o for o in range(-SIDE, SIDE + 1) if o])
 
 
@@ -230,8 +235,8 @@ def add_rows(total: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
     """Sums the rows of every id into ``total``."""
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
-    firsts = np.flatnonzero(np.diff(ids.astype(np.int64), prepend=-1))
-    if len(firsts):
+    if len(ids):
+        firsts = np.append(0, np.flatnonzero(ids[1:] != ids[:-1]) + 1)
         total[ids[firsts]] += np.add.reduceat(np.take(rows, order, axis=0), firsts, axis=0)
 
 
@@ -330,10 +335,20 @@ def asked_shares(coded: DataFrame, counts: DataFrame, vocabulary: Vocabulary) ->
     return asked.join(answers, "hash").groupBy("row").agg(F.sum("more").alias("more"))
 
 
-def masked(data: bytes, number: int) -> np.ndarray:
-    """The places of a text that the round masks; over all rounds, every place once."""
-    rng = np.random.default_rng([SEED, zlib.crc32(data)])
-    return np.flatnonzero(rng.integers(0, ROUNDS, len(data), np.uint8) == number)
+def masked(texts: list[bytes], number: int) -> np.ndarray:
+    """Whether the round masks a place, for all places of the texts one after another; over all rounds, every place once.
+
+    It follows from the text's bytes and the place in it alone, mixed as in MurmurHash3's last step.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    seeds = np.array([zlib.crc32(t, SEED) for t in texts], np.uint32)
+    mixed = np.arange(sizes.sum(), dtype=np.uint32) + np.repeat(seeds - starts.astype(np.uint32), sizes)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        mixed ^= mixed >> np.uint32(shift)
+        mixed *= np.uint32(factor)
+    mixed ^= mixed >> np.uint32(16)
+    return mixed % np.uint32(ROUNDS) == number
 
 
 def train_round(coded: DataFrame, start: np.ndarray, number: int) -> np.ndarray:
@@ -351,18 +366,17 @@ def train_round(coded: DataFrame, start: np.ndarray, number: int) -> np.ndarray:
             waiting.clear()
             return len(target)
 
-        for batch in batches:
-            for data, tail in zip(batch["first"], batch["digits"]):
-                data = data.as_py()
-                places = masked(data, number) + SIDE
-                first, digits, _ = joined([(np.frombuffer(data, np.uint8), np.frombuffer(tail.as_py(), np.uint16))])
-                for at in range(0, len(places), PLACES):
-                    some = places[at:at + PLACES]
-                    windows = some[:, None] + OFFSETS
-                    waiting.append((first[windows], digits[windows], first[some], digits[some]))
-                    held += len(some)
-                    if held >= 4 * STEP:
-                        seen, held = seen + learn(), 0
+        for batch in slices(batches, 32):
+            texts = batch["first"].to_pylist()
+            first, digits, places = joined(decoded(batch))
+            places = places[masked(texts, number)]
+            for at in range(0, len(places), STEP):
+                some = places[at:at + STEP]
+                windows = some[:, None] + OFFSETS
+                waiting.append((first[windows], digits[windows], first[some], digits[some]))
+                held += len(some)
+                if held >= STEP:
+                    seen, held = seen + learn(), 0
         if held:
             seen += learn()
         if seen:
@@ -435,8 +449,7 @@ def score(coded: DataFrame, flat: np.ndarray, more: DataFrame, id_col: str = "do
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = with_tables(named_parts(small))
         for batch in slices(batches, 32):
-            texts = [(np.frombuffer(f, np.uint8), np.frombuffer(d, np.uint16))
-                     for f, d in zip(batch["first"].to_pylist(), batch["digits"].to_pylist())]
+            texts = decoded(batch)
             yield pa.record_batch({
                 "row": batch["row"], "id": batch["id"], "n_words": pa.array([len(f) for f, _ in texts], pa.int64()),
                 "sum": pa.array(log_likelihoods(texts, parts)), "share": batch["share"]})
