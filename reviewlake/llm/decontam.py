@@ -111,11 +111,14 @@ def rarest(index: DataFrame, item_terms: DataFrame) -> DataFrame:
 
 
 def alignments(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """Distinct (uid, item, shift) in which both rarest words of some window meet."""
+    """Distinct (uid, item, shift) in which both rarest words of some window meet.
+
+    The shift is negative where a document begins inside the item.
+    """
     anchors = stored(windows.select("item", F.col("p1").alias("p"), F.col("w1").alias("word"))
                      .union(windows.select("item", "p2", "w2")).distinct(), "anchors")
     shifted = index.select("uid", "pos", "word").join(sent(anchors), "word").select(
-        "uid", "item", (F.col("pos") - F.col("p")).alias("shift"), "p").where("shift >= 0")
+        "uid", "item", (F.col("pos") - F.col("p")).alias("shift"), "p")
     shifted = stored(shifted, "shifted")
     first = shifted.join(sent(stored(windows.select("item", F.col("p1").alias("p"), "p2").distinct(), "pairs")),
                          ["item", "p"])

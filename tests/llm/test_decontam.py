@@ -24,6 +24,16 @@ def test_against_brute_force(spark):
     assert got == Counter(brute.contamination(pairs(docs), ITEMS))
 
 
+def test_documents_that_begin_inside_an_item(spark):
+    words = [f"w{i}" for i in range(14)]
+    texts = [(i, " ".join(words[i:])) for i in range(7)] + [(7, " ".join(words[2:13] + ["pad"] + words[3:]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    item_rows = [(1, " ".join(words))]
+    got = Counter(tuple(r) for r in contamination(docs, items(spark, item_rows)).drop("text_hash").collect())
+    assert got == Counter(brute.contamination(texts, item_rows))
+    assert {r[0]: r[2] for r in got} == {0: 14, 1: 13, 2: 12, 3: 11, 4: 10, 5: 0, 6: 0, 7: 22}
+
+
 def test_large_sides_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr("reviewlake.llm.decontam.SEND_ROWS", 0)
     docs = awkward(spark, TEXTS)
