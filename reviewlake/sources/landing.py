@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,18 @@ TOUCHING = r"[}\]]\s*[\[{]"
 BORDER = r'\G((?:[^"}\]]++|"(?:[^"\\]++|\\.)*+"|[}\]](?!\s*[\[{]))*+[}\]])\s*(?=[\[{])'
 
 
+def _parted(line: Column) -> Column:
+    """A line cut where one document ends and the next begins."""
+    return F.when(line.rlike(TOUCHING), F.split(F.regexp_replace(line, BORDER, "$1\n"), "\n")).otherwise(F.array(line))
+
+
+def _nesting(line: Column) -> tuple[Column, Column]:
+    """By how much a line changes the depth of brackets outside strings, and whether it has any."""
+    brackets = F.regexp_replace(F.regexp_replace(line, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]", "")
+    opening = F.length(F.regexp_replace(brackets, r"[\]}]", ""))
+    return 2 * opening - F.length(brackets), F.length(brackets) > 0
+
+
 def _cut(files: DataFrame, by_line: Column) -> DataFrame:
     """The documents (``value``) of files given by their lines (``_lines``, none of them blank).
 
@@ -63,13 +75,9 @@ def _cut(files: DataFrame, by_line: Column) -> DataFrame:
     """
     others = [c for c in files.columns if c != "_lines"]
 
-    def parted(line: Column) -> Column:
-        return F.when(line.rlike(TOUCHING), F.split(F.regexp_replace(line, BORDER, "$1\n"), "\n")).otherwise(F.array(line))
-
     def nesting(line: Column) -> Column:
-        brackets = F.regexp_replace(F.regexp_replace(line, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]", "")
-        opening = F.length(F.regexp_replace(brackets, r"[\]}]", ""))
-        return F.struct((2 * opening - F.length(brackets)).alias("change"), (F.length(brackets) > 0).alias("any"))
+        change, some = _nesting(line)
+        return F.struct(change.alias("change"), some.alias("any"))
 
     def step(held: Column, line: Column) -> Column:
         depth, n = held["depth"] + line["change"], held["n"] + 1
@@ -78,7 +86,7 @@ def _cut(files: DataFrame, by_line: Column) -> DataFrame:
                         F.when(closed, F.lit(0)).otherwise(depth).alias("depth"), n.alias("n"))
 
     start = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(0).alias("depth"), F.lit(0).alias("n"))
-    lines = F.when(by_line, F.col("_lines")).otherwise(F.flatten(F.transform("_lines", parted)))
+    lines = F.when(by_line, F.col("_lines")).otherwise(F.flatten(F.transform("_lines", _parted)))
     staged = files.where(F.size("_lines") > 0).select(*others, lines.alias("_lines"), by_line.alias("_by_line"))
     every = F.transform("_lines", lambda x, i: i + 1)
     opened = F.filter(F.transform("_lines", lambda x, i: F.when(x.rlike(r"^[\[{]"), i)), lambda i: i > 0)
@@ -87,10 +95,39 @@ def _cut(files: DataFrame, by_line: Column) -> DataFrame:
     ends = (F.when(F.col("_by_line"), every).when(F.col("_walked.depth") == 0, F.col("_walked.ends")).otherwise(opened))
     staged = staged.withColumn("_ends", F.array_union(ends, F.array(F.size("_lines"))))
     staged = staged.withColumn("_starts", F.concat(F.array(F.lit(0)), F.col("_ends")))
-    spans = F.explode(F.arrays_zip(F.slice("_starts", 1, F.size("_ends")).alias("a"), F.col("_ends").alias("b")))
-    return (staged.select(*others, "_lines", spans.alias("_span"))
-            .select(*others, F.array_join(
-                F.slice("_lines", F.col("_span.a") + 1, F.col("_span.b") - F.col("_span.a")), "\n").alias("value"))
+    spans = F.arrays_zip(F.slice("_starts", 1, F.size("_ends")).alias("a"), F.col("_ends").alias("b"))
+    # The texts are exploded, not the spans: a row per span would carry all lines with it.
+    texts = F.transform(spans, lambda x: F.array_join(F.slice("_lines", x["a"] + 1, x["b"] - x["a"]), "\n"))
+    return staged.select(*others, F.explode(texts).alias("value")).where(F.trim("value") != "")
+
+
+def _cut_lines(lines: DataFrame) -> DataFrame:
+    """The documents of files that do not go by line, as ``_cut`` finds them, from a row per line.
+
+    The depth of brackets is held as a running sum less its lowest value so far, 0 at most: it never falls below 0.
+    A file's lines are passed in order once and can be spilled; only a document's lines are put together.
+    """
+    others = [c for c in lines.columns if c not in ("value", FILE, BLOCK, AT)]
+    parts = lines.select(FILE, BLOCK, AT, *others, F.posexplode(_parted(F.col("value"))).alias("_part", "value"))
+    change, some = _nesting(F.col("value"))
+    marked = parts.select("*", change.alias("_change"), some.alias("_any"),
+                          F.col("value").rlike(r"^[\[{]").cast("int").alias("_opens"))
+    line = Window.partitionBy(FILE).orderBy(BLOCK, AT, "_part")
+    upto, whole = line.rowsBetween(Window.unboundedPreceding, 0), line.rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    depth = F.col("_sum") - F.least(F.lit(0), F.col("_low"))
+    walked = (marked.withColumns({"_sum": F.sum("_change").over(upto), "_opened": F.sum("_opens").over(upto)})
+              .withColumn("_low", F.min("_sum").over(upto)).withColumn("_depth", depth))
+    closed = (F.col("_any") & (F.col("_depth") == 0)).cast("int")
+    numbered = walked.withColumns({
+        "_ended": F.sum(closed).over(upto) - closed, "_rest": F.last("_depth").over(whole)})
+    document = F.when(F.col("_rest") == 0, F.col("_ended")).otherwise(F.col("_opened"))
+    rows = F.array_sort(F.collect_list(F.struct(BLOCK, AT, "_part", "value")))
+    # Dealt by document: grouped where the file's lines are, all of it would be put together and read by one task.
+    dealt = numbered.select(FILE, BLOCK, AT, "_part", "value", *others, document.alias("_document")).repartition(
+        FILE, "_document")
+    return (dealt.groupBy(FILE, *others, "_document").agg(rows.alias("_rows"))
+            .select(*others, F.array_join(F.transform("_rows", lambda r: r["value"]), "\n").alias("value"))
             .where(F.trim("value") != ""))
 
 
@@ -103,18 +140,15 @@ def _pieces(texts: DataFrame) -> DataFrame:
 
 
 def _split_pieces(spark: SparkSession, path: str, partitions: bool) -> DataFrame:
-    """The documents of all files. Files of lines are read in splits; only the others are put together again, each
-    in one task. Which is which is counted per file."""
+    """The documents of all files. Files of lines are read in splits; only the lines of the others are put in order
+    again. Which is which is counted per file."""
     lines = _lines(spark, path, partitions).where(F.trim("value") != "")
     others = [c for c in lines.columns if c not in ("value", FILE, BLOCK, AT)]
     spread = lines.groupBy(FILE).agg(
         F.count_if(_is_document(F.col("value"))).alias("_whole"), F.count(F.lit(1)).alias("_all")
     ).where("_whole = 0 or 2 * _whole < _all").select(FILE)
     single = lines.join(spread, FILE, "left_anti").select(*others, "value")
-    ordered = F.array_sort(F.collect_list(F.struct(BLOCK, AT, "value")))
-    joined = lines.join(spread, FILE, "left_semi").groupBy(FILE, *others).agg(ordered.alias("_rows"))
-    files = joined.select(*others, F.transform("_rows", lambda r: r["value"]).alias("_lines"))
-    return single.unionByName(_cut(files, F.lit(False)))
+    return single.unionByName(_cut_lines(lines.join(spread, FILE, "left_semi")).select(*others, "value"))
 
 
 def _parsed(pieces: DataFrame, schema: T.StructType) -> DataFrame:

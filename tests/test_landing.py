@@ -1,6 +1,8 @@
 """Landing documents in both layouts, Bronze, layers, catalog and the whole flow."""
 
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from reviewlake.operators.gold import GOLD_TABLES, silver_rollup
 from reviewlake.operators.quality import schema_diff
 from reviewlake.operators.silver import to_silver
 from reviewlake.plans.medallion import run_medallion
-from reviewlake.sources import catalog, layers
+from reviewlake.sources import catalog, landing as landing_source, layers
 from reviewlake.sources.landing import read_landing, write_landing
 
 AS_OF = "2025-07-02 12:00:00"
@@ -266,3 +268,26 @@ def test_files_of_lines_are_read_in_splits(spark, tmp_path):
         assert sorted(places) == sorted([f"P{n}" for n in range(400) if n != 7] + ["Q1"])
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
+def test_documents_of_one_file_are_spread_over_tasks(spark, tmp_path):
+    document = json.dumps({"agencias": [{"place_id": "p"}], "bairro": "b"}, indent=1)
+    (tmp_path / "many.json").write_text("\n".join([document] * 400), encoding="utf-8")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = read_landing(spark, str(tmp_path), "simple")
+        per_task = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(per_task) == 400 and len(per_task) > 4
+
+
+def test_cut_by_rows_equals_cut_of_whole_files(spark, tmp_path):
+    rng = random.Random(7)
+    bits = ["{", "}", "[", "]", "{ }", "]}", "}{", '"}{"', " {", ' "a": [', "x", "} [1] {", '{"a": 1}', "", "  ]", '"\\"{"']
+    for i in range(60):
+        text = "\n".join("".join(rng.choices(bits, k=rng.choice([1, 1, 2, 4]))) for _ in range(rng.randrange(1, 14)))
+        (tmp_path / f"{i}.json").write_text(text, encoding="utf-8")
+    got = Counter(r["value"] for r in landing_source._split_pieces(spark, str(tmp_path), False).collect())
+    want = Counter(r["value"] for r in landing_source._pieces(spark.read.text(str(tmp_path), wholetext=True)).collect())
+    assert got == want
