@@ -117,6 +117,15 @@ def risk_counts() -> dict[str, Column]:
     return {name: F.col(f"_risk_{name}") for name, _, _ in rules.RISK_CATEGORIES}
 
 
+def labelled_counts(silver: DataFrame, label: str, key: str = "place_id") -> DataFrame:
+    """Reviews of one label per key (``total``), keys without any left out.
+
+    Counted rather than filtered: a filter on the computed label is pushed down to the scan,
+    where the text is lower-cased per term in a method too large for the JVM to compile.
+    """
+    return silver.groupBy(key).agg(F.count_if(F.col("sentimento") == label).alias("total")).filter("total > 0")
+
+
 def drill_down(silver: DataFrame, place_id: str) -> DataFrame:
     """The individual reviews of one branch."""
     return silver.filter(F.col("place_id") == place_id)

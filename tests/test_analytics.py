@@ -139,3 +139,13 @@ def test_sentiment_is_generated_code(spark):
     with contextlib.redirect_stdout(out):
         rows.select(txt.sentiment_label(F.col("t"))).explain("codegen")
     assert "project_" in out.getvalue() and "lambda" not in out.getvalue()
+
+
+def test_no_label_is_computed_in_a_filter(spark):
+    from reviewlake import queries as registry
+
+    registry.load_all()
+    for name in ("sentiment_equality", "risk_alerts_sentinel"):
+        plan = registry.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+        assert filters and not any("Contains" in line or "contains(" in line for line in filters), name
