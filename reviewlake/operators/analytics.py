@@ -7,6 +7,9 @@ aggregate would multiply every row before the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -587,6 +590,19 @@ def sample_rows(df: DataFrame, n: int) -> DataFrame:
     return df.orderBy(F.md5(F.concat_ws("\u001f", *parts).cast("binary"))).limit(n)
 
 
+def known_rows(few: DataFrame, rows: DataFrame) -> DataFrame:
+    """A few rows, ``_known`` 1 where ``rows`` has them too, else NULL. NULL equals NULL.
+
+    Plain equality would push a test for NULL on computed labels to the scan, too large a method for the JVM to
+    compile; and only rows that are met are made distinct.
+    """
+    def same(left: str, right: str):
+        return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in few.columns])
+
+    met = rows.alias("r").join(F.broadcast(few.distinct()).alias("f"), same("r", "f"), "left_semi").distinct()
+    return few.alias("f").join(met.withColumn("_known", F.lit(1)).alias("r"), same("f", "r"), "left").select("f.*", "_known")
+
+
 def page(df: DataFrame, keys, offset: int, limit: int) -> DataFrame:
     return df.orderBy(*keys).offset(offset).limit(limit)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewlake.session import scratch_path
+from reviewlake.session import checkpointed, scratch_path
 
 from reviewlake.functions import rules
 from reviewlake.functions.jsonio import json_extract
@@ -521,7 +521,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     columns = ["nome_agencia", "bairro", "rating_review", "sentimento", "tem_pii"]
     rows = silver(spark, sf_dir).select(*columns)
-    known = an.sample_rows(rows, 5).join(rows.distinct().withColumn("_known", F.lit(1)), columns, "left")
+    known = an.known_rows(checkpointed(an.sample_rows(rows, 5)), rows)
     return known.agg(F.count(F.lit(1)).alias("linhas"), F.count("_known").alias("conhecidas"))
 
 

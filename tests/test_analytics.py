@@ -149,3 +149,14 @@ def test_no_label_is_computed_in_a_filter(spark):
         plan = registry.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
         filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
         assert filters and not any("Contains" in line or "contains(" in line for line in filters), name
+
+
+def test_known_rows_put_no_label_into_a_filter(spark):
+    columns = ["nome_agencia", "bairro", "rating_review", "sentimento", "tem_pii"]
+    rows = fx.silver(spark, SF_DIR).select(*columns)
+    few = spark.createDataFrame(rows.limit(2).collect() + [("nobody", "x", 1, "neutro", False)], rows.schema)
+    known = an.known_rows(few, rows)
+    assert sorted(str(r["_known"]) for r in known.collect()) == ["1", "1", "None"]
+    plan = known._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert filters and not any("Contains(" in line for line in filters)
