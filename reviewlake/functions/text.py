@@ -80,12 +80,19 @@ def _token_hits(text: Column, terms, others) -> Column:
     return F.coalesce(F.size(F.array_intersect(found, wanted)), F.lit(0))
 
 
-def sentiment_balance(text: Column, positive, negative, mode: str = "substring") -> Column:
+def sentiment_side(text: Column, positive, negative, mode: str = "substring") -> Column:
+    """1, -1 or 0: which list has more terms in the text.
+
+    The counts of ``substring`` are used twice, so Spark computes each once and in a method
+    of its own; in one method with the other columns of Silver they would be too large for
+    the JVM to compile.
+    """
     if mode == "substring":
         low = F.lower(text)
-        return count_in_lowered(low, positive) - count_in_lowered(low, negative)
+        pos, neg = count_in_lowered(low, positive), count_in_lowered(low, negative)
+        return (pos > neg).cast("int") - (neg > pos).cast("int")
     if mode == "token":
-        return _token_hits(text, positive, negative) - _token_hits(text, negative, positive)
+        return F.signum(_token_hits(text, positive, negative) - _token_hits(text, negative, positive)).cast("int")
     raise ValueError(f"unknown sentiment mode {mode!r}")
 
 
@@ -96,7 +103,7 @@ def sentiment_label(text: Column, positive=rules.POSITIVE_TERMS, negative=rules.
     ``mode="substring"`` counts terms wherever they occur, also inside longer
     words; ``mode="token"`` wants whole words and lets the longest term win.
     """
-    side = F.signum(sentiment_balance(text, positive, negative, mode)).cast("int")
+    side = sentiment_side(text, positive, negative, mode)
     return F.elt(side + F.lit(2), F.lit("negativo"), F.lit("neutro"), F.lit("positivo"))
 
 

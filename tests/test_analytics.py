@@ -3,6 +3,7 @@
 import contextlib
 import io
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -141,6 +142,24 @@ def test_sentiment_is_generated_code(spark):
     assert "project_" in out.getvalue() and "lambda" not in out.getvalue()
 
 
+def test_methods_of_silver_are_small_enough_to_compile(spark):
+    def largest(df):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("codegen")
+        return max(map(int, re.findall(r"maxMethodCodeSize:(\d+);", out.getvalue())))
+
+    # The JVM leaves methods of more than 8,000 bytes uncompiled.
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        silver = fx.silver(spark, SF_DIR)
+        assert largest(silver) < 6000
+        assert largest(gold.agency_performance_kpis(silver, fx.AS_OF)) < 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_no_label_is_computed_in_a_filter(spark):
     from reviewlake import queries as registry
 
