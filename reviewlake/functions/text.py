@@ -8,7 +8,7 @@ sentiment, risk as one struct) are interpreted inside it.
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import cache, reduce
 from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
@@ -50,12 +50,38 @@ def count_in_lowered(lowered: Column, terms) -> Column:
     """How many of ``terms`` occur in an already lower-cased text; NULL counts 0.
 
     A balanced sum of one test per term: generated code throughout, where a filter
-    over an array of terms would be interpreted.
+    over an array of terms would be interpreted. Terms that share a piece are tested
+    only where that piece occurs.
     """
-    tests = [F.contains(lowered, F.lit(t)).cast("int") for t in terms]
-    while len(tests) > 1:
-        tests = [a + b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) & ~1:]
-    return F.coalesce(tests[0], F.lit(0)) if tests else F.lit(0)
+    def found(term: str) -> Column:
+        return F.contains(lowered, F.lit(term)).cast("int")
+
+    tests = [found(some[0]) if len(some) == 1 else
+             F.when(F.contains(lowered, F.lit(piece)), _balanced_sum([found(t) for t in some])).otherwise(F.lit(0))
+             for piece, some in by_piece(tuple(terms))]
+    return F.coalesce(_balanced_sum(tests), F.lit(0)) if tests else F.lit(0)
+
+
+def _balanced_sum(terms: list[Column]) -> Column:
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) & ~1:]
+    return terms[0]
+
+
+@cache
+def by_piece(terms: tuple[str, ...], least: int = 3) -> list[tuple[str, list[str]]]:
+    """The terms in groups with a piece that all of a group contain: always the piece of most terms left, then the longest."""
+    groups, left = [], list(terms)
+    while left:
+        owners: dict[str, list[str]] = {}
+        for term in left:
+            for piece in {term[i:j] for i in range(len(term)) for j in range(i + least, len(term) + 1)} or {term}:
+                owners.setdefault(piece, []).append(term)
+        piece = max(owners, key=lambda p: (len(owners[p]), len(p), p))
+        some = owners[piece]
+        groups.append((piece, some))
+        left = [t for t in left if piece not in t] if len(piece) >= least else [t for t in left if t not in some]
+    return groups
 
 
 def _bind(value: Column, build) -> Column:

@@ -176,3 +176,16 @@ def test_sentiment_equals_python_rules(spark, texts):
         pos = sum(w in low for w in rules.POSITIVE_TERMS)
         neg = sum(w in low for w in rules.NEGATIVE_TERMS)
         assert r["s"] == ("positivo" if pos > neg else "negativo" if neg > pos else "neutro")
+
+
+def test_terms_are_tested_by_shared_pieces(spark):
+    for terms in (rules.POSITIVE_TERMS, rules.NEGATIVE_TERMS):
+        groups = txt.by_piece(terms)
+        assert sorted(t for _, some in groups for t in some) == sorted(terms)
+        assert all(piece in t for piece, some in groups for t in some)
+        # Texts without a term mostly cost one test per group.
+        assert len(groups) <= 2 * len(terms) / 3
+        texts = [None, "", *terms, *[piece for piece, _ in groups], " ".join(terms), *[t[1:] + t[:1] for t in terms]]
+        rows = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = {r["t"]: r["n"] for r in rows.select("t", txt.count_terms(F.col("t"), terms).alias("n")).collect()}
+        assert got == {t: sum(term in t for term in terms) if t else 0 for t in texts}
