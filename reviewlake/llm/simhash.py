@@ -27,14 +27,18 @@ Candidates are taken in steps (balls, one band, five bands, all others), and tex
 that are linked are contracted to components in between. In a step, every text of
 a bucket whose component is not the bucket's first one meets the first one's
 smallest text; a large group of copies is linked by its first bucket, and the
-other bands find nothing left to compare. At last every text meets one text of
-each other component that its buckets still hold, until no link is found. So a
-bucket costs its texts times the components that remain apart in it, not their
-square; no bucket is capped.
+other bands find nothing left to compare. Texts that still share a bucket with
+another component (many share a passage without being similar) are compared by
+their shingles, rarest first: two texts of n and m shingles at 0.8 share at least
+4 (n + m) / 9 of them, so they share one that stands early enough in both orders.
+Those pairs of different components are all verified, at once and whatever their
+buckets; no bucket is capped. Texts pair only if they share what is rare among
+them, so a common passage pairs nothing while texts have a ninth of words of their own.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -219,20 +223,17 @@ def similar_pairs(pairs: DataFrame, hashes: DataFrame) -> DataFrame:
     """Stored links: the pairs (a, b) whose texts are similar."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
         for batch in slices(batches, 64):
-            keep = []
-            for a, of_a, of_b in zip(*(batch[c].to_pylist() for c in ("a", "of_a", "of_b"))):
-                if a != last:
-                    last, held = a, np.frombuffer(of_a, np.uint64)
-                keep.append(similarity(held, np.frombuffer(of_b, np.uint64)) >= SIMILARITY)
+            keep = [similarity(np.frombuffer(of_a, np.uint64), np.frombuffer(of_b, np.uint64)) >= SIMILARITY
+                    for of_a, of_b in zip(batch["of_a"].to_pylist(), batch["of_b"].to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    # Small lists of pairs and of first texts go to the hashes; only the hashes they name are shuffled.
-    second = stored(hashes.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")).join(sent(pairs), "b"), "similar-b")
-    firsts = stored(pairs.select("a").distinct(), "similar-firsts")
-    first = hashes.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")).join(sent(firsts), "a", "left_semi")
-    whole = second.join(first, "a")
+    # The hashes of the texts that pairs name go to the pairs if they are few; else pairs are shuffled to them.
+    nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "similar-paired")
+    few = sent(stored(hashes.join(sent(nodes), "node", "left_semi"), "similar-few"))
+    first = few.select(F.col("node").alias("a"), F.col("hashes").alias("of_a"))
+    second = few.select(F.col("node").alias("b"), F.col("hashes").alias("of_b"))
+    whole = pairs.join(first, "a").join(second, "b")
     return stored(whole.select("a", "b", "of_a", "of_b").mapInArrow(work, "a binary, b binary"), "similar-links")
 
 
@@ -253,10 +254,45 @@ def to_first(apart: DataFrame) -> DataFrame:
     return apart.join(first, "key").where("root != first.root").select("first.node", F.col("node").alias("other"))
 
 
-def to_each(apart: DataFrame) -> DataFrame:
-    """Each bucket's texts against one text of every other component in it."""
-    ones = apart.groupBy("key", F.col("root").alias("of")).agg(F.min("node").alias("one"))
-    return apart.join(ones, "key").where("root != of").select(F.col("one").alias("node"), F.col("node").alias("other"))
+def ordered_shingles(apart: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Stored (key, node, root, size, at): the shingles that a link of a text may rest on, ``at`` from the rarest one.
+
+    Only shingles of several texts are rows; those of one text alone come before them and are counted.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 16):
+            found = [np.frombuffer(h, np.int64) for h in batch["hashes"].to_pylist()]
+            yield pa.record_batch({"key": pa.array(np.concatenate(found)),
+                                   "text": pa.array(np.repeat(batch["text"].to_numpy(), list(map(len, found))))})
+
+    placed = stored(apart.select("node", "root").distinct().withColumn("text", F.monotonically_increasing_id()), "similar-texts")
+    given = hashes.join(sent(placed), "node")
+    rows = given.select("text", "hashes").mapInArrow(work, "key bigint, text bigint")
+    rows = rows.withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("texts > 1")
+    text = Window.partitionBy("text")
+    rows = rows.select("key", "text", F.count(F.lit(1)).over(text).alias("shared"),
+                       F.row_number().over(text.orderBy("texts", "key")).alias("i"))
+    sizes = stored(given.select("text", "node", "root", (F.octet_length("hashes") / 8).cast("long").alias("size")), "similar-sizes")
+    # A partner has at least four fifths of the text's shingles, so both share at least that many.
+    return stored(rows.join(sent(sizes), "text").withColumn("at", F.expr("size - shared + i - 1"))
+                  .where("5 * (size - at) >= 4 * size").select("key", "node", "root", "size", "at"), "similar-early")
+
+
+def to_alike(apart: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The pairs of texts of different components whose first common shingle leaves room for a similarity of 0.8."""
+    rows = ordered_shingles(apart, hashes)
+    # Of two texts, the shorter one's shingle is among its first ninth.
+    parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("9 * (size - at) >= 8 * size")).alias("first"))
+    main = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("parts"),
+                                    F.max("first").alias("first")).where("parts > 1 and first")
+    # The largest component of a shingle is never paired with itself.
+    main = sent(stored(main.select("key", F.col("main.root").alias("main")), "similar-main"))
+    small = rows.join(main, "key").where("root != main").drop("main")
+    other = rows.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", "root", "size", "at")))
+    return small.join(other, "key").where(
+        "root != other_root and 9 * least(size - at, other_size - other_at) >= 4 * (size + other_size)").select(
+        "node", F.col("other_node").alias("other"))
 
 
 def similar_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -266,18 +302,16 @@ def similar_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     hashes = hashed(texts, stored(wanted, "similar-wanted"))
     found, roots, met = None, None, None
     steps = [(members.where(F.col("band").isin(list(bands))), to_first) for bands in STEPS]
-    for some, against in itertools.chain(steps, itertools.repeat((members, to_each))):
+    for some, against in [*steps, (members, functools.partial(to_alike, hashes=hashes))]:
         pairs = against(contracted(some, roots)).select(
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         pairs = stored(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), "similar-pairs")
         met = pairs if met is None else met.unionByName(pairs)
         more = similar_pairs(pairs, hashes)
-        if more.isEmpty():
-            if against is to_each:
-                return roots
-            continue
-        found = more if found is None else found.unionByName(more)
-        roots = stored(connected_components(found), "similar-roots")
+        if not more.isEmpty():
+            found = more if found is None else found.unionByName(more)
+            roots = stored(connected_components(found), "similar-roots")
+    return roots
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

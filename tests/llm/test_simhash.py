@@ -1,10 +1,12 @@
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm import brute
 from llm.brute import awkward, no_rows, pairs
 
 from conftest import SF_DIR
+from reviewlake.llm import simhash
 from reviewlake.llm.common import table
 from reviewlake.llm.components import connected_components
 from reviewlake.llm.simhash import drop_near_copies, drop_similar, links, near_groups, signed
@@ -108,3 +110,34 @@ def test_thousands_of_near_copies(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
     kept = {r["doc_id"] for r in drop_similar(docs).collect()}
     assert kept == {0} | {5000 + n for n in range(50)}
+
+
+def test_a_common_passage_pairs_few_texts(spark, monkeypatch):
+    """Texts that share a passage of most of their words, but no similar ones, meet a number of times that grows with them."""
+    met = []
+    real = simhash.similar_pairs
+    monkeypatch.setattr(simhash, "similar_pairs", lambda pairs, hashes: met.append(pairs.count()) or real(pairs, hashes))
+    passage = [f"p{i}" for i in range(80)]
+    rows = [(n, " ".join(passage + [f"t{n}w{i}" for i in range(20)])) for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert drop_similar(docs).count() == len(rows)
+    assert sum(met) < 10 * len(rows)
+
+
+def test_all_links_between_components_are_candidates(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(-(1 << 62), 1 << 62, 60)
+    sets = [np.unique(rng.choice(np.concatenate([base, rng.integers(-(1 << 62), 1 << 62, 6)]), rng.integers(45, 66), False))
+            for _ in range(150)]
+    sets += [np.array([5]), np.array([5, 6]), np.array([5, 6, 7, 8]), np.array([5, 6, 7, 8, 9])]
+    nodes = [bytes([n]) for n in range(len(sets))]
+    roots = [nodes[n % 3 if n < 100 else n] for n in range(len(sets))]
+    hashes = spark.createDataFrame([(n, s.tobytes()) for n, s in zip(nodes, sets)], "node binary, hashes binary")
+    apart = spark.createDataFrame([(1, n, r) for n, r in zip(nodes, roots)], "key long, node binary, root binary")
+    got = {tuple(sorted((bytes(r["node"]), bytes(r["other"])))) for r in simhash.to_alike(apart, hashes).collect()}
+    want = {(nodes[a], nodes[b]) for b in range(len(sets)) for a in range(b) if roots[a] != roots[b]
+            and 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+    assert len(want) > 50 and want <= got
+    assert all(roots[a[0]] != roots[b[0]] for a, b in got)
+    linked = {tuple(map(bytes, r)) for r in simhash.similar_pairs(spark.createDataFrame(sorted(got), "a binary, b binary"), hashes).collect()}
+    assert linked == want
