@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reviewlake.session import scratch_path
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

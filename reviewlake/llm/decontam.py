@@ -51,13 +51,13 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lowered, BREAK), "")
 
 
-def sent(small: DataFrame) -> DataFrame:
+def sent(small: DataFrame, most: int = SEND_BYTES) -> DataFrame:
     """A stored table, marked for broadcast only if its rows and bytes are counted to be few."""
     wide = [name for name, kind in small.dtypes if kind not in FIXED]
     size = sum((F.coalesce(F.octet_length(named(name).cast("string")), F.lit(0)) for name in wide),
                F.lit(16 * len(small.columns)))
     rows, size = small.limit(SEND_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(small) if rows <= SEND_ROWS and size <= SEND_BYTES else small
+    return F.broadcast(small) if rows <= SEND_ROWS and size <= most else small
 
 
 def item_words(items: DataFrame, item_id: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:

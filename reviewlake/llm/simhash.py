@@ -23,7 +23,7 @@ pairs at 0.8 differ in more bits than a ball can hold, from 24 bands of five
 minimum hashes; a pair at 0.8 shares no band with probability 7e-5. Every
 candidate link is verified on the texts' shingle hashes.
 
-Candidates are taken in steps (balls, one band, five bands, all others), and texts
+Candidates are taken in steps (balls and one band, five bands, all others), and texts
 that are linked are contracted to components in between. In a step, every text of
 a bucket whose component is not the bucket's first one meets the first one's
 smallest text; a large group of copies is linked by its first bucket, and the
@@ -141,7 +141,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 #: The stage mode: words per shingle, least similarity, bands and minimum hashes per band.
 STAGE_SHINGLE, SIMILARITY, BANDS, BAND_ROWS = 5, 0.8, 24, 5
 #: Bands whose buckets are compared at once; band 0 are the balls.
-STEPS = (range(0, 1), range(1, 2), range(2, 7), range(7, BANDS + 1))
+STEPS = (range(0, 2), range(2, 7), range(7, BANDS + 1))
+#: Bytes of texts' hashes up to which they are sent to the pairs instead of shuffled.
+HASH_BYTES = 4 << 20
 
 
 def shingle_hashes(text: bytes, shingle: int = STAGE_SHINGLE) -> np.ndarray:
@@ -230,7 +232,7 @@ def similar_pairs(pairs: DataFrame, hashes: DataFrame) -> DataFrame:
 
     # The hashes of the texts that pairs name go to the pairs if they are few; else pairs are shuffled to them.
     nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "similar-paired")
-    few = sent(stored(hashes.join(sent(nodes), "node", "left_semi"), "similar-few"))
+    few = sent(stored(hashes.join(sent(nodes), "node", "left_semi"), "similar-few"), HASH_BYTES)
     first = few.select(F.col("node").alias("a"), F.col("hashes").alias("of_a"))
     second = few.select(F.col("node").alias("b"), F.col("hashes").alias("of_b"))
     whole = pairs.join(first, "a").join(second, "b")
