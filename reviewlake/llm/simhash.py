@@ -34,6 +34,10 @@ their shingles, rarest first: two texts of n and m shingles at 0.8 share at leas
 Those pairs of different components are all verified, at once and whatever their
 buckets; no bucket is capped. Texts pair only if they share what is rare among
 them, so a common passage pairs nothing while texts have a ninth of words of their own.
+Before a pair is made, the parities of its texts' shingles in 1,024 cells are compared:
+every cell that differs holds a shingle of one text alone, and two similar texts have
+at most (n + m) / 9 of those. So texts that are nearly similar to one another make no
+rows, and no similar pair is lost.
 """
 
 from __future__ import annotations
@@ -142,6 +146,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 STAGE_SHINGLE, SIMILARITY, BANDS, BAND_ROWS = 5, 0.8, 24, 5
 #: Bands whose buckets are compared at once; band 0 are the balls.
 STEPS = (range(0, 2), range(2, 7), range(7, BANDS + 1))
+#: Longs that hold the parities of a text's shingles.
+PARITIES = 16
 #: Bytes of texts' hashes up to which they are sent to the pairs instead of shuffled.
 HASH_BYTES = 4 << 20
 
@@ -169,6 +175,12 @@ def band_keys(hashes: np.ndarray, factors: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(least)]
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether the number of hashes in a cell is odd, a bit for each of the cells."""
+    cells = np.bincount((hashes.view(np.uint64) % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES)
+    return np.packbits((cells & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def majority(hashes: np.ndarray) -> int:
     """The fingerprint of a set of hashes."""
     ones = np.zeros(64, np.int64)
@@ -281,8 +293,22 @@ def ordered_shingles(apart: DataFrame, hashes: DataFrame) -> DataFrame:
                   .where("5 * (size - at) >= 4 * size").select("key", "node", "root", "size", "at"), "similar-early")
 
 
+def with_parities(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The rows (node, ...) with the parities of their texts' shingles as ``cells``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [parities(np.frombuffer(h, np.int64)) for h in batch["hashes"].to_pylist()]
+            yield pa.record_batch({"node": batch["node"], "cells": pa.array(found, pa.list_(pa.int64()))})
+
+    nodes = sent(stored(rows.select("node").distinct(), "similar-late"))
+    some = hashes.join(nodes, "node", "left_semi").mapInArrow(work, "node binary, cells array<bigint>")
+    return rows.join(sent(stored(some, "similar-parities")), "node")
+
+
 def to_alike(apart: DataFrame, hashes: DataFrame) -> DataFrame:
-    """The pairs of texts of different components whose first common shingle leaves room for a similarity of 0.8."""
+    """The pairs of texts of different components whose first common shingle, and the number of shingles
+    that only one of them can be seen to have, leave room for a similarity of 0.8."""
     rows = ordered_shingles(apart, hashes)
     # Of two texts, the shorter one's shingle is among its first ninth.
     parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("9 * (size - at) >= 8 * size")).alias("first"))
@@ -290,11 +316,13 @@ def to_alike(apart: DataFrame, hashes: DataFrame) -> DataFrame:
                                     F.max("first").alias("first")).where("parts > 1 and first")
     # The largest component of a shingle is never paired with itself.
     main = sent(stored(main.select("key", F.col("main.root").alias("main")), "similar-main"))
-    small = rows.join(main, "key").where("root != main").drop("main")
-    other = rows.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", "root", "size", "at")))
-    return small.join(other, "key").where(
-        "root != other_root and 9 * least(size - at, other_size - other_at) >= 4 * (size + other_size)").select(
-        "node", F.col("other_node").alias("other"))
+    rows = stored(with_parities(rows.join(main, "key"), hashes), "similar-meeting")
+    small = rows.where("root != main").drop("main")
+    other = rows.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", "root", "size", "at", "cells")))
+    alone = sum(F.bit_count(F.col("cells")[i].bitwiseXOR(F.col("other_cells")[i])) for i in range(PARITIES))
+    return small.join(other, (small["key"] == other["key"]) & F.expr(
+        "root != other_root and 9 * least(size - at, other_size - other_at) >= 4 * (size + other_size)")
+        & (9 * alone <= F.expr("size + other_size"))).select("node", F.col("other_node").alias("other"))
 
 
 def similar_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:

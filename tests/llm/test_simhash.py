@@ -141,3 +141,26 @@ def test_all_links_between_components_are_candidates(spark):
     assert all(roots[a[0]] != roots[b[0]] for a, b in got)
     linked = {tuple(map(bytes, r)) for r in simhash.similar_pairs(spark.createDataFrame(sorted(got), "a binary, b binary"), hashes).collect()}
     assert linked == want
+
+
+def test_nearly_similar_texts_make_few_pairs(spark):
+    """Texts that share their rarest shingles, but too few for a link, are told apart before they are paired."""
+    rng = np.random.default_rng(3)
+    base = np.sort(rng.integers(-(1 << 62), 1 << 62, 100))
+    sets = [np.sort(rng.choice(base, 84, replace=False)) for _ in range(200)]
+    nodes = [bytes([n]) for n in range(len(sets))]
+    hashes = spark.createDataFrame([(n, s.tobytes()) for n, s in zip(nodes, sets)], "node binary, hashes binary")
+    apart = spark.createDataFrame([(1, n, n) for n in nodes], "key long, node binary, root binary")
+    got = {tuple(sorted((bytes(r["node"]), bytes(r["other"])))) for r in simhash.to_alike(apart, hashes).collect()}
+    want = {(nodes[a], nodes[b]) for b in range(len(sets)) for a in range(b)
+            if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+    assert want <= got and len(got) < 10 * len(sets)
+
+
+def test_parities_bound_the_shingles_of_one_text_alone():
+    rng = np.random.default_rng(5)
+    for n in (1, 40, 3000):
+        a = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+        b = np.unique(np.concatenate([a[n // 9:], rng.integers(-(1 << 62), 1 << 62, n // 9)]))
+        cells = np.bitwise_count((simhash.parities(a) ^ simhash.parities(b)).view(np.uint64)).sum()
+        assert cells <= len(np.setxor1d(a, b)) and cells % 2 == len(np.setxor1d(a, b)) % 2
